@@ -1,0 +1,6 @@
+"""No operator here: timekeeping tables are read, checked and scored in batches,
+
+and no query of the data model has watermarks, time windows over a stream or
+state that outlives a job.  Updates to the review table arrive as an
+append-only event table (see ``plans.review``), which any stream may write.
+"""
