@@ -37,9 +37,10 @@ def with_previous_and_stats(
     is a group of its own, the value that crosses a chunk border comes from the
     last row of the chunk before, and the statistics come from an aggregate.
     """
-    hot = materialize(hot_keys(df, key, max_rows_per_key), "hot-keys")
+    hot = hot_keys(df, key, max_rows_per_key)
     if hot.isEmpty():
         return _by_window(df, key, order, previous, stats)
+    hot = materialize(hot, "hot-keys")
     ordinary = _by_window(df.join(hot, key, "left_anti"), key, order, previous, stats)
     split = _by_chunk(df.join(hot, key, "left_semi"), key, order, previous, stats)
     return ordinary.unionByName(split)

@@ -11,18 +11,25 @@ _SORTABLE = 100_000
 _ACCURACY = 10_000
 
 
-def order_statistics(df: DataFrame, column: str, first: int, second: int) -> tuple:
+def _numbers(df: DataFrame, column: str) -> DataFrame:
+    """The column as ``v``, without NULL and NaN."""
+    v = F.col("v")
+    kept = df.select(F.col(column).alias("v")).where(v.isNotNull())
+    return kept.where(~F.isnan(v)) if kept.schema["v"].dataType.typeName() in ("double", "float") else kept
+
+
+def order_statistics(df: DataFrame, column: str, first: int, second: int, rows: int | None = None) -> tuple:
     """The values of rank ``first`` and ``second`` (0-based, equal or adjacent).
 
     Approximate percentiles bracket the ranks, one pass counts how many values
     lie below and on the borders, and the search goes on strictly between them.
     Each round keeps about one part in ``_ACCURACY`` of the values and drops the
     border values whole, so heavy ties end the search rather than prolong it.
-    Only scalars reach the driver.  ``df`` is scanned once or twice per round and
-    should be a written table.
+    Only scalars reach the driver.  ``df`` is scanned twice per round and should
+    be a written table; ``rows`` is the number of its values, if known.
     """
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double")))
-    below, inside = 0, values.count()
+    values = _numbers(df, column)
+    below, inside = 0, values.count() if rows is None else rows
     if not (0 <= first <= second <= first + 1 and second < inside):
         raise ValueError(f"ranks {first}, {second} are outside 0..{inside - 1}")
     while inside > _SORTABLE:
@@ -68,19 +75,18 @@ def order_statistics(df: DataFrame, column: str, first: int, second: int) -> tup
         else:
             values = values.where(v > high)
             below, inside = below + counts.le_high, inside - counts.le_high
-    rows = values.orderBy("v").offset(first - below).limit(second - first + 1).collect()
-    return rows[0].v, rows[-1].v
+    found = values.orderBy("v").offset(first - below).limit(second - first + 1).collect()
+    return found[0].v, found[-1].v
 
 
 def exact_quantile(df: DataFrame, column: str, share: float) -> float | None:
     """Quantile with linear interpolation between order statistics; None for no values."""
-    values = df.select(column).where(F.col(column).isNotNull() & ~F.isnan(column))
-    n = values.count()
+    n = _numbers(df, column).count()
     if n == 0:
         return None
     position = (n - 1) * share
     rank = math.floor(position)
-    low, high = order_statistics(values, column, rank, min(rank + 1, n - 1))
+    low, high = order_statistics(df, column, rank, min(rank + 1, n - 1), n)
     return low + (high - low) * (position - rank)
 
 
@@ -97,12 +103,12 @@ class Cut:
         return (value < F.lit(self.value)) | ((value == F.lit(self.value)) & (tie <= F.lit(self.tie)))
 
 
-def smallest_cut(df: DataFrame, column: str, k: int, tie: str) -> Cut:
+def smallest_cut(df: DataFrame, column: str, k: int, tie: str, rows: int | None = None) -> Cut:
     """The cut below which exactly the ``k`` smallest rows by (column, tie) lie.
 
     ``tie`` has to identify a row; only rows on the cut value are ordered by it.
     """
-    value, _ = order_statistics(df, column, k - 1, k - 1)
+    value, _ = order_statistics(df, column, k - 1, k - 1, rows)
     counts = df.agg(F.count_if(F.col(column) < value).alias("lower"),
                     F.count_if(F.col(column) <= value).alias("upto")).first()
     if counts.upto == k:

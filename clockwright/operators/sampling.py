@@ -43,10 +43,11 @@ def choose(df: DataFrame, key: str, rate: float, seed: int, eligible: Column | N
     allowed = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     drawn = draw(F.col(key), seed, "sample")
     draws = materialize(df.where(allowed).select(F.col(key), drawn.alias("draw")), "draws")
-    size = sample_size(draws.count(), rate)
+    rows = draws.count()
+    size = sample_size(rows, rate)
     if size == 0:
         return F.lit(False)
-    return allowed & smallest_cut(draws, "draw", size, key).holds(drawn, F.col(key))
+    return allowed & smallest_cut(draws, "draw", size, key, rows).holds(drawn, F.col(key))
 
 
 def seeded_sample(df: DataFrame, key: str, *, rate: float = settings.ANOMALY_RATE,

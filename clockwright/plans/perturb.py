@@ -27,16 +27,17 @@ def perturb_punches(punches: DataFrame, *, rate: float = settings.ANOMALY_RATE,
                     seed: int = settings.SEED) -> tuple[DataFrame, DataFrame]:
     """(punches with moved times, one label per moved punch).
 
-    A share ``rate`` of the complete punches is moved: the clock-in earlier, or
-    the clock-out later, to whole minutes.  Which, how and how far depends on
+    A share ``rate`` of the complete punches with readable times is moved: the
+    clock-in earlier, or the clock-out later, to whole minutes.  Which, how and how far depends on
     punch_id and seed alone, so the punches are changed where they lie; only
     the labels are ordered, to number them.
     """
     quality.require_columns(punches, "punches")
     key = F.col("punch_id")
-    picked = choose(punches, "punch_id", rate, seed, F.col("punch_status") == "complete")
-    kind = F.when(picked, weighted_choice(uniform(key, seed, "type"), settings.ANOMALY_WEIGHTS))
     came, left = parse_timestamp(F.col("clock_in")), parse_timestamp(F.col("clock_out"))
+    movable = (F.col("punch_status") == "complete") & came.isNotNull() & left.isNotNull()
+    picked = choose(punches, "punch_id", rate, seed, movable)
+    kind = F.when(picked, weighted_choice(uniform(key, seed, "type"), settings.ANOMALY_WEIGHTS))
     early = iso_text(nearest_minute(came, -_hours(key, seed, settings.EARLY_CLOCK_IN_HOURS)))
     late = iso_text(nearest_minute(left, _hours(key, seed, settings.EXTENDED_CLOCK_OUT_HOURS)))
     moved = (

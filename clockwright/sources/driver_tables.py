@@ -8,187 +8,152 @@ library has something to find.  All definitions are integer arithmetic.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from clockwright.functions.times import iso_text, shift_by
+# the columns that are used, so that no file is opened just to infer a schema
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string, value double, props string",
+}
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _every(key: Column, modulus: int, remainder: int) -> Column:
-    return key % modulus == remainder
+def _iso(moment: str) -> str:
+    return f"replace(cast({moment} as string), ' ', 'T')"
 
 
-@dataclass(frozen=True)
-class RawWorkforce:
-    """The five raw tables, all columns strings."""
-
-    departments: DataFrame
-    employees: DataFrame
-    shifts: DataFrame
-    punches: DataFrame
-    labels: DataFrame
-
-    def as_dict(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
-
+def _plus(moment: str, minutes: str) -> str:
+    return f"({moment} + make_dt_interval(0, 0, cast({minutes} as int)))"
 
-def department_id(nation_key: Column) -> Column:
-    return F.format_string("D%03d", nation_key + 1)
 
+_DEPARTMENT = "format_string('D%03d', {0} + 1)"
+_CAME = _plus("s", "k * 7919 % 91 - 30")
+_USUAL_OUT = "k * 104729 % 241 - 60"
+_EXTRA = "300 + k % 300"
+_OVERTIME = "k % 33 = 5"
+_MISSING = "k % 50 = 3"
 
-def raw_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return _read(spark, sf_dir, "nation").select(
-        department_id(key).alias("department_id"),
-        F.col("n_name").alias("department_name"),
-        F.when(key % 3 == 0, "24/7").otherwise("Weekdays").alias("operating_schedule"),
-    )
 
+class RawWorkforce:
+    """The five raw tables, all columns strings; each is planned when it is asked for."""
 
-def raw_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    part = key % 100
-    return _read(spark, sf_dir, "customer").select(
-        F.format_string("EMP%05d", key + 1).alias("employee_id"),
-        F.col("c_name").alias("first_name"),
-        F.col("c_name").alias("last_name"),
-        department_id(F.col("c_nationkey")).alias("department_id"),
-        F.col("c_mktsegment").alias("job_title"),
-        F.date_add(F.lit("2015-01-01").cast("date"), (key % 3650).cast("int")).cast("string").alias("hire_date"),
-        (22 + (key * 37 % 3800) / 100).cast("string").alias("hourly_rate"),
-        F.when(part < 92, "active").when(part < 97, "on_leave").otherwise("terminated").alias("employment_status"),
-    )
+    NAMES = ("departments", "employees", "shifts", "punches", "labels")
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
 
-def _scheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their employee's department and the planned start and end."""
-    key = F.col("o_orderkey")
-    staff = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    start = shift_by(F.col("o_orderdate").cast("timestamp_ntz"), hours=key % 3 * 8)
-    return (
-        _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        .join(staff, "o_custkey")
-        .select(
-            key,
-            F.format_string("SFT%07d", key + 1).alias("shift_id"),
-            F.format_string("EMP%05d", F.col("o_custkey") + 1).alias("employee_id"),
-            department_id(F.col("c_nationkey")).alias("department_id"),
-            start.alias("start"),
-            shift_by(start, hours=8).alias("end"),
-            F.when(F.col("c_nationkey") % 3 == 0, "24/7").otherwise("Weekdays").alias("shift_type"),
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self.NAMES}
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        return driver_table(self._spark, self._sf_dir, "nation").selectExpr(
+            f"{_DEPARTMENT.format('n_nationkey')} as department_id",
+            "n_name as department_name",
+            "if(n_nationkey % 3 = 0, '24/7', 'Weekdays') as operating_schedule",
         )
-    )
 
+    @cached_property
+    def employees(self) -> DataFrame:
+        return driver_table(self._spark, self._sf_dir, "customer").selectExpr(
+            "format_string('EMP%05d', c_custkey + 1) as employee_id",
+            "c_name as first_name",
+            "c_name as last_name",
+            f"{_DEPARTMENT.format('c_nationkey')} as department_id",
+            "c_mktsegment as job_title",
+            "cast(date_add(date'2015-01-01', cast(c_custkey % 3650 as int)) as string) as hire_date",
+            "cast(22 + (c_custkey * 37 % 3800) / 100 as string) as hourly_rate",
+            "case when c_custkey % 100 < 92 then 'active' when c_custkey % 100 < 97 then 'on_leave' "
+            "else 'terminated' end as employment_status",
+        )
 
-def raw_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scheduled(spark, sf_dir).select(
-        "shift_id", "employee_id", "department_id",
-        iso_text(F.col("start")).alias("scheduled_start"),
-        iso_text(F.col("end")).alias("scheduled_end"),
-        "shift_type",
-    )
+    @cached_property
+    def _scheduled(self) -> DataFrame:
+        """Orders with their employee's department, and planned start ``s`` and end ``e``."""
+        staff = driver_table(self._spark, self._sf_dir, "customer").selectExpr(
+            "c_custkey as o_custkey", "c_nationkey")
+        start = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 3 * 8 as int))"
+        return driver_table(self._spark, self._sf_dir, "orders").join(staff, "o_custkey").selectExpr(
+            "o_orderkey as k",
+            "format_string('SFT%07d', o_orderkey + 1) as shift_id",
+            "format_string('EMP%05d', o_custkey + 1) as employee_id",
+            f"{_DEPARTMENT.format('c_nationkey')} as department_id",
+            f"{start} as s",
+            f"{start} + make_dt_interval(0, 8) as e",
+            "if(c_nationkey % 3 = 0, '24/7', 'Weekdays') as shift_type",
+        )
 
+    @cached_property
+    def shifts(self) -> DataFrame:
+        return self._scheduled.selectExpr(
+            "shift_id", "employee_id", "department_id",
+            f"{_iso('s')} as scheduled_start", f"{_iso('e')} as scheduled_end", "shift_type",
+        )
 
-def raw_punches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    copy = F.col("copy")
-    came = shift_by(F.col("start"), minutes=key * 7919 % 91 - 30)
-    extra = F.when(_every(key, 33, 5), 300 + key % 300).otherwise(0)
-    left = shift_by(F.col("end"), minutes=key * 104729 % 241 - 60 + extra)
-    return (
-        _scheduled(spark, sf_dir)
-        .withColumn("copy", F.explode(F.when(_every(key, 100, 7), F.array(F.lit(0), F.lit(1)))
-                                      .otherwise(F.array(F.lit(0)))))
-        .select(
-            F.format_string("PCH%07d", key * 2 + copy + 1).alias("punch_id"),
-            F.when(_every(key, 991, 2), "SFT9999999").otherwise(F.col("shift_id")).alias("shift_id"),
-            F.when(_every(key, 983, 3), "EMP99999").otherwise(F.col("employee_id")).alias("employee_id"),
+    @cached_property
+    def punches(self) -> DataFrame:
+        left = _plus("e", f"{_USUAL_OUT} + if({_OVERTIME}, {_EXTRA}, 0)")
+        return self._scheduled.selectExpr(
+            "*", "explode(if(k % 100 = 7, array(0, 1), array(0))) as copy",
+        ).selectExpr(
+            "format_string('PCH%07d', k * 2 + copy + 1) as punch_id",
+            "if(k % 991 = 2, 'SFT9999999', shift_id) as shift_id",
+            "if(k % 983 = 3, 'EMP99999', employee_id) as employee_id",
             "department_id",
-            F.when(_every(key, 997, 1), "not-a-time").otherwise(iso_text(came)).alias("clock_in"),
-            F.when(_every(key, 50, 3), F.lit(None))
-            .when(_every(key, 977, 4), iso_text(shift_by(F.col("start"), minutes=-60)))
-            .otherwise(iso_text(left)).alias("clock_out"),
-            F.when(_every(key, 50, 3), "missing_clock_out").when(copy == 1, "duplicate")
-            .otherwise("complete").alias("punch_status"),
+            f"if(k % 997 = 1, 'not-a-time', {_iso(_CAME)}) as clock_in",
+            f"case when {_MISSING} then null when k % 977 = 4 then {_iso(_plus('s', '-60'))} "
+            f"else {_iso(left)} end as clock_out",
+            f"case when {_MISSING} then 'missing_clock_out' when copy = 1 then 'duplicate' "
+            "else 'complete' end as punch_status",
         )
-    )
-
-
-def raw_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One label per order whose clock-out carries the long overtime."""
-    key = F.col("o_orderkey")
-    came = iso_text(shift_by(F.col("start"), minutes=key * 7919 % 91 - 30))
-    usual = shift_by(F.col("end"), minutes=key * 104729 % 241 - 60)
-    return _scheduled(spark, sf_dir).where(_every(key, 33, 5) & ~_every(key, 50, 3)).select(
-        F.format_string("ANM%06d", key + 1).alias("anomaly_id"),
-        F.format_string("PCH%07d", key * 2 + 1).alias("punch_id"),
-        "shift_id", "employee_id",
-        F.when(key % 4 == 3, "insufficient_rest").otherwise("extreme_overtime").alias("anomaly_type"),
-        came.alias("original_clock_in"),
-        iso_text(usual).alias("original_clock_out"),
-        came.alias("injected_clock_in"),
-        iso_text(shift_by(usual, minutes=300 + key % 300)).alias("injected_clock_out"),
-        F.lit("Clock-out was extended several hours beyond ordinary behavior.").alias("anomaly_reason"),
-        F.when(key % 2 == 0, "True").otherwise("false").alias("is_anomaly"),
-    )
 
-
-def raw_workforce(spark: SparkSession, sf_dir: str) -> RawWorkforce:
-    return RawWorkforce(
-        departments=raw_departments(spark, sf_dir),
-        employees=raw_employees(spark, sf_dir),
-        shifts=raw_shifts(spark, sf_dir),
-        punches=raw_punches(spark, sf_dir),
-        labels=raw_labels(spark, sf_dir),
-    )
+    @cached_property
+    def labels(self) -> DataFrame:
+        """One label per order whose clock-out carries the long overtime."""
+        return self._scheduled.where(f"{_OVERTIME} and not {_MISSING}").selectExpr(
+            "format_string('ANM%06d', k + 1) as anomaly_id",
+            "format_string('PCH%07d', k * 2 + 1) as punch_id",
+            "shift_id", "employee_id",
+            "if(k % 4 = 3, 'insufficient_rest', 'extreme_overtime') as anomaly_type",
+            f"{_iso(_CAME)} as original_clock_in",
+            f"{_iso(_plus('e', _USUAL_OUT))} as original_clock_out",
+            f"{_iso(_CAME)} as injected_clock_in",
+            f"{_iso(_plus('e', f'{_USUAL_OUT} + {_EXTRA}'))} as injected_clock_out",
+            "'Clock-out was extended several hours beyond ordinary behavior.' as anomaly_reason",
+            "if(k % 2 = 0, 'True', 'false') as is_anomaly",
+        )
 
 
 def review_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review updates: up to four per punch, some with a bad status or a long note."""
-    key = F.col("event_id")
-    status = (
-        F.when(F.col("event_type") == "view", "pending")
-        .when(F.col("event_type") == "click", "legitimate")
-        .when(F.col("event_type") == "signup", "resolved")
-        .when(F.col("event_type") == "error", "confirmed_issue")
-        .otherwise("archived")
-    )
-    return _read(spark, sf_dir, "events").select(
-        F.format_string("PCH%07d", (key - key % 4) * 2 + 1).alias("punch_id"),
-        status.alias("review_status"),
-        F.when(key % 7 != 0, F.expr("repeat(props, cast(1 + event_id % 250 as int))")).alias("reviewer_notes"),
-        F.col("ts").cast("timestamp_ntz").alias("updated_at"),
-        key.alias("seq"),
+    return driver_table(spark, sf_dir, "events").selectExpr(
+        "format_string('PCH%07d', (event_id - event_id % 4) * 2 + 1) as punch_id",
+        "case event_type when 'view' then 'pending' when 'click' then 'legitimate' when 'signup' then 'resolved' "
+        "when 'error' then 'confirmed_issue' else 'archived' end as review_status",
+        "if(event_id % 7 <> 0, repeat(props, cast(1 + event_id % 250 as int)), null) as reviewer_notes",
+        "ts as updated_at",
+        "event_id as seq",
     )
 
 
 def triage_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triage decisions as JSON text; some break a rule."""
-    key = F.col("event_id")
-    label = (
-        F.when(F.col("event_type") == "view", "dismiss")
-        .when(F.col("event_type") == "click", "escalate")
-        .when(F.col("event_type") == "signup", "needs_more_data")
-        .when(F.col("event_type") == "error", "dismiss")
-        .otherwise("unsure")
-    )
-    evidence = F.array(F.struct(
-        F.expr("repeat(props, cast(event_id % 60 as int))").alias("fact"),
-        F.col("event_type").alias("source"),
-    ))
-    return _read(spark, sf_dir, "events").select(
-        key.alias("decision_id"),
-        F.to_json(F.struct(
-            label.alias("classification"),
-            (F.col("value") / 50).alias("confidence"),
-            F.expr("repeat(props, cast(event_id % 140 as int))").alias("summary"),
-            evidence.alias("evidence"),
-            F.array(F.col("props")).alias("missing_information"),
-            F.expr("repeat(event_type, cast(1 + event_id % 90 as int))").alias("recommended_action"),
-        )).alias("body"),
+    return driver_table(spark, sf_dir, "events").selectExpr(
+        "event_id as decision_id",
+        """to_json(named_struct(
+            'classification', case event_type when 'view' then 'dismiss' when 'click' then 'escalate'
+                when 'signup' then 'needs_more_data' when 'error' then 'dismiss' else 'unsure' end,
+            'confidence', value / 50,
+            'summary', repeat(props, cast(event_id % 140 as int)),
+            'evidence', array(named_struct('fact', repeat(props, cast(event_id % 60 as int)), 'source', event_type)),
+            'missing_information', array(props),
+            'recommended_action', repeat(event_type, cast(1 + event_id % 90 as int))
+        )) as body""",
     )
