@@ -42,11 +42,12 @@ def clip(value: Column, low: float, high: float) -> Column:
 
 
 def numbered_id(kind: str, number: Column) -> Column:
-    """Prefixed zero-padded identifier; numbers start at one."""
-    checked = F.when(number >= 1, number).otherwise(
+    """Prefix and number, zero-padded to a minimum width; numbers start at one."""
+    prefix, width = settings.ID_FORMATS[kind]
+    text = F.when(number >= 1, number.cast("string")).otherwise(
         F.raise_error(F.concat(F.lit(f"{kind} number must be at least 1, got "),
-                               F.coalesce(number.cast("string"), F.lit("NULL")))).cast("bigint"))
-    return F.format_string(settings.ID_FORMATS[kind], checked)
+                               F.coalesce(number.cast("string"), F.lit("NULL")))).cast("string"))
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")))
 
 
 def zero_if_not_finite(value: Column) -> Column:

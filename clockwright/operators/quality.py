@@ -1,9 +1,10 @@
 """Data-quality rules as countable violations.
 
-A report has one row per rule: ``table_name, rule, violations``.  All row rules
-of a table share one aggregate; key and reference rules aggregate by key first,
-so a hot key costs one row per map task.  ``enforce`` turns a report into an
-error; nothing but the report and a few sample keys reaches the driver.
+A report has one row per rule: ``table_name, rule, violations``.  One scan
+serves all rules on a table's rows and key, one more each table it refers to;
+both count by key before they shuffle, so a hot key costs one row per map task.
+``enforce`` turns a report into an error; nothing but the report and a few
+sample keys reaches the driver.
 """
 
 from __future__ import annotations
@@ -25,21 +26,63 @@ def require_columns(df: DataFrame, table: str, required: tuple[str, ...] | None
         raise TransformationError(f"{table} is missing required columns: {missing}")
 
 
-def row_rules(df: DataFrame, table: str, rules: dict[str, Column], *,
-              expected_rows: int | None = None, allow_empty: bool = True) -> DataFrame:
-    """Count the rows that break each rule, in one aggregate."""
-    counted = {rule: F.count_if(bad) for rule, bad in rules.items()}
-    total = F.count(F.lit(1))
+def _as_report(counts: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
+    """A one-row aggregate as one row per rule; rules that found nothing to count are met."""
+    entries = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.coalesce(value, F.lit(0)).cast("bigint").alias("violations"))
+        for rule, value in rules.items()
+    ])
+    return counts.select(F.lit(table).alias("table_name"), F.inline(entries))
+
+
+def table_report(df: DataFrame, table: str, rules: dict[str, Column] | None = None, *, key: str | None = None,
+                 expected_rows: int | None = None, allow_empty: bool = True) -> DataFrame:
+    """Rules on rows, key and row count of one table, in one scan.
+
+    A rule is a condition that bad rows meet; its violations are rows.  Key
+    violations are keys that are NULL or repeated.  With a key, rows are counted
+    per key before the exchange the key check needs anyway.
+    """
+    bad = list((rules or {}).items())
+    found = [F.count_if(condition).alias(f"bad_{n}") for n, (_, condition) in enumerate(bad)]
+    rows = F.count(F.lit(1)).alias("rows")
+    if key is None:
+        counts = df.agg(rows, *found)
+    else:
+        counts = df.groupBy(key).agg(rows, *found).agg(
+            F.count_if(F.col(key).isNull() | (F.col("rows") > 1)).alias("bad_keys"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            *[F.sum(f"bad_{n}").alias(f"bad_{n}") for n in range(len(bad))],
+        )
+    report = {rule: F.col(f"bad_{n}") for n, (rule, _) in enumerate(bad)}
+    if key is not None:
+        report[f"{key} must be non-null and unique"] = F.col("bad_keys")
     if not allow_empty:
-        counted["table is empty"] = F.when(total == 0, 1).otherwise(0).cast("bigint")
+        report["table must not be empty"] = F.when(F.col("rows") == 0, 1).otherwise(0)
     if expected_rows is not None:
-        counted["row count differs from expectation"] = F.abs(total - F.lit(expected_rows))
-    entries = F.array(*[F.struct(F.lit(rule).alias("rule"), value.cast("bigint").alias("violations"))
-                        for rule, value in counted.items()])
-    return (
-        df.agg(entries.alias("entries"))
-        .select(F.lit(table).alias("table_name"), F.inline("entries"))
+        report["row count must be as expected"] = F.abs(F.col("rows") - F.lit(expected_rows))
+    return _as_report(counts, table, report)
+
+
+def reference_report(child: DataFrame, table: str, key: str, parent: DataFrame, parent_table: str,
+                     agree: tuple[str, ...] = ()) -> DataFrame:
+    """Rows whose key has no parent (NULL included), and rows that differ from their parent.
+
+    Equal combinations are counted before the join, so a hot key is one row of
+    it.  The parent's key is unique, as its own report shows.
+    """
+    combos = child.groupBy(key, *agree).agg(F.count(F.lit(1)).alias("rows"))
+    known = parent.select(key, *[F.col(a).alias(f"expected_{a}") for a in agree], F.lit(True).alias("known"))
+    rows, matched = F.col("rows"), F.col("known").isNotNull()
+    differs = {a: matched & ~F.col(a).eqNullSafe(F.col(f"expected_{a}")) for a in agree}
+    counts = combos.join(known, key, "left").agg(
+        F.sum(F.when(~matched, rows)).alias("unknown"),
+        *[F.sum(F.when(condition, rows)).alias(f"differs_{a}") for a, condition in differs.items()],
     )
+    return _as_report(counts, table, {
+        f"{key} must exist in {parent_table}": F.col("unknown"),
+        **{f"{a} must agree with {parent_table}": F.col(f"differs_{a}") for a in agree},
+    })
 
 
 def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
@@ -48,54 +91,26 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("key_rows")).where(some_null | (F.col("key_rows") > 1))
 
 
-def key_rule(df: DataFrame, table: str, *key: str) -> DataFrame:
-    return duplicate_keys(df, *key).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"{', '.join(key)} must be non-null and unique").alias("rule"),
-        "violations",
-    )
-
-
-def unknown_references(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
-    """Child keys (NULL included) without a parent, with their row counts.
-
-    Grouping comes first: the join sees each key once however often it occurs.
-    """
-    known = parent.select(F.col(parent_key or key).alias(key))
+def unknown_references(child: DataFrame, key: str, parent: DataFrame) -> DataFrame:
+    """Child keys (NULL included) without a parent, with their row counts."""
     return (
         child.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-        .join(known, key, "left_anti")
+        .join(parent.select(key), key, "left_anti")
     )
 
 
-def reference_rule(child: DataFrame, table: str, key: str, parent: DataFrame, parent_table: str) -> DataFrame:
-    return unknown_references(child, key, parent).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"{key} must exist in {parent_table}").alias("rule"),
-        "violations",
-    )
+def not_in(column: str, allowed: tuple[str, ...]) -> Column:
+    """True for values outside the domain, NULL included."""
+    return ~F.coalesce(F.col(column).isin(*allowed), F.lit(False))
 
 
 def outside_domain(df: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
-    """Values outside the domain (NULL included) with their row counts."""
-    inside = F.coalesce(F.col(column).isin(*allowed), F.lit(False))
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("value_rows")).where(~inside)
-
-
-def domain_rule(df: DataFrame, table: str, column: str, allowed: tuple[str, ...]) -> DataFrame:
-    return outside_domain(df, column, allowed).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"{column} must be one of {', '.join(allowed)}").alias("rule"),
-        "violations",
-    )
+    """Values outside the domain with their row counts."""
+    return df.where(not_in(column, allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("value_rows"))
 
 
 def disagreements(child: DataFrame, key: str, attributes: tuple[str, ...], parent: DataFrame) -> DataFrame:
-    """Rows whose attributes differ from those of the parent they refer to.
-
-    Result: ``key``, the child's attributes, the parent's as ``expected_*`` and
-    the number of child rows.  Equal combinations are merged before the join.
-    """
+    """Combinations of ``key`` and attributes that differ from the parent's ``expected_*`` ones."""
     combos = child.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("key_rows"))
     expected = parent.select(key, *[F.col(a).alias(f"expected_{a}") for a in attributes])
     differs = reduce(lambda a, b: a | b,
@@ -126,6 +141,6 @@ def enforce(report: DataFrame, samples: dict[str, DataFrame] | None = None) -> N
     raise TransformationError("; ".join(lines))
 
 
-def require_unique(df: DataFrame, table: str, *key: str) -> None:
+def require_unique(df: DataFrame, table: str, key: str) -> None:
     """One-to-one joins call this before they join."""
-    enforce(key_rule(df, table, *key))
+    enforce(table_report(df, table, key=key))

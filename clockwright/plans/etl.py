@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from clockwright.plans.transform import transform_all
+from clockwright.scratch import materialize
 from clockwright.sources.raw import RawPaths, extract_all
 from clockwright.sources.tables import load_all
 
@@ -25,8 +26,15 @@ STORED_ORDER = {
 
 def run_etl(spark: SparkSession, raw_paths: RawPaths = RawPaths(),
             output_dir: str = "data/processed") -> dict[str, tuple[str, int]]:
-    """Extract, transform and load; returns path and row count per table."""
+    """Extract, transform and load; returns path and row count per table.
+
+    Checks, joins and sinks read the smaller tables several times, so their text
+    is parsed once and staged as columns.  The punches are read only once, by
+    the classification, which stores its own result.
+    """
     LOGGER.info("reading raw tables")
-    written = load_all(transform_all(extract_all(spark, raw_paths)), output_dir, STORED_ORDER)
+    raw = {name: df if name == "punches" else materialize(df, f"raw-{name}")
+           for name, df in extract_all(spark, raw_paths).items()}
+    written = load_all(transform_all(raw), output_dir, STORED_ORDER)
     LOGGER.info("wrote %s", {name: rows for name, (_, rows) in written.items()})
     return written

@@ -80,13 +80,12 @@ def label_changes(labels: DataFrame, before: DataFrame, after: DataFrame) -> Dat
 def label_report(labels: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
     """All rules on injected labels in one report."""
     return quality.union_reports(
-        quality.row_rules(labels, "labels", {
+        quality.table_report(labels, "labels", {
             "every label must be marked true": ~F.coalesce("is_anomaly", F.lit(False)),
-        }, allow_empty=False),
-        quality.key_rule(labels, "labels", "anomaly_id"),
-        quality.key_rule(labels, "labels", "punch_id"),
-        quality.reference_rule(labels, "labels", "punch_id", before, "punches"),
-        quality.row_rules(label_changes(labels, before, after), "labels", {
+        }, key="anomaly_id", allow_empty=False),
+        quality.table_report(labels, "labels", key="punch_id"),
+        quality.reference_report(labels, "labels", "punch_id", before, "punches"),
+        quality.table_report(label_changes(labels, before, after), "labels", {
             "every label must change a timestamp": ~F.col("changed"),
         }),
     )

@@ -13,34 +13,20 @@ from clockwright.plans.transform import employee_columns, parsed_punches, shift_
 
 def departments_report(raw: DataFrame) -> DataFrame:
     quality.require_columns(raw, "departments")
-    return quality.union_reports(
-        quality.row_rules(raw, "departments", {
-            "department_name must not be null": F.col("department_name").isNull(),
-        }, allow_empty=False),
-        quality.key_rule(raw, "departments", "department_id"),
-    )
+    return quality.table_report(raw, "departments", {
+        "department_name must not be null": F.col("department_name").isNull(),
+    }, key="department_id", allow_empty=False)
 
 
 def employees_report(raw: DataFrame, departments: DataFrame, expected_rows: int | None = None) -> DataFrame:
     quality.require_columns(raw, "employees")
     typed = employee_columns(raw)
     return quality.union_reports(
-        quality.row_rules(typed, "employees", {
+        quality.table_report(typed, "employees", {
             "hourly_rate must be positive": not_positive(F.col("hourly_rate")),
-        }, expected_rows=expected_rows),
-        quality.key_rule(typed, "employees", "employee_id"),
-        quality.reference_rule(typed, "employees", "department_id", departments, "departments"),
-        quality.domain_rule(typed, "employees", "employment_status", settings.EMPLOYMENT_STATUSES),
-    )
-
-
-def _agreement_rule(child: DataFrame, table: str, key: str, attribute: str, parent: DataFrame) -> DataFrame:
-    return quality.disagreements(child, key, (attribute,), parent).agg(
-        F.coalesce(F.sum("key_rows"), F.lit(0)).cast("bigint").alias("violations")
-    ).select(
-        F.lit(table).alias("table_name"),
-        F.lit(f"{attribute} must agree with the table {key} refers to").alias("rule"),
-        "violations",
+            "employment_status must be known": quality.not_in("employment_status", settings.EMPLOYMENT_STATUSES),
+        }, key="employee_id", expected_rows=expected_rows),
+        quality.reference_report(typed, "employees", "department_id", departments, "departments"),
     )
 
 
@@ -48,16 +34,14 @@ def shifts_report(raw: DataFrame, employees: DataFrame) -> DataFrame:
     quality.require_columns(raw, "shifts")
     typed = shift_columns(raw)
     return quality.union_reports(
-        quality.row_rules(typed, "shifts", {
+        quality.table_report(typed, "shifts", {
             "scheduled_start must be a valid timestamp": F.col("scheduled_start").isNull(),
             "scheduled_end must be a valid timestamp": F.col("scheduled_end").isNull(),
             "scheduled_end must be after scheduled_start": F.col("scheduled_end") <= F.col("scheduled_start"),
             "every shift must have the standard duration":
                 F.col("scheduled_hours") != F.lit(float(settings.STANDARD_SHIFT_HOURS)),
-        }, allow_empty=False),
-        quality.key_rule(typed, "shifts", "shift_id"),
-        quality.reference_rule(typed, "shifts", "employee_id", employees, "employees"),
-        _agreement_rule(typed, "shifts", "employee_id", "department_id", employees),
+        }, key="shift_id", allow_empty=False),
+        quality.reference_report(typed, "shifts", "employee_id", employees, "employees", ("department_id",)),
     )
 
 
@@ -65,17 +49,14 @@ def punches_report(raw: DataFrame, shifts: DataFrame) -> DataFrame:
     quality.require_columns(raw, "punches")
     typed = parsed_punches(raw.withColumn("__out_text", F.col("clock_out")))
     return quality.union_reports(
-        quality.row_rules(typed, "punches", {
+        quality.table_report(typed, "punches", {
             "clock_in must be a valid timestamp": F.col("clock_in").isNull(),
             "a given clock_out must be a valid timestamp":
                 F.col("__out_text").isNotNull() & F.col("clock_out").isNull(),
             "clock_out must be after clock_in": F.col("clock_out") <= F.col("clock_in"),
-        }, allow_empty=False),
-        quality.key_rule(typed, "punches", "punch_id"),
-        quality.reference_rule(typed, "punches", "shift_id", shifts, "shifts"),
-        _agreement_rule(typed, "punches", "shift_id", "employee_id", shifts),
-        _agreement_rule(typed, "punches", "shift_id", "department_id", shifts),
-        quality.domain_rule(typed, "punches", "punch_status", settings.PUNCH_STATUSES),
+            "punch_status must be known": quality.not_in("punch_status", settings.PUNCH_STATUSES),
+        }, key="punch_id", allow_empty=False),
+        quality.reference_report(typed, "punches", "shift_id", shifts, "shifts", ("employee_id", "department_id")),
     )
 
 

@@ -32,7 +32,7 @@ class PunchSplit:
 # --- departments -------------------------------------------------------------------
 
 def departments_report(raw: DataFrame) -> DataFrame:
-    return quality.key_rule(raw, "departments", "department_id")
+    return quality.table_report(raw, "departments", key="department_id")
 
 
 def transform_departments(raw: DataFrame) -> DataFrame:
@@ -52,12 +52,11 @@ def employee_columns(raw: DataFrame, *, date_pattern: str = DATE_PATTERN) -> Dat
 
 def employees_report(typed: DataFrame, departments: DataFrame) -> DataFrame:
     return quality.union_reports(
-        quality.row_rules(typed, "employees", {
+        quality.table_report(typed, "employees", {
             "hire_date must be a valid timestamp": F.col("hire_date").isNull(),
             "hourly_rate must be numeric and positive": not_positive(F.col("hourly_rate")),
-        }),
-        quality.key_rule(typed, "employees", "employee_id"),
-        quality.reference_rule(typed, "employees", "department_id", departments, "departments"),
+        }, key="employee_id"),
+        quality.reference_report(typed, "employees", "department_id", departments, "departments"),
     )
 
 
@@ -82,13 +81,12 @@ def shift_columns(raw: DataFrame, *, pattern: str = TIMESTAMP_PATTERN) -> DataFr
 
 def shifts_report(typed: DataFrame, employees: DataFrame) -> DataFrame:
     return quality.union_reports(
-        quality.row_rules(typed, "shifts", {
+        quality.table_report(typed, "shifts", {
             "scheduled_start must be a valid timestamp": F.col("scheduled_start").isNull(),
             "scheduled_end must be a valid timestamp": F.col("scheduled_end").isNull(),
             "scheduled_end must be after scheduled_start": F.col("scheduled_end") <= F.col("scheduled_start"),
-        }),
-        quality.key_rule(typed, "shifts", "shift_id"),
-        quality.reference_rule(typed, "shifts", "employee_id", employees, "employees"),
+        }, key="shift_id"),
+        quality.reference_report(typed, "shifts", "employee_id", employees, "employees"),
     )
 
 
@@ -184,7 +182,7 @@ def transform_punches(raw: DataFrame, shifts: DataFrame, employees: DataFrame, *
 # --- labels ------------------------------------------------------------------------
 
 def labels_report(raw: DataFrame) -> DataFrame:
-    return quality.row_rules(raw, "labels", {
+    return quality.table_report(raw, "labels", {
         "is_anomaly must contain true or false": parse_flag(F.col("is_anomaly")).isNull(),
     })
 

@@ -144,11 +144,13 @@ def triage_context(punches: DataFrame, scores: DataFrame,
                    days: int = settings.HISTORY_DAYS_DEFAULT) -> DataFrame:
     """Record, employee history, department baseline and prompt text of every flagged punch."""
     flagged = flagged_records(punches, scores)
-    history, baseline = employee_history(punches, days), department_baseline(punches, days)
+    history = employee_history(punches, days)
+    # written, so that the planner sees how small it is
+    baseline = materialize(department_baseline(punches, days), "baseline")
     return (
         flagged.withColumn("context_text", triage_text(flagged))
         .join(_prefixed(history, "employee_id", "employee_"), "employee_id", "left")
-        .join(F.broadcast(_prefixed(baseline, "department_id", "department_")), "department_id", "left")
+        .join(_prefixed(baseline, "department_id", "department_"), "department_id", "left")
     )
 
 

@@ -46,8 +46,13 @@ def _moved(moment: str, hours: str) -> str:
     return f"strftime(timestamp '1970-01-01' + to_minutes({minutes}), {_ISO})"
 
 
+def _rounded(x: str, digits: int) -> str:
+    """Rounded, with negative zero as zero."""
+    return f"case when round({x}, {digits}) = 0 then 0.0::double else round({x}, {digits}) end"
+
+
 _FEATURES = ", ".join(settings.FEATURE_COLUMNS)
-_ROUNDED = ", ".join(f"round({c}, 6) as {c}" for c in settings.FEATURE_COLUMNS)
+_ROUNDED = ", ".join(f"{_rounded(c, 6)} as {c}" for c in settings.FEATURE_COLUMNS)
 _HINT = "case " + " ".join(
     f"when {c} = greatest({_FEATURES}) then '{c}'" for c in settings.FEATURE_COLUMNS) + " end"
 _KEYS = "shift_id, employee_id, department_id, clock_in, clock_out"
@@ -313,20 +318,19 @@ def _key_rule(table: str, source: str, key: str) -> str:
 
 def _reference_rule(table: str, source: str, key: str, parent: str, parent_source: str) -> str:
     return _rule(table, f"{key} must exist in {parent}",
-                 f"select count(*) from (select distinct {key} from {source}) c "
+                 f"select count(*) from {source} c "
                  f"where not exists (select 1 from {parent_source} p where p.{key} = c.{key})")
 
 
-def _agreement_rule(table: str, source: str, key: str, attribute: str, parent_source: str) -> str:
-    return _rule(table, f"{attribute} must agree with the table {key} refers to",
+def _agreement_rule(table: str, source: str, key: str, attribute: str, parent: str, parent_source: str) -> str:
+    return _rule(table, f"{attribute} must agree with {parent}",
                  f"select count(*) from {source} c join {parent_source} p on p.{key} = c.{key} "
                  f"where c.{attribute} is distinct from p.{attribute}")
 
 
 def _domain_rule(table: str, source: str, column: str, allowed: tuple[str, ...]) -> str:
     listed = ", ".join(f"'{a}'" for a in allowed)
-    return _rule(table, f"{column} must be one of {', '.join(allowed)}",
-                 f"select count(distinct {column}) from {source} where {column} not in ({listed})")
+    return _rule(table, f"{column} must be known", _broken(source, f"{column} is null or {column} not in ({listed})"))
 
 
 _STANDARD_LABEL_RULE = _rule("labels", "is_anomaly must contain true or false",
@@ -335,10 +339,10 @@ _EMPTY = "select case when count(*) = 0 then 1 else 0 end from "
 
 _DQ_SUMMARY = "\nunion all\n".join([
     _rule("departments", "department_name must not be null", _broken("w_departments", "department_name is null")),
-    _rule("departments", "table is empty", _EMPTY + "w_departments"),
+    _rule("departments", "table must not be empty", _EMPTY + "w_departments"),
     _key_rule("departments", "w_departments", "department_id"),
     _rule("employees", "hourly_rate must be positive", _broken("w_employees", "not (hourly_rate > 0)")),
-    _rule("employees", "row count differs from expectation",
+    _rule("employees", "row count must be as expected",
           "select abs((select count(*) from w_employees) - (select count(*) from customer))"),
     _key_rule("employees", "w_employees", "employee_id"),
     _reference_rule("employees", "w_employees", "department_id", "departments", "w_departments"),
@@ -348,19 +352,19 @@ _DQ_SUMMARY = "\nunion all\n".join([
     _rule("shifts", "scheduled_end must be after scheduled_start",
           _broken("w_shifts", "scheduled_end <= scheduled_start")),
     _rule("shifts", "every shift must have the standard duration", _broken("w_shifts", "scheduled_hours <> 8.0")),
-    _rule("shifts", "table is empty", _EMPTY + "w_shifts"),
+    _rule("shifts", "table must not be empty", _EMPTY + "w_shifts"),
     _key_rule("shifts", "w_shifts", "shift_id"),
     _reference_rule("shifts", "w_shifts", "employee_id", "employees", "w_employees"),
-    _agreement_rule("shifts", "w_shifts", "employee_id", "department_id", "w_employees"),
+    _agreement_rule("shifts", "w_shifts", "employee_id", "department_id", "employees", "w_employees"),
     _rule("punches", "clock_in must be a valid timestamp", _broken("w_parsed", "clock_in is null")),
     _rule("punches", "a given clock_out must be a valid timestamp",
           f"select count(*) from w_punches_raw where clock_out is not null and ({_parse('clock_out')}) is null"),
     _rule("punches", "clock_out must be after clock_in", _broken("w_parsed", "clock_out <= clock_in")),
-    _rule("punches", "table is empty", _EMPTY + "w_punches_raw"),
+    _rule("punches", "table must not be empty", _EMPTY + "w_punches_raw"),
     _key_rule("punches", "w_punches_raw", "punch_id"),
     _reference_rule("punches", "w_punches_raw", "shift_id", "shifts", "w_shifts"),
-    _agreement_rule("punches", "w_punches_raw", "shift_id", "employee_id", "w_shifts"),
-    _agreement_rule("punches", "w_punches_raw", "shift_id", "department_id", "w_shifts"),
+    _agreement_rule("punches", "w_punches_raw", "shift_id", "employee_id", "shifts", "w_shifts"),
+    _agreement_rule("punches", "w_punches_raw", "shift_id", "department_id", "shifts", "w_shifts"),
     _domain_rule("punches", "w_punches_raw", "punch_status", settings.PUNCH_STATUSES),
     _STANDARD_LABEL_RULE,
 ])
@@ -382,7 +386,7 @@ _DQ_TRANSFORM = "\nunion all\n".join([
 
 _LABEL_CHANGE = "\nunion all\n".join([
     _rule("labels", "every label must be marked true", "select 0"),
-    _rule("labels", "table is empty", _EMPTY + "w_injected"),
+    _rule("labels", "table must not be empty", _EMPTY + "w_injected"),
     _rule("labels", "anomaly_id must be non-null and unique", "select count(*) - count(distinct number) from w_injected"),
     _key_rule("labels", "w_injected", "punch_id"),
     _reference_rule("labels", "w_injected", "punch_id", "punches", "w_punches_raw"),
@@ -424,12 +428,12 @@ _TIME_FORMS = f"""list_extract([strftime(o_orderdate, {_ISO}), strftime(o_orderd
 _NUMBER = r"'\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*'"
 
 _SCALING = " union all ".join(
-    f"select '{c}' as feature, round(avg({c}), 6) as mean, "
+    f"select '{c}' as feature, {_rounded(f'avg({c})', 6)} as mean, "
     f"round(case when stddev_pop({c}) = 0 then 1.0 else stddev_pop({c}) end, 6) as scale from w_features"
     for c in settings.FEATURE_COLUMNS)
 _SCALED = ", ".join(
-    f"round(({c} - avg({c}) over ()) / case when stddev_pop({c}) over () = 0 then 1.0 "
-    f"else stddev_pop({c}) over () end, 5) as {c}" for c in settings.FEATURE_COLUMNS)
+    _rounded(f"({c} - avg({c}) over ()) / case when stddev_pop({c}) over () = 0 then 1.0 "
+             f"else stddev_pop({c}) over () end", 5) + f" as {c}" for c in settings.FEATURE_COLUMNS)
 
 _CONTEXT = " || chr(10) || ".join(
     [f"'{settings.CONTEXT_HEADING}'"]
@@ -538,7 +542,8 @@ _STATEMENTS = {
         select punch_id, employee_id, round(employee_mean_worked_hours, 6) as employee_mean_worked_hours,
                round(employee_std_worked_hours, 6) as employee_std_worked_hours
         from w_features""",
-    "worked_zscore": "select punch_id, round(worked_hours_zscore, 6) as worked_hours_zscore from w_features",
+    "worked_zscore": f"""
+        select punch_id, {_rounded('worked_hours_zscore', 6)} as worked_hours_zscore from w_features""",
     "feature_matrix": f"""
         select punch_id, shift_id, employee_id, department_id, clock_in, {_ROUNDED} from w_features""",
     "reason_hint": "select punch_id, reason_hint from w_scored",

@@ -43,7 +43,11 @@ def all_queries() -> dict[str, Query]:
 
 
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Rounded columns, with negative zero as zero: engines disagree on its sign after rounding."""
+    def rounded(c: str) -> Column:
+        value = F.round(c, digits)
+        return F.when(value == 0.0, F.lit(0.0)).otherwise(value)
+    return df.withColumns({c: rounded(c) for c in columns})
 
 
 def _one_of(texts: tuple[str, ...], key: Column) -> Column:

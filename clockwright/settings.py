@@ -93,12 +93,12 @@ CONTEXT_FIELDS = (
     "reason_hint",
 )
 
-# --- fixed values: identifiers -------------------------------------------------------
+# --- fixed values: identifiers, prefix and minimum number of digits ---------------------
 ID_FORMATS = {
-    "employee": "EMP%05d",
-    "shift": "SFT%07d",
-    "punch": "PCH%07d",
-    "anomaly": "ANM%06d",
+    "employee": ("EMP", 5),
+    "shift": ("SFT", 7),
+    "punch": ("PCH", 7),
+    "anomaly": ("ANM", 6),
 }
 
 # --- tuning: rows of one key that a single task may sort ------------------------------

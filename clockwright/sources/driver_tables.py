@@ -33,7 +33,12 @@ def _plus(moment: str, minutes: str) -> str:
     return f"({moment} + make_dt_interval(0, 0, cast({minutes} as int)))"
 
 
-_DEPARTMENT = "format_string('D%03d', {0} + 1)"
+def _id(prefix: str, width: int, number: str) -> str:
+    digits = f"cast({number} as string)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
+
+
+_DEPARTMENT = _id("D", 3, "{0} + 1")
 _CAME = _plus("s", "k * 7919 % 91 - 30")
 _USUAL_OUT = "k * 104729 % 241 - 60"
 _EXTRA = "300 + k % 300"
@@ -63,7 +68,7 @@ class RawWorkforce:
     @cached_property
     def employees(self) -> DataFrame:
         return driver_table(self._spark, self._sf_dir, "customer").selectExpr(
-            "format_string('EMP%05d', c_custkey + 1) as employee_id",
+            f"{_id('EMP', 5, 'c_custkey + 1')} as employee_id",
             "c_name as first_name",
             "c_name as last_name",
             f"{_DEPARTMENT.format('c_nationkey')} as department_id",
@@ -82,8 +87,8 @@ class RawWorkforce:
         start = "o_orderdate + make_dt_interval(0, cast(o_orderkey % 3 * 8 as int))"
         return driver_table(self._spark, self._sf_dir, "orders").join(staff, "o_custkey").selectExpr(
             "o_orderkey as k",
-            "format_string('SFT%07d', o_orderkey + 1) as shift_id",
-            "format_string('EMP%05d', o_custkey + 1) as employee_id",
+            f"{_id('SFT', 7, 'o_orderkey + 1')} as shift_id",
+            f"{_id('EMP', 5, 'o_custkey + 1')} as employee_id",
             f"{_DEPARTMENT.format('c_nationkey')} as department_id",
             f"{start} as s",
             f"{start} + make_dt_interval(0, 8) as e",
@@ -103,7 +108,7 @@ class RawWorkforce:
         return self._scheduled.selectExpr(
             "*", "explode(if(k % 100 = 7, array(0, 1), array(0))) as copy",
         ).selectExpr(
-            "format_string('PCH%07d', k * 2 + copy + 1) as punch_id",
+            f"{_id('PCH', 7, 'k * 2 + copy + 1')} as punch_id",
             "if(k % 991 = 2, 'SFT9999999', shift_id) as shift_id",
             "if(k % 983 = 3, 'EMP99999', employee_id) as employee_id",
             "department_id",
@@ -118,8 +123,8 @@ class RawWorkforce:
     def labels(self) -> DataFrame:
         """One label per order whose clock-out carries the long overtime."""
         return self._scheduled.where(f"{_OVERTIME} and not {_MISSING}").selectExpr(
-            "format_string('ANM%06d', k + 1) as anomaly_id",
-            "format_string('PCH%07d', k * 2 + 1) as punch_id",
+            f"{_id('ANM', 6, 'k + 1')} as anomaly_id",
+            f"{_id('PCH', 7, 'k * 2 + 1')} as punch_id",
             "shift_id", "employee_id",
             "if(k % 4 = 3, 'insufficient_rest', 'extreme_overtime') as anomaly_type",
             f"{_iso(_CAME)} as original_clock_in",
@@ -134,7 +139,7 @@ class RawWorkforce:
 def review_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review updates: up to four per punch, some with a bad status or a long note."""
     return driver_table(spark, sf_dir, "events").selectExpr(
-        "format_string('PCH%07d', (event_id - event_id % 4) * 2 + 1) as punch_id",
+        f"{_id('PCH', 7, '(event_id - event_id % 4) * 2 + 1')} as punch_id",
         "case event_type when 'view' then 'pending' when 'click' then 'legitimate' when 'signup' then 'resolved' "
         "when 'error' then 'confirmed_issue' else 'archived' end as review_status",
         "if(event_id % 7 <> 0, repeat(props, cast(1 + event_id % 250 as int)), null) as reviewer_notes",
