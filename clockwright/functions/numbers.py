@@ -70,7 +70,24 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
 
 
 def round3(value: Column) -> Column:
-    return F.round(value, 3)
+    """Three decimals, nearest by the exact binary value, exact ties to even.
+
+    ``round`` decides ties on the shortest decimal text instead, which is wrong
+    for values such as 0.0625 or 1.0005.  Splitting the value in two halves makes
+    the distance to the nearest half step exact.
+    """
+    steps = F.rint(value * 2000.0)
+    high = value * 134217729.0 - (value * 134217729.0 - value)
+    beyond = (high * 2000.0 - steps) + (value - high) * 2000.0
+    below, above = (steps - 1.0) / 2.0, (steps + 1.0) / 2.0
+    thousandths = (
+        F.when(F.pmod(steps, F.lit(2.0)) == 0.0, steps / 2.0)
+        .when(beyond > 0.0, above)
+        .when(beyond < 0.0, below)
+        .when(F.pmod(below, F.lit(2.0)) == 0.0, below)
+        .otherwise(above)
+    )
+    return thousandths / 1000.0
 
 
 def ratio_or_zero(part: Column, whole: Column) -> Column:

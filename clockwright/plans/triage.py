@@ -34,15 +34,27 @@ def within_own_window(punches: DataFrame, key: str, days: int) -> DataFrame:
     )
 
 
+def _mean_hours(hours: Column, weight: Column | None = None) -> Column:
+    """Mean of hours that does not depend on the order of the rows.
+
+    Hours are summed as whole microseconds; sums of doubles would differ in the
+    last bit from run to run, which shows where a mean is half a rounding step.
+    """
+    micros = F.rint(hours * 3.6e9).cast("decimal(20,0)")
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    total = F.sum(micros if weight is None else micros * weight)
+    return total.cast("double") / (rows * 3.6e9)
+
+
 def employee_history(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT) -> DataFrame:
     """Hours and overtime per employee over their own last ``days`` days."""
     overtime = F.col("daily_overtime_hours")
     needed = punches.select("employee_id", "clock_in", "worked_hours", "daily_overtime_hours")
     return within_own_window(needed, "employee_id", days).groupBy("employee_id").agg(
         F.count(F.lit(1)).alias("record_count"),
-        round3(F.avg("worked_hours")).alias("mean_worked_hours"),
+        round3(_mean_hours(F.col("worked_hours"))).alias("mean_worked_hours"),
         round3(F.max("worked_hours")).alias("max_worked_hours"),
-        round3(F.avg(overtime)).alias("mean_overtime_hours"),
+        round3(_mean_hours(overtime)).alias("mean_overtime_hours"),
         F.count_if(overtime > 0).alias("overtime_shift_count"),
     )
 
@@ -63,7 +75,7 @@ def department_baseline(punches: DataFrame, days: int = settings.HISTORY_DAYS_DE
     n = F.col("n")
 
     def mean(column: str) -> Column:
-        return round3(F.sum(F.col(column) * n) / F.sum(n))
+        return round3(_mean_hours(F.col(column), n))
 
     def p95(column: str) -> Column:
         return round3(F.percentile(column, 0.95, n))

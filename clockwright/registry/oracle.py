@@ -51,6 +51,21 @@ def _rounded(x: str, digits: int) -> str:
     return f"case when round({x}, {digits}) = 0 then 0.0::double else round({x}, {digits}) end"
 
 
+def _round3(x: str) -> str:
+    """Three decimals, nearest by the exact binary value, ties to even."""
+    steps = f"round_even(({x}) * 2000.0::double, 0)"
+    high = f"(({x}) * 134217729.0::double - (({x}) * 134217729.0::double - ({x})))"
+    beyond = f"(({high} * 2000.0::double - {steps}) + (({x}) - {high}) * 2000.0::double)"
+    return (f"case when {steps}::bigint % 2 = 0 then {steps} / 2.0::double when {beyond} > 0 then ({steps} + 1) / 2.0::double "
+            f"when {beyond} < 0 or (({steps}::bigint - 1) // 2) % 2 = 0 then ({steps} - 1) / 2.0::double "
+            f"else ({steps} + 1) / 2.0::double end / 1000.0::double")
+
+
+def _mean(x: str) -> str:
+    """Mean of hours, summed as whole microseconds."""
+    return f"(sum(round_even({x} * 3.6e9::double, 0)::bigint)::double / (count(*) * 3.6e9::double))"
+
+
 _FEATURES = ", ".join(settings.FEATURE_COLUMNS)
 _ROUNDED = ", ".join(f"{_rounded(c, 6)} as {c}" for c in settings.FEATURE_COLUMNS)
 _HINT = "case " + " ".join(
@@ -218,18 +233,18 @@ _TABLES = {
     "w_review": """
         select s.*, coalesce(u.review_status, 'pending') as review_status, u.reviewer_notes
         from w_scores s left join w_last u on u.punch_id = s.punch_id""",
-    "w_history": """
-        select employee_id, count(*) as record_count, round(avg(worked_hours), 3) as mean_worked_hours,
-               round(max(worked_hours), 3) as max_worked_hours,
-               round(avg(daily_overtime_hours), 3) as mean_overtime_hours,
+    "w_history": f"""
+        select employee_id, count(*) as record_count, {_round3(_mean('worked_hours'))} as mean_worked_hours,
+               {_round3('max(worked_hours)')} as max_worked_hours,
+               {_round3(_mean('daily_overtime_hours'))} as mean_overtime_hours,
                count(*) filter (where daily_overtime_hours > 0) as overtime_shift_count
         from (select *, max(clock_in) over (partition by employee_id) as latest from w_clean)
         where clock_in >= latest - interval 90 day group by employee_id""",
-    "w_baseline": """
-        select department_id, count(*) as record_count, round(avg(worked_hours), 3) as mean_worked_hours,
-               round(quantile_cont(worked_hours, 0.95), 3) as p95_worked_hours,
-               round(avg(daily_overtime_hours), 3) as mean_overtime_hours,
-               round(quantile_cont(daily_overtime_hours, 0.95), 3) as p95_overtime_hours
+    "w_baseline": f"""
+        select department_id, count(*) as record_count, {_round3(_mean('worked_hours'))} as mean_worked_hours,
+               {_round3('quantile_cont(worked_hours, 0.95)')} as p95_worked_hours,
+               {_round3(_mean('daily_overtime_hours'))} as mean_overtime_hours,
+               {_round3('quantile_cont(daily_overtime_hours, 0.95)')} as p95_overtime_hours
         from (select *, max(clock_in) over (partition by department_id) as latest from w_clean)
         where clock_in >= latest - interval 90 day group by department_id""",
     "w_recent": """

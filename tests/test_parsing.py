@@ -79,6 +79,13 @@ def test_money_is_half_up_on_the_decimal_text(spark, values):
     assert column(spark, values, numbers.money, "double") == expected
 
 
+@hyp(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.integers(-10**6, 10**6).map(lambda i: i / 16),
+                          st.integers(-10**7, 10**7).map(lambda i: (i * 10 + 5) / 10_000)), min_size=60, max_size=60))
+def test_three_decimals_as_python_rounds(spark, values):
+    assert column(spark, values, numbers.round3, "double") == [round(v, 3) for v in values]
+
+
 def test_clip(spark):
     assert column(spark, [5.0, -5.0, 15.0], lambda v: numbers.clip(v, 0, 10), "double") == [5.0, 0.0, 10.0]
     with pytest.raises(ValueError):
