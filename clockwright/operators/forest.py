@@ -127,44 +127,81 @@ def fit_forest(features: DataFrame, key: str, columns: tuple[str, ...] = setting
     return materialize(candidates.groupBy("tree").applyInPandas(grow, NODE_SCHEMA), "forest-nodes")
 
 
+@dataclass(frozen=True)
+class _Walk:
+    """Trees laid out level by level, child 2i+1 or 2i+2 of slot i, all of one depth.
+
+    Leaves above the last level are followed by slots that always lead left, so
+    every walk takes ``depth`` steps and needs no links.
+    """
+
+    depth: int
+    feature: np.ndarray     # tree x inner slot
+    threshold: np.ndarray   # tree x inner slot
+    length: np.ndarray      # tree x slot of the last level
+    normal: float
+
+    @classmethod
+    def from_nodes(cls, table: pd.DataFrame) -> _Walk:
+        trees, depth = table["tree"].nunique(), int(table["depth"].max())
+        inner = 2 ** depth - 1
+        feature = np.zeros((trees, inner), dtype=np.int64)
+        threshold = np.full((trees, inner), np.inf)
+        length = np.zeros((trees, inner + 1))
+        for at, (_, nodes) in enumerate(table.groupby("tree", sort=True)):
+            nodes = nodes.sort_values("node")
+            slot = np.zeros(len(nodes), dtype=np.int64)
+            for node in nodes.itertuples():
+                here = slot[node.node]
+                if node.feature >= 0:
+                    slot[node.left_node], slot[node.right_node] = 2 * here + 1, 2 * here + 2
+                    feature[at, here], threshold[at, here] = node.feature, node.threshold
+                else:
+                    # the slot reached by going left from here to the last level
+                    last = ((here + 1) << (depth - node.depth)) - 1
+                    length[at, last - inner] = node.path_length
+        sample = int(table.loc[table["node"] == 0, "rows"].max())
+        return cls(depth, feature, threshold, length, mean_path(sample))
+
+    def scores(self, matrix: np.ndarray) -> np.ndarray:
+        if not self.normal:
+            return np.full(len(matrix), 0.5)
+        rows, width = matrix.shape
+        flat, base = np.ascontiguousarray(matrix).ravel(), np.arange(rows) * width
+        total = np.zeros(rows)
+        at, place = np.empty(rows, dtype=np.int64), np.empty(rows, dtype=np.int64)
+        value, split = np.empty(rows), np.empty(rows)
+        for feature, threshold, length in zip(self.feature, self.threshold, self.length):
+            at.fill(0)
+            for _ in range(self.depth):
+                np.take(feature, at, out=place, mode="clip")
+                place += base
+                np.take(flat, place, out=value, mode="clip")
+                np.take(threshold, at, out=split, mode="clip")
+                at += at
+                at += 1
+                at += value > split
+            at -= len(threshold)
+            total += length.take(at, mode="clip")
+        return np.exp2(-total / (len(self.feature) * self.normal))
+
+
 def forest_score(nodes: DataFrame, columns: tuple[str, ...] = settings.FEATURE_COLUMNS) -> Column:
     """Isolation score in (0, 1) of the row's feature columns; higher is more anomalous.
 
     ``nodes`` has at most trees x (2 x sample size - 1) rows, which is what gets
-    collected and broadcast.  Only the feature columns travel to Python.
+    collected and broadcast, as at most trees x 4 x sample size slots.  Only the
+    feature columns travel to Python.
     """
-    table = nodes.orderBy("tree", "node").toPandas()
+    table = nodes.toPandas()
     if table.empty:
         raise ValueError("the forest has no nodes")
-    starts = table.groupby("tree")["node"].size().cumsum().shift(fill_value=0)
-    base = table["tree"].map(starts).to_numpy()
-    roots = starts.to_numpy(dtype=np.int32)
-    # absolute positions; a leaf points to itself, so walking past it changes nothing
-    walk = (
-        np.maximum(table["feature"].to_numpy(), 0).astype(np.int32),
-        np.where(table["feature"] < 0, np.inf, table["threshold"]).astype(np.float64),
-        (table["left_node"].to_numpy() + base).astype(np.int32),
-        (table["right_node"].to_numpy() + base).astype(np.int32),
-        table["path_length"].to_numpy(dtype=np.float64),
-    )
-    sample = int(table.loc[table["node"] == 0, "rows"].max())
-    depth = int(table["depth"].max())
-    shared = nodes.sparkSession.sparkContext.broadcast((walk, roots, depth, mean_path(sample)))
+    shared = nodes.sparkSession.sparkContext.broadcast(_Walk.from_nodes(table))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        (feature, threshold, left, right, length), roots, depth, normal = shared.value
+        walk = shared.value
         for batch in batches:
-            matrix = np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])
-            scores = np.empty(len(matrix))
-            for begin in range(0, len(matrix), 512):
-                block = matrix[begin:begin + 512]
-                rows = np.arange(len(block))[:, None]
-                at = np.broadcast_to(roots, (len(block), len(roots)))
-                for _ in range(depth):
-                    at = np.where(block[rows, feature[at]] <= threshold[at], left[at], right[at])
-                mean = length[at].mean(axis=1)
-                scores[begin:begin + 512] = np.exp2(-mean / normal) if normal else 0.5
-            yield pd.Series(scores)
+            yield pd.Series(walk.scores(np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])))
 
     return score(*[F.col(c).cast("double") for c in columns])

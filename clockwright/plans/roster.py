@@ -21,36 +21,47 @@ def calendar_spine(spark: SparkSession, first: date, last: date) -> DataFrame:
     return spark.range(1).select(F.explode(_day_list(first, last)).alias("day"))
 
 
-def is_eligible(day: Column, schedule: Column) -> Column:
-    """Whether a schedule has shifts on a day; an unknown schedule is an error."""
+def eligible_days(schedule: Column, first: date, last: date) -> Column:
+    """The days of the range on which a schedule has shifts; an unknown schedule is an error."""
     every_day, weekdays = settings.SCHEDULES
+    days = _day_list(first, last)
     return (
-        F.when(schedule == every_day, True)
-        .when(schedule == weekdays, F.weekday(day) < 5)
+        F.when(schedule == every_day, days)
+        .when(schedule == weekdays, F.filter(days, lambda day: F.weekday(day) < 5))
         .otherwise(F.raise_error(F.concat(F.lit("unknown operating schedule: "),
-                                          F.coalesce(schedule, F.lit("NULL")))).cast("boolean"))
+                                          F.coalesce(schedule, F.lit("NULL")))).cast("array<date>"))
     )
 
 
-def roster_slots(employees: DataFrame, departments: DataFrame, first: date, last: date) -> DataFrame:
-    """One row per active employee and eligible day.
-
-    Days are exploded per employee row, which stays map-only; the schedule
-    comes from an equi-join with the departments.
-    """
+def roster_days(employees: DataFrame, departments: DataFrame, first: date, last: date) -> DataFrame:
+    """Active employees with the array of their eligible days (``days``)."""
     active = employees.where(F.col("employment_status") == settings.EMPLOYMENT_STATUSES[0])
     return (
         active.select("employee_id", "department_id")
         .join(departments.select("department_id", "operating_schedule"), "department_id")
-        .withColumn("day", F.explode(_day_list(first, last)))
-        .where(is_eligible(F.col("day"), F.col("operating_schedule")))
+        # a few bytes per row now, thousands once the days are there: spread the rows first
+        .repartition("employee_id")
+        .withColumn("days", eligible_days(F.col("operating_schedule"), first, last))
     )
 
 
-def roster_gaps(slots: DataFrame, shifts: DataFrame) -> DataFrame:
-    """Slots without a shift of that employee on that day."""
-    planned = shifts.select("employee_id", F.col("scheduled_start").cast("date").alias("day")).distinct()
-    return slots.join(planned, ["employee_id", "day"], "left_anti")
+def roster_slots(roster: DataFrame) -> DataFrame:
+    """One row per active employee and eligible day."""
+    return roster.select("employee_id", "department_id", "operating_schedule", F.explode("days").alias("day"))
+
+
+def roster_gaps(roster: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Slots without a shift of that employee on that day.
+
+    Worked days are gathered per employee, a set no larger than the range, and
+    subtracted before anything is exploded: slots are never shuffled.
+    """
+    worked = shifts.groupBy("employee_id").agg(
+        F.collect_set(F.col("scheduled_start").cast("date")).alias("worked"))
+    nothing = F.array().cast("array<date>")
+    missing = F.array_except("days", F.coalesce("worked", nothing))
+    return roster.join(worked, "employee_id", "left").select(
+        "employee_id", "department_id", "operating_schedule", F.explode(missing).alias("day"))
 
 
 def slot_intervals(slots: DataFrame, start_hour: Column | int) -> DataFrame:

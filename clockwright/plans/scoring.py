@@ -58,8 +58,8 @@ def train_model(punches: DataFrame, config: ForestConfig = ForestConfig()) -> Sc
 def save_artifacts(model: ScoredModel, model_dir: str, scores_path: str) -> int:
     """Store nodes, feature list and threshold as tables, then the scores; returns the score rows."""
     spark = model.nodes.sparkSession
-    facts = spark.createDataFrame([(list(model.features), model.threshold)],
-                                  "features array<string>, threshold double")
+    facts = spark.range(1).select(F.lit(list(model.features)).alias("features"),
+                                  F.lit(model.threshold).cast("double").alias("threshold"))
     write_table(model.nodes, f"{model_dir}/nodes.parquet")
     write_table(facts, f"{model_dir}/model.parquet")
     return write_table(model.results, scores_path, sort_by=("punch_id",))

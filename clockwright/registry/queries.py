@@ -88,8 +88,9 @@ def etl_table_counts(w: Workforce) -> DataFrame:
     paths = {name: f"{root}/raw/{name}.csv" for name in w.raw.as_dict()}
     write_raw_csv(w.raw.as_dict(), paths)
     written = run_etl(w.spark, RawPaths(**paths), f"{root}/processed")
-    return w.spark.createDataFrame([(name, rows) for name, (_, rows) in written.items()],
-                                   "table_name string, row_count long")
+    return w.spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("table_name"), F.lit(rows).cast("bigint").alias("row_count"))
+        for name, (_, rows) in written.items()])))
 
 
 # --- parsing and scalar functions -------------------------------------------------------
@@ -561,15 +562,15 @@ def calendar_spine(w: Workforce) -> DataFrame:
 @query
 def roster_slots(w: Workforce) -> DataFrame:
     """Expected shifts per department and day over the whole span of the shifts."""
-    slots = roster.roster_slots(w.employees, w.raw.departments, *w.day_range)
+    slots = roster.roster_slots(roster.roster_days(w.employees, w.raw.departments, *w.day_range))
     return slots.groupBy("department_id", "day").agg(F.count(F.lit(1)).alias("slots"))
 
 
 @query
 def roster_gaps(w: Workforce) -> DataFrame:
     """Days without a shift per employee over the whole span of the shifts."""
-    slots = roster.roster_slots(w.employees, w.raw.departments, *w.day_range)
-    return roster.roster_gaps(slots, w.shifts).groupBy("employee_id").agg(
+    days = roster.roster_days(w.employees, w.raw.departments, *w.day_range)
+    return roster.roster_gaps(days, w.shifts).groupBy("employee_id").agg(
         F.count(F.lit(1)).alias("days_without_shift"))
 
 

@@ -243,18 +243,19 @@ def test_slots_and_gaps(spark):
                                       "employee_id string, department_id string, employment_status string")
     departments = spark.createDataFrame([("D1", "24/7"), ("D2", "Weekdays")],
                                         "department_id string, operating_schedule string")
-    slots = roster.roster_slots(employees, departments, date(2026, 1, 2), date(2026, 1, 5))
+    days = roster.roster_days(employees, departments, date(2026, 1, 2), date(2026, 1, 5))
+    slots = roster.roster_slots(days)
     found = {(r.employee_id, r.day.day) for r in slots.collect()}
     assert found == {("E1", 2), ("E1", 3), ("E1", 4), ("E1", 5), ("E2", 2), ("E2", 5)}
     shifts = spark.createDataFrame([("E1", datetime(2026, 1, 3, 16)), ("E2", datetime(2026, 1, 2, 8))],
                                    "employee_id string, scheduled_start timestamp_ntz")
-    gaps = {(r.employee_id, r.day.day) for r in roster.roster_gaps(slots, shifts).collect()}
+    gaps = {(r.employee_id, r.day.day) for r in roster.roster_gaps(days, shifts).collect()}
     assert gaps == found - {("E1", 3), ("E2", 2)}
     planned = roster.slot_intervals(slots.where("employee_id = 'E1' and day = '2026-01-03'"), 16).first()
     assert planned.scheduled_end == datetime(2026, 1, 4)
     with pytest.raises(Exception, match="unknown operating schedule"):
-        roster.roster_slots(employees, departments.withColumn("operating_schedule", F.lit("Nights")),
-                            date(2026, 1, 2), date(2026, 1, 2)).collect()
+        roster.roster_days(employees, departments.withColumn("operating_schedule", F.lit("Nights")),
+                           date(2026, 1, 2), date(2026, 1, 2)).collect()
 
 
 # --- perturbation ----------------------------------------------------------------------------------------
