@@ -17,6 +17,23 @@ def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).where(F.col("key_rows") > max_rows).select(key)
 
 
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, *, counts: str = "key_rows",
+                 max_rows_per_key: int = settings.MAX_ROWS_PER_KEY) -> DataFrame:
+    """Join rows with a written table of one row per key, which counts the rows of its key.
+
+    A shuffle join followed by an aggregate on the same key would leave all rows
+    of a hot key in one task.  Rows of keys above the limit are joined by
+    broadcasting just those keys, at most ``rows / max_rows_per_key`` of them;
+    the rest are joined in whichever way the size of ``per_key`` suggests.
+    """
+    hot = per_key.where(F.col(counts) > max_rows_per_key).drop(counts)
+    ordinary = per_key.where(F.col(counts) <= max_rows_per_key).drop(counts)
+    if hot.isEmpty():
+        return rows.join(ordinary, key)
+    few = F.broadcast(hot)
+    return rows.join(few, key).unionByName(rows.join(few, key, "left_anti").join(ordinary, key))
+
+
 def with_previous_and_stats(
     df: DataFrame,
     key: str,

@@ -18,7 +18,7 @@ STORED_ORDER = {
     "departments": ("department_id",),
     "employees": ("employee_id",),
     "shifts": ("employee_id", "scheduled_start"),
-    "punches": ("employee_id", "clock_in"),
+    "punches": ("employee_id", "clock_in", "punch_id"),
     "quarantine": ("punch_id",),
     "labels": ("anomaly_id",),
 }

@@ -9,6 +9,7 @@ from clockwright.errors import LookupFailed
 from clockwright.functions.numbers import round3
 from clockwright.functions.text import triage_text
 from clockwright.functions.times import days_before
+from clockwright.operators.ordered import join_per_key
 from clockwright.schemas import DECISION_TYPE
 from clockwright.scratch import materialize
 
@@ -20,15 +21,19 @@ def check_days(days: int) -> int:
     return days
 
 
-def within_own_window(punches: DataFrame, key: str, days: int) -> DataFrame:
+def within_own_window(punches: DataFrame, key: str, days: int, *,
+                      max_rows_per_key: int = settings.MAX_ROWS_PER_KEY) -> DataFrame:
     """Punches of the last ``days`` days before the key's own latest punch, both ends included.
 
-    The latest punch per key is a grouped aggregate, written so that the join
-    knows its size; no window over a key is needed.
+    The latest punch per key is a grouped aggregate, written and joined back; no
+    window over a key is needed.
     """
-    anchors = materialize(punches.groupBy(key).agg(F.max("clock_in").alias("__latest")), "anchors")
+    anchors = materialize(
+        punches.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.max("clock_in").alias("__latest"), F.count(F.lit(1)).alias("key_rows")),
+        "anchors")
     return (
-        punches.join(anchors, key)
+        join_per_key(punches, anchors, key, max_rows_per_key=max_rows_per_key)
         .where(F.col("clock_in") >= days_before(F.col("__latest"), days))
         .drop("__latest")
     )
@@ -46,11 +51,13 @@ def _mean_hours(hours: Column, weight: Column | None = None) -> Column:
     return total.cast("double") / (rows * 3.6e9)
 
 
-def employee_history(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT) -> DataFrame:
+def employee_history(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT, *,
+                     max_rows_per_key: int = settings.MAX_ROWS_PER_KEY) -> DataFrame:
     """Hours and overtime per employee over their own last ``days`` days."""
     overtime = F.col("daily_overtime_hours")
     needed = punches.select("employee_id", "clock_in", "worked_hours", "daily_overtime_hours")
-    return within_own_window(needed, "employee_id", days).groupBy("employee_id").agg(
+    recent = within_own_window(needed, "employee_id", days, max_rows_per_key=max_rows_per_key)
+    return recent.groupBy("employee_id").agg(
         F.count(F.lit(1)).alias("record_count"),
         round3(_mean_hours(F.col("worked_hours"))).alias("mean_worked_hours"),
         round3(F.max("worked_hours")).alias("max_worked_hours"),
@@ -59,7 +66,8 @@ def employee_history(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAU
     )
 
 
-def department_baseline(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT) -> DataFrame:
+def department_baseline(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT, *,
+                        max_rows_per_key: int = settings.MAX_ROWS_PER_KEY) -> DataFrame:
     """Hours and overtime per department, means and exact 95th percentiles.
 
     Equal (worked, overtime) pairs are counted first, so that the percentile of
@@ -68,7 +76,7 @@ def department_baseline(punches: DataFrame, days: int = settings.HISTORY_DAYS_DE
     """
     needed = punches.select("department_id", "clock_in", "worked_hours", "daily_overtime_hours")
     counted = (
-        within_own_window(needed, "department_id", days)
+        within_own_window(needed, "department_id", days, max_rows_per_key=max_rows_per_key)
         .groupBy("department_id", "worked_hours", "daily_overtime_hours")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -162,6 +162,15 @@ def test_history_window_ends_at_the_own_latest_punch(punches):
     assert counts == {"E1": 2, "E2": 1}
 
 
+def test_hot_keys_do_not_change_histories(spark, sf_dir):
+    from clockwright.registry.workforce import Workforce
+    table = Workforce(spark, sf_dir).punches.withColumn(
+        "employee_id", F.when(F.hash("punch_id") % 3 == 0, "EMP00001").otherwise(F.col("employee_id")))
+    for plan in (triage.employee_history, triage.department_baseline):
+        some, all_, none = (sorted(map(tuple, plan(table, max_rows_per_key=n).collect())) for n in (40, 0, 10**9))
+        assert some == all_ == none
+
+
 def test_unknown_employee_has_no_records(spark, punches):
     asked = spark.createDataFrame([("E1",), ("E9",)], "employee_id string")
     rows = triage.for_requested(triage.employee_history(punches(punch("P1"))), "employee_id", asked).collect()
