@@ -88,6 +88,14 @@ def page(view: DataFrame, *, limit: int = settings.PAGE_LIMIT_DEFAULT, offset: i
     return view.orderBy(F.col("anomaly_score").desc(), F.col("punch_id")).offset(offset).limit(limit)
 
 
+def listing(view: DataFrame, *, flagged_only: bool = True, review_status: str | None = None,
+            department_id: str | None = None, limit: int = settings.PAGE_LIMIT_DEFAULT, offset: int = 0) -> dict:
+    """One page of records (at most 200) and the total under the same filters."""
+    rows = filtered(view, flagged_only=flagged_only, review_status=review_status, department_id=department_id)
+    items = [r.asDict() for r in page(rows, limit=limit, offset=offset).collect()]
+    return {"items": items, "total": total(rows).first().total, "limit": limit, "offset": offset}
+
+
 def get(view: DataFrame, punch_id: str) -> dict:
     row = view.where(F.col("punch_id") == punch_id).first()
     if row is None:

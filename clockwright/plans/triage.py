@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clockwright import settings
 from clockwright.errors import LookupFailed
 from clockwright.functions.numbers import round3
-from clockwright.functions.text import triage_text
+from clockwright.functions.text import json_record, triage_text
 from clockwright.functions.times import days_before
 from clockwright.operators.ordered import join_per_key
 from clockwright.schemas import DECISION_TYPE
@@ -139,20 +141,44 @@ def flagged_records(punches: DataFrame, scores: DataFrame) -> DataFrame:
     return scored_punches(punches, scores.where("predicted_anomaly"))
 
 
+def _record(df: DataFrame) -> dict | None:
+    """The first row as a JSON-safe record."""
+    row = df.select(json_record(df).alias("record")).first()
+    return json.loads(row.record) if row else None
+
+
 def flagged_record(punches: DataFrame, scores: DataFrame, punch_id: str) -> dict:
-    row = scored_punches(punches.where(F.col("punch_id") == punch_id), scores).first()
-    if row is None:
+    record = _record(scored_punches(punches.where(F.col("punch_id") == punch_id), scores))
+    if record is None:
         raise LookupFailed(f"unknown punch_id: {punch_id}")
-    if not row["predicted_anomaly"]:
+    if not record["predicted_anomaly"]:
         raise LookupFailed(f"record is not flagged: {punch_id}")
-    return row.asDict()
+    return record
+
+
+def employee_history_of(punches: DataFrame, employee_id: str, days: int = settings.HISTORY_DAYS_DEFAULT) -> dict:
+    """History of one employee with the recent punches, oldest first."""
+    own = punches.where(F.col("employee_id") == employee_id)
+    stats = _record(employee_history(own, days))
+    if stats is None:
+        return {"employee_id": employee_id, "record_count": 0}
+    recent = recent_punches(own, days).orderBy(F.col("recency").desc()).drop("recency")
+    rows = recent.select(json_record(recent).alias("record")).collect()
+    return stats | {"days": days, "recent_records": [json.loads(r.record) for r in rows]}
+
+
+def department_baseline_of(punches: DataFrame, department_id: str, days: int = settings.HISTORY_DAYS_DEFAULT) -> dict:
+    stats = _record(department_baseline(punches.where(F.col("department_id") == department_id), days))
+    if stats is None:
+        return {"department_id": department_id, "record_count": 0}
+    return stats | {"days": days}
 
 
 def shift_context(punches: DataFrame, punch_id: str) -> dict:
-    row = punches.where(F.col("punch_id") == punch_id).first()
-    if row is None:
+    record = _record(punches.where(F.col("punch_id") == punch_id))
+    if record is None:
         raise LookupFailed(f"unknown punch_id: {punch_id}")
-    return row.asDict()
+    return record
 
 
 def shift_contexts(punches: DataFrame, requests: DataFrame) -> DataFrame:

@@ -465,7 +465,7 @@ _STATEMENTS = {
         from (select *, list_extract({_texts(TOKEN_TEXTS)}, o_orderkey % {len(TOKEN_TEXTS)} + 1) as t from orders)""",
     "raw_csv_scan": "select * from w_punches_raw",
     "roundtrip_load": "select * from w_shifts",
-    "raw_table_counts": _counts(_RAW_TABLES),
+    "table_counts": _counts(_RAW_TABLES),
     "etl_table_counts": _counts(_STORED_TABLES),
     "transformed_tables": _counts(_STORED_TABLES),
     "parse_ts_bad_count": " union all ".join([
@@ -647,10 +647,10 @@ _STATEMENTS = {
                date_trunc('day', o_orderdate) + to_hours(cast((o_orderkey % 3) * 8 as integer)) as scheduled_start,
                date_trunc('day', o_orderdate) + to_hours(cast((o_orderkey % 3) * 8 + 8 as integer)) as scheduled_end
         from orders""",
-    "seeded_sample_rows": """
+    "seeded_sample": """
         select punch_id, shift_id from w_sampled
         where place <= greatest(1, round_even(eligible * 0.03::double, 0)::bigint)""",
-    "number_shifts": """
+    "number_rows": """
         select shift_id, employee_id, scheduled_start,
                row_number() over (order by employee_id, scheduled_start, shift_id) as shift_number
         from w_shifts""",

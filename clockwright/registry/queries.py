@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clockwright import settings
 from clockwright.functions import numbers, parsing, text, times
-from clockwright.operators import quality
+from clockwright.operators import numbering, quality, sampling
 from clockwright.operators.dedup import flag_later_copies
 from clockwright.operators.forest import forest_score
-from clockwright.operators.numbering import number_rows
-from clockwright.operators.sampling import seeded_sample
 from clockwright.plans import (
     evaluation, features as feature_plans, perturb, raw_checks, review, roster, scoring, transform, triage,
 )
@@ -20,9 +18,9 @@ from clockwright.plans.etl import run_etl
 from clockwright.registry.workforce import Workforce
 from clockwright.schemas import PUNCH_EVENT_KEYS
 from clockwright.scratch import materialize, scratch_path
-from clockwright.sources import driver_tables
+from clockwright.sources import driver_tables, tables
 from clockwright.sources.raw import RawPaths, read_csv
-from clockwright.sources.tables import read_table, table_counts, write_metrics, write_raw_csv, write_table
+from clockwright.sources.tables import read_table, write_metrics, write_raw_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -77,8 +75,8 @@ def roundtrip_load(w: Workforce) -> DataFrame:
 
 
 @query
-def raw_table_counts(w: Workforce) -> DataFrame:
-    return table_counts(w.raw.as_dict())
+def table_counts(w: Workforce) -> DataFrame:
+    return tables.table_counts(w.raw.as_dict())
 
 
 @query
@@ -329,7 +327,7 @@ def label_evaluable(w: Workforce) -> DataFrame:
 @query
 def transformed_tables(w: Workforce) -> DataFrame:
     """All six transforms with their checks, counted."""
-    return table_counts(transform.transform_all(w.raw.as_dict()))
+    return tables.table_counts(transform.transform_all(w.raw.as_dict()))
 
 
 # --- features ---------------------------------------------------------------------------------
@@ -581,15 +579,15 @@ def shift_interval(w: Workforce) -> DataFrame:
 
 
 @query
-def seeded_sample_rows(w: Workforce) -> DataFrame:
-    return seeded_sample(w.raw.punches, "punch_id", eligible=F.col("punch_status") == "complete").select(
+def seeded_sample(w: Workforce) -> DataFrame:
+    return sampling.seeded_sample(w.raw.punches, "punch_id", eligible=F.col("punch_status") == "complete").select(
         "punch_id", "shift_id")
 
 
 @query
-def number_shifts(w: Workforce) -> DataFrame:
-    return number_rows(w.shifts.select("shift_id", "employee_id", "scheduled_start"),
-                       ("employee_id", "scheduled_start", "shift_id"), "shift_number")
+def number_rows(w: Workforce) -> DataFrame:
+    return numbering.number_rows(w.shifts.select("shift_id", "employee_id", "scheduled_start"),
+                                 ("employee_id", "scheduled_start", "shift_id"), "shift_number")
 
 
 @query

@@ -85,7 +85,8 @@ def write_table(df: DataFrame, path: str, *, sort_by: tuple[str, ...] = ()) -> i
     except Exception as exc:
         folder.drop(staging)
         raise LoadError(f"could not write {path}: {exc}") from exc
-    return counted.get[_ROWS]
+    # the planner drops the counter together with an input it knows to be empty
+    return counted.get.get(_ROWS, 0)
 
 
 def load_all(tables: dict[str, DataFrame], output_dir: str,

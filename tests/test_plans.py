@@ -142,6 +142,8 @@ def test_filters_pages_and_look_ups(spark, scores):
     assert [r.punch_id for r in review.page(review.filtered(view), limit=2, offset=1).collect()] == ["P7", "P4"]
     assert tuple(review.summary(view).first()) == (8, 4, 7, 0)
     assert review.get(view, "P5")["review_status"] == "resolved"
+    listed = review.listing(view, limit=1, offset=3)
+    assert ([r["punch_id"] for r in listed["items"]], listed["total"], listed["limit"], listed["offset"]) == (["P5"], 4, 1, 3)
     with pytest.raises(LookupFailed):
         review.get(view, "P99")
     for bad in ({"limit": 0}, {"limit": 201}, {"offset": -1}):
@@ -201,11 +203,23 @@ def test_single_look_ups(punches, scores):
         triage.flagged_record(table, scores, "P99")
     with pytest.raises(LookupFailed, match="not flagged"):
         triage.flagged_record(table, scores, "P1")
-    assert triage.shift_context(table, "P1")["shift_id"] == "SP1"
+    context = triage.shift_context(table, "P1")
+    assert (context["shift_id"], context["clock_in"]) == ("SP1", "2026-01-01T08:00:00")
     with pytest.raises(LookupFailed):
         triage.shift_context(table, "P99")
 
 
+def test_one_employee_and_one_department(punches):
+    table = punches(*[punch(f"P{i:02d}", day=i, hours=9.0) for i in range(15)], punch("Q1", person="E2"))
+    history = triage.employee_history_of(table, "E1", 90)
+    assert (history["record_count"], history["overtime_shift_count"], history["days"]) == (15, 15, 90)
+    assert [r["punch_id"] for r in history["recent_records"]] == [f"P{i:02d}" for i in range(3, 15)]
+    assert triage.employee_history_of(table, "E9") == {"employee_id": "E9", "record_count": 0}
+    baseline = triage.department_baseline_of(table, "D1", 30)
+    assert (baseline["record_count"], baseline["p95_worked_hours"], baseline["days"]) == (16, 9.0, 30)
+    assert triage.department_baseline_of(table, "D9") == {"department_id": "D9", "record_count": 0}
+
+
 @pytest.mark.parametrize(("days", "ok"), [(6, False), (7, True), (365, True), (366, False)])
 def test_days(days, ok):
     if ok:

@@ -20,6 +20,14 @@ def test_write_replaces_and_counts(spark, tmp_path):
     assert os.listdir(tmp_path) == ["t.parquet"] or set(os.listdir(tmp_path)) <= {"t.parquet", ".t.parquet.crc"}
 
 
+def test_empty_tables(spark, tmp_path):
+    for n, empty in enumerate((spark.createDataFrame([], "v long"), spark.range(5).toDF("v").where("v > 9"),
+                               spark.range(5).toDF("v").where("false"))):
+        path = str(tmp_path / f"t{n}.parquet")
+        assert tables.write_table(empty, path, sort_by=("v",)) == 0
+        assert spark.read.schema("v long").parquet(path).count() == 0
+
+
 def test_failed_write_keeps_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     tables.write_table(spark.range(4).toDF("v"), path)
