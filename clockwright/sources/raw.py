@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clockwright.errors import ExtractionError
 from clockwright.functions.parsing import null_na_tokens
@@ -20,26 +20,50 @@ class RawPaths:
     labels: str = "data/raw/anomaly_labels.csv"
 
 
+_WHOLE_ROW = "__row_text"
+_EXTRA = "__extra_field"
+
+
 def read_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """One CSV with a header row.
 
-    Quotes are escaped by doubling.  ``multiline`` allows line breaks inside
-    quotes, but files then cannot be split, so it is off unless asked for.
+    Quotes are escaped by doubling.  Missing fields at the end of a row are
+    NULL; a row with more fields than the header is an error when it is read.
+    ``multiline`` allows line breaks inside quotes, but files then cannot be
+    split, so it is off unless asked for.
     """
+    reader = (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multiline)
+    )
     try:
+        names = reader.option("inferSchema", False).csv(path).columns
+        if not names:
+            raise ExtractionError(f"raw input {path} has no columns")
+        # rows of another width keep their text; pruned columns would hide the width
         table = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", multiline)
+            reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in [*names, _WHOLE_ROW]]))
+            .option("columnNameOfCorruptRecord", _WHOLE_ROW)
+            .option("columnPruning", False)
             .csv(path)
         )
     except AnalysisException as exc:
         raise ExtractionError(f"cannot read raw input {path}: {exc.getMessage()}") from exc
-    if not table.columns:
-        raise ExtractionError(f"raw input {path} has no columns")
-    return null_na_tokens(table)
+    return null_na_tokens(_refuse_wide_rows(table, names, path).select(*[f"`{n}`" for n in names]))
+
+
+def _refuse_wide_rows(table: DataFrame, names: list[str], path: str) -> DataFrame:
+    text = F.col(_WHOLE_ROW)
+    wider = ", ".join(f"`{n}` string" for n in [*names, _EXTRA])
+    again = F.from_csv(text, wider, {"quote": '"', "escape": '"'})
+    # naming a value of the row also keeps a plain count from reading the kept text alone
+    start = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    error = F.raise_error(F.concat(F.lit(f"{path}: the row that starts with '"), start,
+                                   F.lit("' has more fields than the header: "), text))
+    too_wide = text.isNotNull() & again[_EXTRA].isNotNull()
+    return table.where(F.when(too_wide, error.cast("boolean")).otherwise(F.lit(True)))
 
 
 def extract_all(spark: SparkSession, paths: RawPaths = RawPaths(), *,

@@ -129,6 +129,19 @@ def test_csv_dialect(spark, tmp_path):
     assert [tuple(r) for r in rows] == [('x"y', None, " NA "), ("two\nlines", "1", None)]
 
 
+def test_rows_of_another_width(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b,c\n1,2,3\n4\n"5,5",6\n')
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [
+        ("1", "2", "3"), ("4", None, None), ("5,5", "6", None)]
+    assert read_csv(spark, str(path)).count() == 3
+    path.write_text("a,b,c\n1,2,3\n4,5,6,7\n")
+    with pytest.raises(Exception, match="more fields than the header: 4,5,6,7"):
+        read_csv(spark, str(path)).select("b").count()
+    path.write_text('a b,c.d\n"x, y",NA\n')
+    assert [tuple(r) for r in read_csv(spark, str(path)).collect()] == [("x, y", None)]
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(ExtractionError):
         read_csv(spark, str(tmp_path / "absent.csv"))
