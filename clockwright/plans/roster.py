@@ -21,27 +21,36 @@ def calendar_spine(spark: SparkSession, first: date, last: date) -> DataFrame:
     return spark.range(1).select(F.explode(_day_list(first, last)).alias("day"))
 
 
-def eligible_days(schedule: Column, first: date, last: date) -> Column:
-    """The days of the range on which a schedule has shifts; an unknown schedule is an error."""
+def schedule_days(spark: SparkSession, first: date, last: date) -> DataFrame:
+    """The two known schedules, each with the array of its days in the range."""
     every_day, weekdays = settings.SCHEDULES
     days = _day_list(first, last)
-    return (
-        F.when(schedule == every_day, days)
-        .when(schedule == weekdays, F.filter(days, lambda day: F.weekday(day) < 5))
-        .otherwise(F.raise_error(F.concat(F.lit("unknown operating schedule: "),
-                                          F.coalesce(schedule, F.lit("NULL")))).cast("array<date>"))
-    )
+    return spark.range(1).select(F.inline(F.array(
+        F.struct(F.lit(every_day).alias("operating_schedule"), days.alias("days")),
+        F.struct(F.lit(weekdays).alias("operating_schedule"),
+                 F.filter(days, lambda day: F.weekday(day) < 5).alias("days")),
+    )))
 
 
 def roster_days(employees: DataFrame, departments: DataFrame, first: date, last: date) -> DataFrame:
-    """Active employees with the array of their eligible days (``days``)."""
+    """Active employees with the array of their eligible days (``days``).
+
+    An unknown schedule of an active employee is an error.
+    """
+    spark = employees.sparkSession
     active = employees.where(F.col("employment_status") == settings.EMPLOYMENT_STATUSES[0])
+    schedule = F.coalesce("operating_schedule", F.lit("NULL"))
+    unknown = F.raise_error(F.concat(F.lit("unknown operating schedule: "), schedule)).cast("array<date>")
+    # rows are small now and grow by the days they get: spread them first, by a fixed
+    # number of partitions, since adaptive execution would merge them again
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         active.select("employee_id", "department_id")
         .join(departments.select("department_id", "operating_schedule"), "department_id")
-        # a few bytes per row now, thousands once the days are there: spread the rows first
-        .repartition("employee_id")
-        .withColumn("days", eligible_days(F.col("operating_schedule"), first, last))
+        .repartition(spread, "employee_id")
+        # two rows
+        .join(F.broadcast(schedule_days(spark, first, last)), "operating_schedule", "left")
+        .withColumn("days", F.coalesce("days", unknown))
     )
 
 
