@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockwright.llm import exact_dedup, sharding
+from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, secret_scan, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -14,6 +15,7 @@ _QUERIES: dict[str, Query] = {}
 #: production parameters of the placement: slots per shard bound its imbalance below one percent
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
 SLOTS = 4099
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(build: Query) -> Query:
@@ -35,12 +37,52 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    kept_out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels, ~kept_out)
+    return (docs.select("doc_id", kept_out.alias("held_out"), toxicity.score_column(docs, model).alias("score"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(secret_scan.as_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.as_text(F.col("spans")).alias("spans"), "n_markov")
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    encoded = bpe.encode(documents(spark, sf_dir), vocabulary)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2(bpe.decode(vocabulary, F.col("ids")), 256).alias("decoded_sha256"))
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir).select("doc_id", "text"), SHARDS, SLOTS).select(
         "doc_id", "slot", "shard")
 
 
+@query
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprint_documents(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
 def oracle_sql() -> dict[str, str]:
     from clockwright.llm import sql
     return sql.statements()

@@ -16,9 +16,9 @@ with recursive shard as (
            ('0x' || substr(md5(format('shard-{:02d}', i) || ':first'), 1, 15))::bigint % 4099 as f,
            ('0x' || substr(md5(format('shard-{:02d}', i) || ':step'), 1, 15))::bigint % 4098 + 1 as s
     from range(32) r(i)),
-preference as (
+preference as materialized (
     select i, list((f + j * s) % 4099 order by j) as slots from shard, range(4099) p(j) group by i),
-preferences as (select list(slots order by i) as of from preference),
+preferences as materialized (select list(slots order by i) as of from preference),
 turn as (
     select 0 as t, null::bigint as slot, list_transform(range(4099), lambda x: false) as claimed
     union all
@@ -31,9 +31,114 @@ from documents join owner o
   on o.slot = ('0x' || substr(md5(coalesce(doc_id::varchar, text, '')), 1, 15))::bigint % 4099
 """
 
+#: label, wording, key phrase and its position, second key phrase and its position
+_NOTICES = [
+    ("mit", "released under the mit license", "mit license", 3, None, 0),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software "
+            "and associated documentation files", "permission is hereby granted", 0, "free of charge", 4),
+    ("apache-2", "licensed under the apache license version 2 0", "apache license version 2", 3, None, 0),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc", 2, None, 0),
+    ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa", 2, None, 0),
+    ("gpl-3", "licensed under the gnu general public license version 3", "gnu general public license", 3, "version 3", 7),
+    ("gpl-2", "licensed under the gnu general public license version 2", "gnu general public license", 3, "version 2", 7),
+    ("lgpl", "licensed under the gnu lesser general public license", "gnu lesser general public license", 3, None, 0),
+    ("agpl-3", "licensed under the gnu affero general public license version 3",
+     "gnu affero general public license", 3, None, 0),
+    ("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla public license", 5, None, 0),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
+     "redistribution and use in source and binary forms", 0, None, 0),
+    ("all-rights-reserved", "all rights reserved", "all rights reserved", 0, None, 0),
+]
+
+
+def _text(value: str | None) -> str:
+    return "null" if value is None else f"'{value}'"
+
+
+LICENSE_SCAN = f"""
+with d as (
+    select doc_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words
+    from documents),
+notice as (
+    select row_number() over () as id, label, string_split(wording, ' ') as wording,
+           string_split(key_one, ' ') as key_one, at_one, string_split(key_two, ' ') as key_two, at_two
+    from (values {', '.join(f"({_text(a)}, {_text(b)}, {_text(c)}, {e}, {_text(f)}::varchar, {g})" for a, b, c, e, f, g in _NOTICES)})
+         v(label, wording, key_one, at_one, key_two, at_two)),
+phrase(label, part) as (values ('mit', ['under', 'the', 'mit', 'license']),
+    ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])),
+idf as (
+    select w, ln((1 + (select count(*) from d)) / (1 + count(doc_id))) as weight
+    from (select distinct unnest(wording) as w from notice)
+    left join (select distinct doc_id, unnest(words) as has from d) on w = has group by w),
+-- starts of a notice, from 0: where its first key phrase stands at its position
+start as (
+    select doc_id, id, unnest(list_filter(range(-at_one, len(words)),
+               lambda s: words[s + at_one + 1:s + at_one + len(key_one)] = key_one
+                     and s + at_one >= 0
+                     and (key_two is null or words[s + at_two + 1:s + at_two + len(key_two)] = key_two))) as s
+    from d, notice where list_has_all(words, key_one)),
+share as (
+    select doc_id, id, s, sum(case when s + i >= 0 and words[s + i + 1] = wording[i + 1] then weight else 0 end) / sum(weight) as score
+    from start join d using (doc_id) join notice using (id), range(20) r(i) join idf on w = wording[i + 1]
+    where i < len(wording) group by all),
+found as (select doc_id, label, max(round(score, 6)) as score from share join notice using (id) group by all),
+place as (
+    select doc_id, label, unnest(list_filter(range(len(words)), lambda s: words[s + 1:s + len(part)] = part)) as s
+    from d, phrase where list_has_all(words, part)),
+base as (select doc_id, count(*) as n_base, min(s) as first_word, max(s) as last_word,
+                string_agg(distinct label, ',' order by label) as base_labels from place group by all),
+label as (
+    select doc_id, string_agg(distinct label, ',' order by label) as labels
+    from (select doc_id, label from place union all select doc_id, label from found where score >= 0.5) group by all),
+top as (select doc_id, max(score) as score from found group by all)
+select d.doc_id, len(words) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0) as score
+from d left join base using (doc_id) left join label using (doc_id) left join top using (doc_id)
+"""
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex(lower({text}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+
+def _hashes(words: str) -> str:
+    """Sorted list of the distinct shingle hashes of a column of word lists."""
+    return (f"list_sort(list_distinct(list_transform(range(greatest(len({words}) - 4, least(len({words}), 1))), "
+            f"lambda i: substr(md5(array_to_string({words}[i + 1:i + 5], ' ')), 1, 12))))")
+
+
+#: of the hashes, those below a threshold, and the smallest
+_BELOW = "list_filter({}, lambda h, i: h < '200000000000' or i = 1)"
+
+FINGERPRINTS = f"""
+with d as (
+    select doc_id, coalesce(text, '') as text, coalesce(lead(text) over w, first_value(text) over w, '') as next_text
+    from documents window w as (order by doc_id rows between unbounded preceding and unbounded following)),
+e as (select *, left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) as edited from d),
+w as materialized (
+    select doc_id, length(text) as n_chars, sha256(edited) as edited_sha256, {_words('text')} as wa,
+           {_words('edited')} as wb, {_words('next_text')} as wc from e),
+h as materialized (
+    select doc_id, n_chars, edited_sha256, {_hashes('wa')} as ha, {_hashes('wb')} as hb, {_hashes('wc')} as hc from w),
+s as materialized (
+    select doc_id, n_chars, edited_sha256, {_BELOW.format('ha')} as a, {_BELOW.format('hb')} as b,
+           {_BELOW.format('hc')} as c from h)
+select doc_id, n_chars, edited_sha256, array_to_string(a, ' ') as fingerprint,
+       array_to_string(b, ' ') as edited_fingerprint,
+       case when least(len(a), len(b)) > 0 then len(list_intersect(a, b)) / least(len(a), len(b))
+            else (len(a) = len(b))::int end::double as near_edited,
+       case when least(len(a), len(c)) > 0 then len(list_intersect(a, c)) / least(len(a), len(c))
+            else (len(a) = len(c))::int end::double as near_next
+from s
+"""
+
 
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
         "op8_sharding": SHARDING,
+        "op9_document_fingerprints": FINGERPRINTS,
+        "op10_license_scan": LICENSE_SCAN,
     }
