@@ -93,9 +93,11 @@ def with_matches(rows: DataFrame, text: str) -> DataFrame:
     shortest = {"__assign": MIN_ASSIGN, "__access": MIN_ACCESS, "__hex": MIN_HEX}
     stepped = rows.withColumns(steps)
     placed = stepped.withColumns({name: _placed(F.col(name)) for name in steps})
-    return placed.withColumns({
-        name: F.filter(F.col(name), lambda s, least=least: F.char_length(s["value"]) >= least)
-        for name, least in shortest.items()})
+    return placed.withColumns({name: _of_length(F.col(name), least) for name, least in shortest.items()})
+
+
+def _of_length(spans: Column, least: int) -> Column:
+    return F.filter(spans, lambda s: F.char_length(s["value"]) >= least)
 
 
 def _pairs(token: Column) -> Column:
