@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, secret_scan, sharding, toxicity
+from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, ngram_join, secret_scan, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -54,6 +54,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.as_text(F.col("spans")).alias("spans"), "n_markov")
 
 
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
