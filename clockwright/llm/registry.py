@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, ngram_join, secret_scan, sharding, toxicity
+from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, secret_scan, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -15,6 +15,9 @@ _QUERIES: dict[str, Query] = {}
 #: production parameters of the placement: slots per shard bound its imbalance below one percent
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
 SLOTS = 4099
+#: languages as given, sources and topics tempered; a fixed number of sweeps, which SQL can follow
+MIX = mixing.Targets({"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}, temper=0.7)
+SWEEPS = 8
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -46,6 +49,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.probabilities(documents(spark, sf_dir), MIX, sweeps=SWEEPS, tolerance=0.0)
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))

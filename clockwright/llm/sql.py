@@ -135,9 +135,73 @@ from s
 """
 
 
+#: a run of three lines is removed where an equal run began earlier and has ended
+LINE_DEDUP = """
+with d as (
+    select doc_id, sha256(coalesce(text, '')) as digest, text, string_split(coalesce(text, ''), chr(10)) as lines
+    from documents),
+run as (
+    select doc_id, digest, i, lines[i + 1:i + 3] as run
+    from (select *, unnest(range(len(lines) - 2)) as i from d where len(lines) >= 3)),
+first as (select run, min(row(doc_id, digest, i)) as f, count(*) as n from run group by run having count(*) > 1),
+removed as (
+    select doc_id, digest, list(distinct i + k) as gone
+    from run join first using (run), range(3) r(k)
+    where not (f[1] = doc_id and f[2] = digest) or i >= f[3] + 3
+    group by doc_id, digest)
+select doc_id, len(lines) as n_lines, coalesce(len(gone), 0) as n_removed,
+       case when gone is null then text
+            else array_to_string(list_filter(lines, lambda x, i: not list_contains(gone, i - 1)), chr(10)) end as text
+from d left join removed using (doc_id, digest)
+"""
+
+
+def _mixing(sweeps: int = 8) -> str:
+    steps, last, n = [], "w0", 0
+    for _ in range(sweeps):
+        for dimension in ("source", "lang", "topic"):
+            n += 1
+            steps.append(
+                f"w{n} as materialized (select c.source, c.lang, c.topic, c.tokens, "
+                f"c.weight * (case when s.share > 0 then coalesce(t.target, 0) / s.share else 0 end) as weight "
+                f"from {last} c join (select {dimension} as k, sum(weight) as share from {last} group by 1) s "
+                f"on c.{dimension} = s.k left join t_{dimension} t on t.k = s.k)")
+            last = f"w{n}"
+    def tempered(dimension: str) -> str:
+        return (f"t_{dimension} as materialized (select {dimension} as k, pow(sum(tokens), 0.7) "
+                f"/ sum(pow(sum(tokens), 0.7)) over () as target from cell group by 1 having sum(tokens) > 0)")
+    return f"""
+with d as materialized (
+    select doc_id, coalesce(source, '(none)') as source, coalesce(lang, '(none)') as lang,
+           case when contains(text, 'icense') or contains(text, 'rights reserved') then 'licence'
+                when contains(text, '@') then 'contact' when contains(text, ' | ') then 'table'
+                when contains(text, '!!') then 'loud' else 'general' end as topic,
+           len(list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) as tokens
+    from documents),
+cell as materialized (select source, lang, topic, sum(tokens) as tokens from d group by all),
+{tempered('source')}, {tempered('topic')},
+t_lang as materialized (
+    select k, w / sum(w) over () as target
+    from (values ('en', 0.55::double), ('de', 0.15::double), ('fr', 0.15::double), ('es', 0.15::double)) v(k, w)
+    where k in (select lang from cell where tokens > 0)),
+w0 as materialized (select *, tokens / (select sum(tokens) from cell) as weight from cell),
+{', '.join(steps)},
+factor as (select source, lang, topic, case when tokens > 0 then weight / tokens else 0 end as factor from {last}),
+p as (select source, lang, topic, round(factor / (select max(factor) from factor), 9) as probability from factor)
+select doc_id, source, lang, topic, tokens, probability,
+       ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':mix:0'), 1, 12))::bigint / pow(16, 12) < probability as sampled
+from d join p using (source, lang, topic)
+"""
+
+
+MIXING = _mixing()
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
+        "op3_line_dedup": LINE_DEDUP,
+        "op4_source_mixing": MIXING,
         "op8_sharding": SHARDING,
         "op9_document_fingerprints": FINGERPRINTS,
         "op10_license_scan": LICENSE_SCAN,
