@@ -234,7 +234,8 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
 
     found = None        # verified links so far
     for number, orders in enumerate((*_ROUNDS, None)):
-        labelled = prefixes if found is None else _across(prefixes, components(found))
+        labelled = (prefixes.withColumn("label", F.col("node")) if found is None
+                    else _across(prefixes, components(found)))
         if labelled is None:
             break
         candidates = _stars(labelled, orders, number) if orders else _all_pairs(labelled)
@@ -259,8 +260,6 @@ def _stars(rows: DataFrame, orders: int, seed: int) -> DataFrame:
     """Each class with the first class of its n-grams, by ``orders`` different orders; pairs of one component left out."""
     order = F.xxhash64("node", F.pmod(F.col("gram"), F.lit(orders)), F.lit(seed))
     rows = rows.withColumn("order", order)
-    label = F.col("label") if "label" in rows.columns else F.col("node")
-    rows = rows.withColumn("label", label)
     centres = rows.groupBy(*_GRAM).agg(
         F.min_by("node", "order").alias("centre"), F.min_by("label", "order").alias("centre_label"))
     return (rows.join(centres, _GRAM).where(F.col("label") != F.col("centre_label"))
