@@ -3,8 +3,8 @@
 A text has the set of its character 3-, 4- and 5-grams, hashed into a fixed
 number of buckets.  Each bucket is scaled by the logarithm of the ratio of its
 smoothed shares among toxic and other texts, and logistic regression is fitted
-on the scaled buckets.  Its intercept is moved to the share of toxic texts among
-all labelled rows.
+on the scaled buckets that tell the classes apart best.  Both classes weigh the
+same, so a score of 0.5 means that the evidence for either is equal.
 
 The classifier is fitted on at most ``MAX_ROWS_PER_CLASS`` labelled rows of each
 class, those with the smallest MD5 of their id; everything else reads all rows.
@@ -27,7 +27,7 @@ MAX_ROWS_PER_CLASS = 4_000
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 20
 #: buckets with the most evidence that the regression weighs
-FEATURES = 20_000
+FEATURES = 2_000
 #: labelled rows that must have a bucket before it counts
 MIN_ROWS = 3
 
@@ -99,19 +99,19 @@ def fit(documents: DataFrame, labels: DataFrame, allowed: Column | None = None,
         limit: int = MAX_ROWS_PER_CLASS) -> ToxicityModel:
     """Fit on labelled rows for which ``allowed``, a condition on the labels' columns, holds.
 
-    Without rows of both classes there is no evidence: the model has no weights.
+    Without rows of both classes there is no evidence: the model has no weights,
+    and every text scores the smoothed share of toxic labels.
     """
     spark = documents.sparkSession
     allowed = F.lit(True) if allowed is None else allowed
-    share = labels.where(F.col("toxic").isin(0, 1) & allowed).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
-    prior = _log_odds(share["toxic"] or 0, share["n"])
     rows = training_rows(documents, labels, allowed, limit)
     counts = (rows.mapInArrow(_count, "bucket long, toxic long, other long")
               .groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
     chosen = _most_telling(counts)
     if chosen is None:
-        return ToxicityModel(np.zeros(BUCKETS, np.float32), prior)
+        share = labels.where(F.col("toxic").isin(0, 1) & allowed).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+        return ToxicityModel(np.zeros(BUCKETS, np.float32), _log_odds(share["toxic"] or 0, share["n"]))
     buckets, ratio = chosen
     scale = np.zeros(BUCKETS, np.float32)
     scale[buckets] = ratio
@@ -131,7 +131,7 @@ def fit(documents: DataFrame, labels: DataFrame, allowed: Column | None = None,
     weights, intercept = _regress(
         [np.frombuffer(x, "<u4") for x in table.column("found").to_pylist()],
         table.column("toxic").to_numpy().astype(np.float64), scale)
-    return ToxicityModel(weights, intercept + prior)
+    return ToxicityModel(weights, intercept)
 
 
 def _most_telling(counts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
@@ -147,9 +147,9 @@ def _most_telling(counts: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     return best["bucket"].to_numpy(), best["ratio"].to_numpy(np.float32)
 
 
-def _regress(found: list[np.ndarray], toxic: np.ndarray, scale: np.ndarray, *, rounds: int = 150,
+def _regress(found: list[np.ndarray], toxic: np.ndarray, scale: np.ndarray, *, rounds: int = 400,
              rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on the scaled buckets; both classes weigh the same, so the intercept has no prior."""
+    """Logistic regression on the scaled buckets; both classes weigh the same."""
     order = np.lexsort((np.array([f.sum() for f in found], np.uint64), [len(f) for f in found]))
     found, toxic = [found[i] for i in order], toxic[order]
     column, place = np.unique(np.concatenate(found), return_inverse=True)
