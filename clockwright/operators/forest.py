@@ -24,7 +24,6 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left_node int, right_node int, "
     "rows int, depth int, path_length double"
 )
-_POOL = 65_536
 _OVERSAMPLE = 2
 _SPARE = 64
 _EULER = 0.5772156649015329
@@ -84,21 +83,17 @@ def fit_forest(features: DataFrame, key: str, columns: tuple[str, ...] = setting
     """The node table of a forest grown on ``features`` (a written table).
 
     Rows are drawn by hashes of ``key`` and seed, so the forest is the same for
-    any partitioning.  One hash pools about 65,536 rows; each tree then keeps
-    its smallest draws from the pool, a group of a few hundred rows.
+    any partitioning.  Every row has a draw for every tree, whatever the size of
+    the table; a tree keeps its smallest draws, a group of a few hundred rows.
     """
-    pooled = features.select(F.xxhash64(F.col(key), F.lit(config.seed)).alias("row_key"),
-                             *[F.col(c).cast("double").alias(c) for c in columns])
+    drawn = features.select(F.xxhash64(F.col(key), F.lit(config.seed)).alias("row_key"),
+                            *[F.col(c).cast("double").alias(c) for c in columns])
     total = features.count()
     if total == 0:
         return features.sparkSession.createDataFrame([], NODE_SCHEMA)
-    if total > _POOL:
-        pooled = pooled.where(F.pmod("row_key", F.lit(1 << 40)) < int((1 << 40) * min(1.0, 1.1 * _POOL / total)))
-    pooled = materialize(pooled, "forest-pool")
-    pool_rows = pooled.count()
-    size = min(config.sample_size, pool_rows)
+    size = min(config.sample_size, total)
     # enough candidates that a tree short of its sample is out of the question
-    share = min(1.0, (_OVERSAMPLE * size + _SPARE) / pool_rows)
+    share = min(1.0, (_OVERSAMPLE * size + _SPARE) / total)
     ceiling = np.uint64(min(2**64 - 1, int(share * 2**64)))
     trees, seed, names = config.trees, config.seed, list(columns)
     depth_limit = math.ceil(math.log2(max(size, 2)))
@@ -123,7 +118,7 @@ def fit_forest(features: DataFrame, key: str, columns: tuple[str, ...] = setting
         return frame
 
     fields = ", ".join(f"`{c}` double" for c in columns)
-    candidates = pooled.mapInPandas(assign, f"tree int, draw bigint, row_key bigint, {fields}")
+    candidates = drawn.mapInPandas(assign, f"tree int, draw bigint, row_key bigint, {fields}")
     return materialize(candidates.groupBy("tree").applyInPandas(grow, NODE_SCHEMA), "forest-nodes")
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clockwright.errors import TransformationError
+from clockwright.errors import LookupFailed, TransformationError
 from clockwright.schemas import REQUIRED_COLUMNS
 
 _SAMPLES = 20
@@ -144,3 +144,17 @@ def enforce(report: DataFrame, samples: dict[str, DataFrame] | None = None) -> N
 def require_unique(df: DataFrame, table: str, key: str) -> None:
     """One-to-one joins call this before they join."""
     enforce(table_report(df, table, key=key))
+
+
+def require_single_rows(tables: dict[str, DataFrame], key: str) -> None:
+    """Raise if a value of ``key`` occurs more than once in one of the named tables.
+
+    Keys are counted, combined map-side; one offender at most reaches the driver.
+    """
+    repeated = [
+        df.groupBy(key).count().where("count > 1").select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key_value"))
+        for name, df in tables.items()]
+    offender = reduce(DataFrame.unionByName, repeated).first()
+    if offender is not None:
+        raise LookupFailed(f"{offender.table_name}: {key} {offender.key_value} is not the only row of its key")

@@ -25,16 +25,18 @@ STORED_ORDER = {
 
 
 def run_etl(spark: SparkSession, raw_paths: RawPaths = RawPaths(),
-            output_dir: str = "data/processed") -> dict[str, tuple[str, int]]:
+            output_dir: str = "data/processed", *, multiline: bool = False) -> dict[str, tuple[str, int]]:
     """Extract, transform and load; returns path and row count per table.
 
+    ``multiline`` is for raw files with line breaks inside quotes.
+
     Checks, joins and sinks read the smaller tables several times, so their text
     is parsed once and staged as columns.  The punches are read only once, by
     the classification, which stores its own result.
     """
     LOGGER.info("reading raw tables")
     raw = {name: df if name == "punches" else materialize(df, f"raw-{name}")
-           for name, df in extract_all(spark, raw_paths).items()}
+           for name, df in extract_all(spark, raw_paths, multiline=multiline).items()}
     written = load_all(transform_all(raw), output_dir, STORED_ORDER)
     LOGGER.info("wrote %s", {name: rows for name, (_, rows) in written.items()})
     return written

@@ -11,6 +11,7 @@ from clockwright.operators.ordered import with_previous_and_stats
 from clockwright.schemas import SCORE_KEY_COLUMNS
 
 HINT = "reason_hint"
+_MICROS = 3.6e9     # of an hour
 
 
 def feature_inputs(punches: DataFrame) -> DataFrame:
@@ -28,17 +29,25 @@ def build_features(punches: DataFrame, *, max_rows_per_key: int = settings.MAX_R
     employees with very many punches out of a single sort.
     """
     worked = F.col("worked_hours")
+    # whole microseconds add up to the same number in any order, so that a table's
+    # size, which decides how groups are split, never shows in a statistic
+    micros = F.rint(worked * _MICROS).cast("decimal(16,0)")
     enriched = with_previous_and_stats(
         feature_inputs(punches), "employee_id", ("clock_in", "punch_id"),
         ("clock_out", "__previous_clock_out"),
-        {"employee_mean_worked_hours": F.avg(worked), "__std": F.stddev_samp(worked)},
+        {"__n": F.count(worked), "__sum": F.sum(micros), "__squares": F.sum((micros * micros).cast("decimal(28,0)")),
+         "__low": F.min(worked), "__high": F.max(worked)},
         max_rows_per_key=max_rows_per_key,
     )
+    n, total = F.col("__n"), F.col("__sum").cast("double")
+    spread = F.greatest(F.col("__squares").cast("double") - total * (total / n), F.lit(0.0)) / (n - 1)
     first_rest = F.lit(settings.FIRST_PUNCH_REST_HOURS)
     measured = enriched.withColumns({
         "rest_hours_before_shift":
             F.coalesce(hours_between(F.col("__previous_clock_out"), F.col("clock_in")), first_rest),
-        "employee_std_worked_hours": F.coalesce("__std", F.lit(0.0)),
+        "employee_mean_worked_hours": total / n / _MICROS,
+        "employee_std_worked_hours": F.when((n > 1) & (F.col("__low") < F.col("__high")), F.sqrt(spread) / _MICROS)
+                                      .otherwise(F.lit(0.0)),
     }).withColumn(
         "worked_hours_zscore",
         zscore(worked, F.col("employee_mean_worked_hours"), F.col("employee_std_worked_hours")),

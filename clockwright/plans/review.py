@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clockwright import settings
 from clockwright.errors import LookupFailed
+from clockwright.operators.quality import require_single_rows
 
 REVIEW_COLUMNS = (
     "punch_id", "shift_id", "employee_id", "department_id", "clock_in", "anomaly_score",
@@ -16,8 +17,12 @@ REVIEW_COLUMNS = (
 
 
 def seed(scores: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Base rows after seeding: known punches stay as they are, new ones start as pending."""
+    """Base rows after seeding: known punches stay as they are, new ones start as pending.
+
+    punch_id is the table's key: a new punch that occurs twice is an error.
+    """
     fresh = scores if existing is None else scores.join(existing.select("punch_id"), "punch_id", "left_anti")
+    require_single_rows({"scores": fresh}, "punch_id")
     rows = fresh.withColumns({
         "review_status": F.lit(settings.REVIEW_STATUSES[0]),
         "reviewer_notes": F.lit(None).cast("string"),

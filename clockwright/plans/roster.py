@@ -35,18 +35,23 @@ def schedule_days(spark: SparkSession, first: date, last: date) -> DataFrame:
 def roster_days(employees: DataFrame, departments: DataFrame, first: date, last: date) -> DataFrame:
     """Active employees with the array of their eligible days (``days``).
 
-    An unknown schedule of an active employee is an error.
+    An unknown department or schedule of an active employee is an error.
     """
     spark = employees.sparkSession
     active = employees.where(F.col("employment_status") == settings.EMPLOYMENT_STATUSES[0])
     schedule = F.coalesce("operating_schedule", F.lit("NULL"))
     unknown = F.raise_error(F.concat(F.lit("unknown operating schedule: "), schedule)).cast("array<date>")
+    nowhere = F.raise_error(F.concat(F.lit("active employee without a known department: "),
+                                     F.coalesce("employee_id", F.lit("NULL")))).cast("string")
     # rows are small now and grow by the days they get: spread them first, by a fixed
     # number of partitions, since adaptive execution would merge them again
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         active.select("employee_id", "department_id")
-        .join(departments.select("department_id", "operating_schedule"), "department_id")
+        .join(departments.select("department_id", "operating_schedule", F.lit(True).alias("__known")),
+              "department_id", "left")
+        .withColumn("operating_schedule", F.when(F.col("__known"), F.col("operating_schedule")).otherwise(nowhere))
+        .drop("__known")
         .repartition(spread, "employee_id")
         # two rows
         .join(F.broadcast(schedule_days(spark, first, last)), "operating_schedule", "left")

@@ -12,6 +12,7 @@ from clockwright.functions.numbers import round3
 from clockwright.functions.text import json_record, triage_text
 from clockwright.functions.times import days_before
 from clockwright.operators.ordered import join_per_key
+from clockwright.operators.quality import require_single_rows
 from clockwright.schemas import DECISION_TYPE
 from clockwright.scratch import materialize
 
@@ -56,6 +57,7 @@ def _mean_hours(hours: Column, weight: Column | None = None) -> Column:
 def employee_history(punches: DataFrame, days: int = settings.HISTORY_DAYS_DEFAULT, *,
                      max_rows_per_key: int = settings.MAX_ROWS_PER_KEY) -> DataFrame:
     """Hours and overtime per employee over their own last ``days`` days."""
+    check_days(days)
     overtime = F.col("daily_overtime_hours")
     needed = punches.select("employee_id", "clock_in", "worked_hours", "daily_overtime_hours")
     recent = within_own_window(needed, "employee_id", days, max_rows_per_key=max_rows_per_key)
@@ -137,8 +139,14 @@ def scored_punches(punches: DataFrame, scores: DataFrame) -> DataFrame:
 
 
 def flagged_records(punches: DataFrame, scores: DataFrame) -> DataFrame:
-    """Every flagged punch with its score columns; unflagged scores never reach the join."""
-    return scored_punches(punches, scores.where("predicted_anomaly"))
+    """Every flagged punch with its score columns; unflagged scores never reach the join.
+
+    A flagged punch_id that occurs twice on either side is an error.
+    """
+    flagged = scores.where("predicted_anomaly")
+    wanted = punches.join(flagged.select("punch_id").distinct(), "punch_id", "left_semi")
+    require_single_rows({"punches": wanted, "scores": flagged}, "punch_id")
+    return scored_punches(punches, flagged)
 
 
 def _record(df: DataFrame) -> dict | None:
@@ -190,7 +198,9 @@ def triage_context(punches: DataFrame, scores: DataFrame,
                    days: int = settings.HISTORY_DAYS_DEFAULT) -> DataFrame:
     """Record, employee history, department baseline and prompt text of every flagged punch."""
     flagged = flagged_records(punches, scores)
-    history = employee_history(punches, days)
+    # only the employees of flagged punches need a history
+    concerned = materialize(flagged.select("employee_id").distinct(), "flagged-employees")
+    history = employee_history(punches.join(concerned, "employee_id", "left_semi"), days)
     # written, so that the planner sees how small it is
     baseline = materialize(department_baseline(punches, days), "baseline")
     return (
@@ -204,33 +214,75 @@ def _prefixed(df: DataFrame, key: str, prefix: str) -> DataFrame:
     return df.select(key, *[F.col(c).alias(f"{prefix}{c}") for c in df.columns if c != key])
 
 
+def _json_type(value: Column) -> Column:
+    """Type of a JSON value: NULL if it is missing, VOID for a null."""
+    return F.schema_of_variant(value)
+
+
+def _field(json_value: Column, name: str) -> Column:
+    return F.try_variant_get(json_value, f"$.{name}", "variant")
+
+
+def _texts_only(value: Column) -> Column:
+    """Whether a field is missing or a list of strings without nulls."""
+    items = value.cast("array<variant>")
+    return F.when(value.isNull(), F.lit(True)).when(
+        F.startswith(_json_type(value), F.lit("ARRAY")),
+        F.forall(items, lambda x: F.coalesce(_json_type(x) == "STRING", F.lit(False)))).otherwise(F.lit(False))
+
+
 def parse_decisions(texts: DataFrame, column: str) -> DataFrame:
-    """JSON decisions as columns, with the first broken rule in ``problem``."""
+    """JSON decisions as columns, with the first broken rule in ``problem``.
+
+    Rules look at the JSON type of a field before its value: texts have to be
+    strings and lists lists, a number may also be written as a string.  Lists
+    and the prompt version may be missing, but not null; the model may be both.
+    """
     def length_within(value: Column, bounds: tuple[int, int]) -> Column:
         return F.coalesce(F.length(value).between(*bounds), F.lit(False))
 
-    parsed = texts.withColumn("decision", F.from_json(column, DECISION_TYPE))
+    def is_text(value: Column) -> Column:
+        return F.coalesce(_json_type(value) == "STRING", F.lit(False))
+
+    parsed = texts.withColumn("decision", F.from_json(column, DECISION_TYPE)).withColumn(
+        "__json", F.try_parse_json(F.col(column)))
     d = F.col("decision")
+
+    def given(name: str) -> Column:
+        return _field(F.col("__json"), name)
+
     evidence = F.coalesce(d.evidence, F.array().cast(DECISION_TYPE["evidence"].dataType))
-    evidence_ok = F.forall(evidence, lambda e: length_within(e.fact, settings.FACT_LENGTH)
-                           & length_within(e.source, settings.SOURCE_LENGTH))
+    items = given("evidence").cast("array<variant>")
+    evidence_ok = F.when(given("evidence").isNull(), F.lit(True)).when(
+        F.startswith(_json_type(given("evidence")), F.lit("ARRAY")),
+        F.forall(items, lambda e: is_text(_field(e, "fact")) & is_text(_field(e, "source")))
+        & F.forall(evidence, lambda e: length_within(e.fact, settings.FACT_LENGTH)
+                   & length_within(e.source, settings.SOURCE_LENGTH))).otherwise(F.lit(False))
+    confidence = F.try_variant_get(F.col("__json"), "$.confidence", "string").try_cast("double")
+    number = F.coalesce(_json_type(given("confidence")).rlike("^(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.lit(False))
     rules = {
-        "classification": F.coalesce(d.classification.isin(*settings.TRIAGE_CLASSES), F.lit(False)),
-        "confidence": F.coalesce(d.confidence.between(0.0, 1.0), F.lit(False)),
-        "summary": length_within(d.summary, settings.SUMMARY_LENGTH),
+        "classification": is_text(given("classification")) & F.coalesce(
+            d.classification.isin(*settings.TRIAGE_CLASSES), F.lit(False)),
+        "confidence": number & F.coalesce(confidence.between(0.0, 1.0), F.lit(False)),
+        "summary": is_text(given("summary")) & length_within(d.summary, settings.SUMMARY_LENGTH),
         "evidence": evidence_ok,
-        "recommended_action": length_within(d.recommended_action, settings.ACTION_LENGTH),
+        "missing_information": _texts_only(given("missing_information")),
+        "recommended_action": is_text(given("recommended_action")) & length_within(
+            d.recommended_action, settings.ACTION_LENGTH),
+        "tools_used": _texts_only(given("tools_used")),
+        "model": F.coalesce(_json_type(given("model")).isin("STRING", "VOID"), F.lit(True)),
+        "prompt_version": F.coalesce(_json_type(given("prompt_version")) == "STRING", F.lit(True)),
     }
     empty = F.array().cast("array<string>")
     return parsed.withColumn(
         "problem",
         F.coalesce(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]),
     ).withColumn("decision", F.struct(
-        d.classification.alias("classification"), d.confidence.alias("confidence"),
+        d.classification.alias("classification"), confidence.alias("confidence"),
         d.summary.alias("summary"), evidence.alias("evidence"),
         F.coalesce(d.missing_information, empty).alias("missing_information"),
         d.recommended_action.alias("recommended_action"),
         F.coalesce(d.tools_used, empty).alias("tools_used"),
         d.model.alias("model"),
         F.coalesce(d.prompt_version, F.lit(settings.PROMPT_VERSION)).alias("prompt_version"),
-    ))
+    )).drop("__json")

@@ -35,6 +35,7 @@ LABEL_COLUMNS = (
 # --- fixed values: what makes two punches the same business event -------------------
 PUNCH_EVENT_KEYS = ("shift_id", "employee_id", "department_id", "clock_in", "clock_out")
 
+# --- fixed values: columns that scores carry over, and the fields of a decision ------
 SCORE_KEY_COLUMNS = ("punch_id", "shift_id", "employee_id", "department_id", "clock_in")
 
 DECISION_TYPE = T.StructType([

@@ -7,6 +7,7 @@ later reads column pruning, pushdown and a real size for join planning.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    # a session that does not tell its master, and one of several local executors, count as clusters
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="clockwright-")
     spark.conf.set(_SETTING, root)

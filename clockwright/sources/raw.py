@@ -25,12 +25,13 @@ _EXTRA = "__extra_field"
 
 
 def read_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """One CSV with a header row.
+    """One CSV with a header row, in one file or several of the same columns.
 
     Quotes are escaped by doubling.  Missing fields at the end of a row are
-    NULL; a row with more fields than the header is an error when it is read.
-    ``multiline`` allows line breaks inside quotes, but files then cannot be
-    split, so it is off unless asked for.
+    NULL; a row with more fields than the header is an error when it is read,
+    and so is a file whose header differs.  ``multiline`` allows line breaks
+    inside quotes, but files then cannot be split, so it is off unless asked
+    for; without it a line that ends inside quotes is refused at once.
     """
     reader = (
         spark.read.option("header", True)
@@ -47,13 +48,25 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> Data
             reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in [*names, _WHOLE_ROW]]))
             .option("columnNameOfCorruptRecord", _WHOLE_ROW)
             .option("columnPruning", False)
+            .option("enforceSchema", False)
             .csv(path)
         )
+        if not multiline:
+            _refuse_open_quotes(spark, path)
     except AnalysisException as exc:
         raise ExtractionError(f"cannot read raw input {path}: {exc.getMessage()}") from exc
     return null_na_tokens(_refuse_wide_rows(table, names, path).select(*[f"`{n}`" for n in names]))
 
 
+def _refuse_open_quotes(spark: SparkSession, path: str) -> None:
+    """Doubled quotes come in pairs, so a line of an odd number of quotes ends inside a field."""
+    line = F.col("value")
+    broken = spark.read.text(path).where(
+        (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1).first()
+    if broken is not None:
+        raise ExtractionError(f"{path}: a line ends inside quotes; read it with multiline=True: {broken.value[:200]}")
+
+
 def _refuse_wide_rows(table: DataFrame, names: list[str], path: str) -> DataFrame:
     text = F.col(_WHOLE_ROW)
     wider = ", ".join(f"`{n}` string" for n in [*names, _EXTRA])

@@ -74,10 +74,15 @@ def test_scores_match_a_walk_and_rank_outliers_first(spark):
     assert {f"k{i:05d}" for i in range(5)} <= {r.k for r in top}
 
 
-def test_pooled_fit(spark, monkeypatch):
-    monkeypatch.setattr(forest, "_POOL", 800)
-    nodes = fit_forest(cloud(spark, rows=5000), "k", COLUMNS, CONFIG)
+def test_every_row_may_be_drawn(spark):
+    """A table far larger than the samples: draws come from all of it."""
+    rows = spark.range(80_000).select(F.col("id").cast("string").alias("k"), F.col("id").cast("double").alias("x"),
+                                      F.lit(0.0).alias("y"))
+    nodes = fit_forest(rows, "k", COLUMNS, ForestConfig(trees=60, sample_size=64))
     assert {r.rows for r in nodes.where("node = 0").collect()} == {64}
+    splits = [r.threshold for r in nodes.where("feature = 0").collect()]
+    assert min(splits) < 8_000 and max(splits) > 72_000
+    assert 35_000 < sum(splits) / len(splits) < 45_000
 
 
 def test_identical_rows_and_tiny_tables(spark):

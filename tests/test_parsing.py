@@ -147,3 +147,17 @@ def test_missing_input(spark, tmp_path):
         read_csv(spark, str(tmp_path / "absent.csv"))
     with pytest.raises(ExtractionError):
         extract_all(spark, RawPaths(*[str(tmp_path / "absent.csv")] * 5))
+
+
+def test_csv_that_would_be_misread_is_refused(spark, tmp_path):
+    broken = tmp_path / "broken.csv"
+    broken.write_text('a,b,c\n1,"x\ny",3\n')
+    with pytest.raises(ExtractionError, match="multiline"):
+        read_csv(spark, str(broken))
+    assert [tuple(r) for r in read_csv(spark, str(broken), multiline=True).collect()] == [("1", "x\ny", "3")]
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "one.csv").write_text("a,b\n1,2\n")
+    (folder / "two.csv").write_text("b,a\n4,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(folder)).collect()

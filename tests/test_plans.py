@@ -252,8 +252,54 @@ def test_decisions(spark):
     assert {r.problem for r in triage.parse_decisions(bare, "body").collect()} == {None, "classification"}
 
 
+def test_decisions_by_json_type(spark):
+    import json
+    good = {"classification": "escalate", "confidence": 0.9, "summary": "Unusual shift.", "recommended_action": "Review"}
+    cases = [
+        (None, {"confidence": "0.9"}), (None, {"confidence": 1}), (None, {"model": None}), (None, {"model": "m"}),
+        (None, {"tools_used": ["a"]}), (None, {"evidence": []}), (None, {"extra": 1}),
+        ("confidence", {"confidence": "high"}), ("confidence", {"confidence": None}), ("confidence", {"confidence": [1]}),
+        ("summary", {"summary": 5}), ("evidence", {"evidence": None}), ("evidence", {"evidence": [{"fact": 1, "source": "s"}]}),
+        ("evidence", {"evidence": ["x"]}), ("missing_information", {"missing_information": [1]}),
+        ("missing_information", {"missing_information": "x"}), ("tools_used", {"tools_used": None}),
+        ("tools_used", {"tools_used": [None]}), ("model", {"model": 3}), ("prompt_version", {"prompt_version": None}),
+    ]
+    texts = spark.createDataFrame([(i, json.dumps(good | change)) for i, (_, change) in enumerate(cases)], "k int, body string")
+    rows = {r.k: r for r in triage.parse_decisions(texts, "body").collect()}
+    assert {i: r.problem for i, r in rows.items()} == {i: problem for i, (problem, _) in enumerate(cases)}
+    assert rows[0].decision.confidence == 0.9
+
+
+def test_keys_that_repeat(spark):
+    punches = spark.createDataFrame([("p1", "e1"), ("p1", "e1"), ("p2", "e2")], "punch_id string, employee_id string")
+    scores = spark.createDataFrame([("p1", 0.9, True, "r"), ("p2", 0.1, False, "r"), ("p2", 0.1, False, "r")],
+                                   "punch_id string, anomaly_score double, predicted_anomaly boolean, reason_hint string")
+    with pytest.raises(LookupFailed, match="p1"):
+        triage.flagged_records(punches, scores)
+    assert triage.flagged_records(punches.distinct(), scores).count() == 1
+    with pytest.raises(LookupFailed, match="p2"):
+        review.seed(scores)
+
+
+def test_days_are_checked(spark):
+    with pytest.raises(ValueError):
+        triage.employee_history(spark.range(1), -5)
+
+
 # --- roster ------------------------------------------------------------------------------------------
 
+def test_unknown_department_is_an_error(spark):
+    from pyspark.errors import PySparkException
+    employees = spark.createDataFrame(
+        [("e1", "d1", "active"), ("e2", "d9", "active"), ("e3", None, "terminated")],
+        "employee_id string, department_id string, employment_status string")
+    departments = spark.createDataFrame([("d1", "24/7")], "department_id string, operating_schedule string")
+    days = (date(2026, 1, 1), date(2026, 1, 2))
+    with pytest.raises(PySparkException, match="e2"):
+        roster.roster_slots(roster.roster_days(employees, departments, *days)).collect()
+    assert roster.roster_slots(roster.roster_days(employees.where("employee_id <> 'e2'"), departments, *days)).count() == 2
+
+
 def test_spine(spark):
     days = [r.day for r in roster.calendar_spine(spark, date(2026, 1, 1), date(2026, 1, 3)).collect()]
     assert days == [date(2026, 1, 1), date(2026, 1, 2), date(2026, 1, 3)]
