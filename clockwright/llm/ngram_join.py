@@ -53,7 +53,7 @@ _ROUNDS = (1, 8)
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
-_48 = np.uint64((1 << 48) - 1)
+_32, _48 = np.uint64(32), np.uint64((1 << 48) - 1)
 
 
 class _WordHashes(dict):
@@ -106,24 +106,20 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 def _segments(documents: DataFrame, fragments: int) -> DataFrame:
     """Packed segments: for a fragment, nodes (16 bytes each), their numbers of n-grams and the n-grams (6 bytes)."""
-    # borders of the fragments in the order of the upper 32 bits
-    borders = np.array([(i << 32) // fragments for i in range(1, fragments)], np.uint64) << np.uint64(32)
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        parts: list[list[tuple[bytes, np.ndarray]]] = [[] for _ in range(fragments)]
+        parts: dict[int, list[tuple[bytes, np.ndarray]]] = {}
         gathered = 0
 
         def sent() -> pa.RecordBatch:
-            full = [f for f in range(fragments) if parts[f]]
+            full = sorted(parts)
             batch = pa.RecordBatch.from_arrays([
                 pa.array(full, pa.int32()),
                 pa.array([b"".join(node for node, _ in parts[f]) for f in full], pa.binary()),
                 pa.array([np.array([len(s) for _, s in parts[f]], "<u4").tobytes() for f in full], pa.binary()),
                 pa.array([_pack(np.concatenate([s for _, s in parts[f]])) for f in full], pa.binary()),
             ], ["fragment", "nodes", "sizes", "grams"])
-            for f in full:
-                parts[f] = []
+            parts.clear()
             return batch
 
         for batch in batches:
@@ -131,10 +127,12 @@ def _segments(documents: DataFrame, fragments: int) -> DataFrame:
                 hashes = shingle_hashes(text.as_py(), known)
                 if not len(hashes):
                     continue
-                node, at = _class_of(hashes), np.searchsorted(hashes, borders)
-                for f, segment in enumerate(np.split(hashes & _48, at)):
-                    if len(segment):
-                        parts[f].append((node, segment))
+                # hashes are sorted and so are the fragments, which the upper 32 bits number
+                fragment = ((hashes >> _32) * np.uint64(fragments)) >> _32
+                borders = np.flatnonzero(fragment[1:] != fragment[:-1]) + 1
+                node, starts = _class_of(hashes), np.concatenate([[0], borders])
+                for f, segment in zip(fragment[starts].tolist(), np.split(hashes & _48, borders)):
+                    parts.setdefault(f, []).append((node, segment))
                 gathered += len(hashes)
                 if gathered >= _GATHERED:
                     yield sent()
@@ -219,7 +217,7 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
     """Classes and their components: (doc_id, n, node) of every row, (node, label) of every linked class."""
     of = materialize(classes(documents), "classes") if of is None else of
     total = of.agg(F.sum("n")).first()[0] or 0
-    fragments = min(32_000, max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE)))
+    fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
     shared = materialize(
         _segments(documents, fragments).groupBy("fragment").applyInArrow(_shared_of_fragment, _SHARED), "shared")
     sizes = of.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n").alias("n"))
