@@ -1,14 +1,14 @@
 """Byte-level BPE: every distinct pre-token is encoded once, whatever the corpus' size.
 
-1. Pre-tokens are counted, in each task first; the distinct ones are shuffled
-   and each is encoded once by merging byte pairs in the order of their ranks.
-2. A few words make up most of a corpus and would be hot keys of a join.  The
-   ``HOT_WORDS`` most frequent short ones, a table of bounded size, are given to
-   every task.  All other pre-tokens of a text keep their place in it: they are
-   exploded as (text, place, word), join the encoded words by shuffle, and
-   return to their text.
+1. A few words make up most of a corpus and would be hot keys of a join.  The
+   frequent words of a bounded sample of documents, a table of bounded size, are
+   encoded and given to every task.  They save work; the ids do not depend on
+   which words they are.
+2. All other pre-tokens are exploded as (text, word, places) and shuffled by
+   word, so that equal words meet; each distinct one is encoded once, by merging
+   byte pairs in the order of their ranks, and its ids return to its texts.
 3. Each text's ids are put together by place.  Texts meet their pieces by
-   SHA-256, so equal texts share one row of pieces.
+   SHA-256, so equal texts share one set of pieces.
 
 Decoding looks up every id in the table of token bytes.  The vocabulary is a
 file of ranks whose path is a parameter; it is read by the driver and has a
@@ -20,25 +20,84 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import tiktoken
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clockwright.scratch import materialize
 
-#: frequent pre-tokens that every task knows, and their longest length in characters
-HOT_WORDS = 1 << 16
-HOT_LENGTH = 32
-#: distinct pre-tokens a task counts before it passes them on
-_COUNTED = 200_000
+#: documents in the sample that yields the frequent words
+SAMPLE_ROWS = 20_000
+#: frequent words that every task knows, and their longest length in characters
+HOT_WORDS = 1 << 17
+HOT_LENGTH = 256
 _HOLE = np.uint32(0xFFFFFFFF)
+#: a character that no version of Unicode assigns
+_UNASSIGNED = "\uffff"
+#: pieces up to this length are merged by looking through all pairs
+_SHORT = 64
+
+# --- fixed values ---------------------------------------------------------------------
+#: the pattern for which the letters, numbers and white space of the first 256 code points are known
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
+_NUMBERS = "0-9²³¹¼-¾"
+_SPACES = "\\t-\\r \\x85\\xa0"
+# --------------------------------------------------------------------------------------
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """A function that splits a text into the pattern's matches.
+
+    For texts of the first 256 code points the usual pattern is spelled out
+    without properties of characters, which is twice as fast.
+    """
+    findall = regex.compile(pattern).findall
+
+    def general(text: str) -> list[str]:
+        odd = [c for c in set(text) if unicodedata.category(c) == "Cn" and _unknown(c, pattern)]
+        if not odd:
+            return findall(text)
+        pieces, at = [], 0
+        for piece in findall(text.translate(dict.fromkeys(map(ord, odd), _UNASSIGNED))):
+            pieces.append(text[at:at + len(piece)])
+            at += len(piece)
+        return pieces
+
+    if pattern != _PATTERN:
+        return general
+    latin = re.compile(
+        f" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
+        f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+").findall
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return general(text)
+        return latin(text)
+
+    return split
+
+
+@lru_cache(maxsize=10_000)
+def _unknown(character: str, pattern: str) -> bool:
+    """Whether the character is too new to be a letter or number for the reference encoder, whatever ``regex`` says."""
+    ranks = {bytes([b]): b for b in range(256)}
+    ranks |= {(a + character).encode(): 256 + i for i, a in enumerate("a1")}
+    probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return all(len(probe.encode_ordinary(a + character)) > 1 for a in "a1")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,13 +109,30 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the adjacent pair of lowest rank, leftmost first, is merged until none has a rank.
 
-    Pairs wait in a heap, so long pieces take n log n steps.  Empty bytes have no ids.
+    Empty bytes have no ids.
     """
     if piece in ranks:
         return [ranks[piece]]
+    if len(piece) > _SHORT:
+        return _merge_long(piece, ranks)
+    none = len(ranks) + (1 << 32)
+    edge = list(range(len(piece) + 1))
+    rank = [ranks.get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+    while rank and (least := min(rank)) != none:
+        i = rank.index(least)
+        del edge[i + 1], rank[i]
+        if i < len(rank):
+            rank[i] = ranks.get(piece[edge[i]:edge[i + 2]], none)
+        if i:
+            rank[i - 1] = ranks.get(piece[edge[i - 1]:edge[i + 1]], none)
+    return [ranks[piece[a:b]] for a, b in zip(edge, edge[1:])]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same with the pairs in a heap, so long pieces take n log n steps."""
     size = len(piece)
     stop = list(range(1, size + 1))     # where the part that starts here ends; 0: merged into an earlier one
-    start = list(range(-1, size))       # start of the part before
+    before = list(range(-1, size))      # start of the part before
 
     def pair(i: int) -> tuple[int, int, int, int] | None:
         middle = stop[i]
@@ -69,12 +145,12 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     heapq.heapify(waiting)
     while waiting:
         _, i, middle, end = heapq.heappop(waiting)
-        if stop[i] != middle or not stop[middle] or stop[middle] != end:
+        if stop[i] != middle or stop[middle] != end:
             continue                    # one of its parts has been merged since
         stop[i], stop[middle] = end, 0
         if end < size:
-            start[end] = i
-        for j in (i, start[i]):
+            before[end] = i
+        for j in (i, before[i]):
             if j >= 0 and (p := pair(j)):
                 heapq.heappush(waiting, p)
     ids, i = [], 0
@@ -90,6 +166,7 @@ class Vocabulary:
 
     ranks: Broadcast
     pattern: str
+    kind: str       # type of a packed id; its largest number marks a hole
 
     @staticmethod
     def load(spark: SparkSession, path: str, pattern: str) -> Vocabulary:
@@ -97,52 +174,43 @@ class Vocabulary:
         lacking = [b for b in range(256) if bytes([b]) not in ranks]
         if lacking:
             raise ValueError(f"the vocabulary lacks single bytes: {lacking[:5]}")
-        return Vocabulary(spark.sparkContext.broadcast(ranks), pattern)
+        # two bytes hold most vocabularies
+        kind = "<u2" if max(ranks.values()) < 0xFFFF else "<u4"
+        return Vocabulary(spark.sparkContext.broadcast(ranks), pattern, kind)
 
 
 def _text(documents: DataFrame) -> DataFrame:
     return documents.select(F.coalesce("text", F.lit("")).alias("text"))
 
 
-def distinct_words(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, n): every distinct pre-token and how often it occurs, over all texts."""
-    pattern = vocabulary.pattern
+def frequent_words(documents: DataFrame, vocabulary: Vocabulary, *, rows: int = SAMPLE_ROWS,
+                   limit: int = HOT_WORDS) -> dict[str, bytes]:
+    """The most frequent words of about ``rows`` documents, with their packed ids."""
+    pattern, ranks, kind = vocabulary.pattern, vocabulary.ranks, vocabulary.kind
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = regex.compile(pattern).findall, Counter()
-
-        def passed_on():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-            seen.clear()
-            return batch
-
+        split = splitter(pattern)
         for batch in batches:
+            seen = Counter()
             for text in batch.column(0):
                 seen.update(split(text.as_py()))
-                if len(seen) >= _COUNTED:
-                    yield passed_on()
-        yield passed_on()
-
-    return _text(documents).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add ``ids``, four little-endian bytes for each, to a table of distinct words."""
-    ranks = vocabulary.ranks
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
     @F.pandas_udf("binary")
-    def encoded(column: pd.Series) -> pd.Series:
-        known = ranks.value
-        return pd.Series([np.array(merge_pairs(w.encode(), known), "<u4").tobytes() for w in column])
+    def encoded(words: pd.Series) -> pd.Series:
+        return pd.Series([_packed(w, ranks.value, kind) for w in words], dtype=object)
 
-    return words.withColumn("ids", encoded("word"))
+    total = documents.count()
+    sample = _text(documents).sample(min(1.0, rows / max(1, total)), seed=0)
+    words = (sample.mapInArrow(count, "word string, n long").where(F.char_length("word") <= HOT_LENGTH)
+             .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
+    table = words.select("word", encoded("word").alias("ids")).toArrow()
+    return dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
 
 
-def frequent_words(encoded: DataFrame, limit: int = HOT_WORDS) -> dict[str, bytes]:
-    """The most frequent short words and their ids: ``limit`` rows of bounded length at most."""
-    rows = (encoded.where(F.char_length("word") <= HOT_LENGTH)
-            .orderBy(F.desc("n"), "word").limit(limit).select("word", "ids").toArrow())
-    return dict(zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist()))
+def _packed(word: str, ranks: dict[bytes, int], kind: str) -> bytes:
+    return np.array(merge_pairs(word.encode(), ranks), kind).tobytes()
 
 
 def _holes(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> DataFrame:
@@ -150,7 +218,7 @@ def _holes(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> Data
     pattern = vocabulary.pattern
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = regex.compile(pattern).findall, hot.value
+        split, known = splitter(pattern), hot.value
         for batch in batches:
             keys, words, places = [], [], []
             for text in batch.column(0):
@@ -174,51 +242,83 @@ def _key(text: str) -> bytes:
     return hashlib.sha256(text.encode()).digest()[:16]
 
 
+def encode_words(holes: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(key, places, ids): equal words are brought together and each distinct one is encoded once.
+
+    Texts that repeat bring the same (word, key) again; one of those rows goes on.
+    """
+    ranks, kind = vocabulary.ranks, vocabulary.kind
+
+    def encode_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_word, last_key, ids = None, None, b""
+        for batch in batches:
+            taken, packed = [], []
+            for i, (key, word) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if word != last_word:
+                    last_word, last_key, ids = word, None, _packed(word, ranks.value, kind)
+                if key != last_key:
+                    last_key = key
+                    taken.append(i)
+                    packed.append(ids)
+            rows = batch.take(pa.array(taken, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(2), pa.array(packed, pa.binary())], ["key", "places", "ids"])
+
+    return (holes.repartition("word").sortWithinPartitions("word", "key")
+            .mapInArrow(encode_runs, "key binary, places binary, ids binary"))
+
+
 def _skeletons(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> DataFrame:
-    """(doc_id, key, skeleton): ids of the hot pre-tokens, holes marked; key is null for a text without holes."""
-    pattern = vocabulary.pattern
-    # two bytes hold most vocabularies; the last number marks a hole
-    kind = "<u2" if max(vocabulary.ranks.value.values()) < 0xFFFF else "<u4"
-    hole = np.array([_HOLE], "<u4").astype(kind).tobytes()
+    """(doc_id, key, skeleton): compressed ids of the hot pre-tokens, holes marked.
+
+    A text without holes gets a key that no pieces have, and one of its own
+    row, so that many copies do not meet.
+    """
+    pattern, hole = vocabulary.pattern, _hole(vocabulary.kind).tobytes()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern).findall
-        known = {w: np.frombuffer(ids, "<u4").astype(kind).tobytes() for w, ids in hot.value.items()}
+        split, compress, known = splitter(pattern), zstandard.ZstdCompressor(3).compress, hot.value
         for batch in batches:
             keys, skeletons = [], []
-            for text in batch.column(1):
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
                 content = text.as_py()
-                parts = [known.get(w) for w in split(content)]
-                keys.append(_key(content) if None in parts else None)
-                skeletons.append(b"".join([hole if p is None else p for p in parts]))
+                parts = [known.get(w, hole) for w in split(content)]
+                key = _key(content)
+                keys.append(key if hole in parts else _key(f"{doc_id.as_py()} {key.hex()}"))
+                skeletons.append(compress(b"".join(parts)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(skeletons, pa.binary())],
                 ["doc_id", "key", "skeleton"])
 
-    return (documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .mapInArrow(build, "doc_id long, key binary, skeleton binary")), kind
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(build, "doc_id long, key binary, skeleton binary")
+
+
+def _hole(kind: str) -> np.ndarray:
+    return np.array([_HOLE], "<u4").astype(kind)
 
 
 def _assemble(kind: str):
+    hole = _hole(kind)[0]
+
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             lists = []
             for skeleton, fill in zip(batch.column(1), batch.column(2)):
-                known = np.frombuffer(skeleton.as_py(), kind)
+                known = np.frombuffer(expand(skeleton.as_py()), kind)
                 if fill.is_valid:
                     pieces: dict[int, np.ndarray] = {}
                     for piece in fill.as_py():
-                        ids = np.frombuffer(piece["ids"], "<u4")
+                        ids = np.frombuffer(piece["ids"], kind)
                         for place in np.frombuffer(piece["places"], "<u4").tolist():
                             pieces[place] = ids
-                    holes = np.flatnonzero(known == np.array([_HOLE], "<u4").astype(kind)[0])
                     whole, last = [], 0
-                    for place, at in enumerate(holes.tolist()):
+                    for place, at in enumerate(np.flatnonzero(known == hole).tolist()):
                         whole += [known[last:at], pieces[place]]
                         last = at + 1
-                    lists.append(np.concatenate([*whole, known[last:]]).astype(np.int32))
-                else:
-                    lists.append(known.astype(np.int32))
+                    known = np.concatenate([*whole, known[last:]])
+                lists.append(known.astype(np.int32))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             values = np.concatenate(lists) if lists else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -226,22 +326,20 @@ def _assemble(kind: str):
     return assemble
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, *, hot_words: int = HOT_WORDS) -> DataFrame:
+def encode(documents: DataFrame, vocabulary: Vocabulary, *, sample_rows: int = SAMPLE_ROWS,
+           hot_words: int = HOT_WORDS) -> DataFrame:
     """(doc_id, ids): the ids of every text, one row per row of ``documents``.
 
     Null and empty texts have no ids.  Special tokens are ordinary text.
     Repeated rows each have their ids; doc_id may be null or repeat.  Only
-    doc_id and text are read.  The ids depend on the text alone, not on which
-    words were frequent.
+    doc_id and text are read.  The ids depend on the text alone.
     """
-    encoded = materialize(encode_words(distinct_words(documents, vocabulary), vocabulary), "encoded-words")
-    hot = documents.sparkSession.sparkContext.broadcast(frequent_words(encoded, hot_words))
-    rare = encoded.select("word", "ids")
-    filled = (_holes(documents, vocabulary, hot).dropDuplicates(["key", "word"]).join(rare, "word")
+    hot = documents.sparkSession.sparkContext.broadcast(
+        frequent_words(documents, vocabulary, rows=sample_rows, limit=hot_words))
+    pieces = (encode_words(_holes(documents, vocabulary, hot), vocabulary)
               .groupBy("key").agg(F.collect_list(F.struct("places", "ids")).alias("pieces")))
-    skeletons, kind = _skeletons(documents, vocabulary, hot)
-    return (skeletons.join(filled, "key", "left").select("doc_id", "skeleton", "pieces")
-            .mapInArrow(_assemble(kind), "doc_id long, ids array<int>"))
+    return (_skeletons(documents, vocabulary, hot).join(pieces, "key", "left").select("doc_id", "skeleton", "pieces")
+            .mapInArrow(_assemble(vocabulary.kind), "doc_id long, ids array<int>"))
 
 
 def decode(vocabulary: Vocabulary, ids: Column) -> Column:
@@ -249,17 +347,29 @@ def decode(vocabulary: Vocabulary, ids: Column) -> Column:
     ranks = vocabulary.ranks
 
     @F.pandas_udf("binary")
-    def decoded(column: pd.Series) -> pd.Series:
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = {rank: token for token, rank in ranks.value.items()}
-        return pd.Series([b"" if x is None else b"".join([table[i] for i in x.tolist()]) for x in column])
+        for column in batches:
+            yield pd.Series([b"" if x is None else b"".join(map(table.__getitem__, x.tolist())) for x in column],
+                            dtype=object)
 
     return decoded(ids)
 
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256, in hexadecimal, of the decimal ids joined by commas."""
-    @F.pandas_udf("string")
-    def digest(column: pd.Series) -> pd.Series:
-        return pd.Series([hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in column])
+def digests(vocabulary: Vocabulary, ids: Column) -> Column:
+    """ids_sha256 and decoded_sha256: of the decimal ids joined by commas, and of the decoded bytes, in hexadecimal."""
+    ranks = vocabulary.ranks
 
-    return digest(F.coalesce(ids, F.array().cast("array<int>")))
+    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        table = {rank: token for token, rank in ranks.value.items()}
+        decimal = {rank: str(rank) for rank in table}
+        for column in batches:
+            found = []
+            for x in column:        # text by text: numbers as objects take many times their size
+                known = [] if x is None else x.tolist()
+                found.append((hashlib.sha256(",".join(map(decimal.__getitem__, known)).encode()).hexdigest(),
+                              hashlib.sha256(b"".join(map(table.__getitem__, known))).hexdigest()))
+            yield pd.DataFrame(found, columns=["ids_sha256", "decoded_sha256"], dtype=object)
+
+    return both(ids)

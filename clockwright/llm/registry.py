@@ -75,10 +75,8 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    encoded = bpe.encode(documents(spark, sf_dir), vocabulary)
-    return encoded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2(bpe.decode(vocabulary, F.col("ids")), 256).alias("decoded_sha256"))
+    encoded = bpe.encode(documents(spark, sf_dir), vocabulary).withColumn("d", bpe.digests(vocabulary, F.col("ids")))
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "d.ids_sha256", "d.decoded_sha256")
 
 
 @query
