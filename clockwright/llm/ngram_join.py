@@ -42,11 +42,11 @@ WIDTH = 5
 #: similarity in hundredths
 LEAST = 75
 #: n-grams of a fragment, which one task holds at a time, and the fewest fragments
-FRAGMENT_SIZE = 8_000_000
-MIN_FRAGMENTS = 16
+FRAGMENT_SIZE = 2_000_000
+MIN_FRAGMENTS = 64
 #: n-grams that a task gathers before it sends segments on
 _GATHERED = 1_000_000
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 100_000
 #: classes each class is compared with per round, before the last round compares all that are left
 _ROUNDS = (1, 8)
 
@@ -92,10 +92,13 @@ def classes(documents: DataFrame) -> DataFrame:
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for batch in batches:
-            sets = [shingle_hashes(t.as_py(), known) for t in batch.column(1)]
+            sizes, nodes = [], []
+            for text in batch.column(1):
+                hashes = shingle_hashes(text.as_py(), known)
+                sizes.append(len(hashes))
+                nodes.append(_class_of(hashes) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_class_of(s) if len(s) else None for s in sets], pa.binary())], ["doc_id", "n", "node"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["doc_id", "n", "node"])
 
     return _texts(documents).mapInArrow(classify, "doc_id long, n long, node binary")
 
@@ -171,11 +174,12 @@ def _shared_of_fragment(table: pa.Table) -> pa.Table:
         sizes.append(numbers[keep])
     all_grams, all_sizes = np.concatenate(grams), np.concatenate(sizes)
     del grams
-    order = np.argsort(all_grams, kind="stable")
+    order = np.argsort(all_grams)
     ordered = all_grams[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    count = np.diff(np.append(first, len(ordered)))
-    spread = np.empty(len(ordered), np.int32)
+    del ordered
+    count = np.diff(np.append(first, len(order)))
+    spread = np.empty(len(order), np.int32)
     spread[order] = np.repeat(np.minimum(count, 2 ** 31 - 1), count)
     shared = spread > 1
     ends = np.cumsum(all_sizes)
