@@ -25,7 +25,6 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,6 +42,8 @@ SAMPLE_ROWS = 20_000
 HOT_WORDS = 1 << 17
 HOT_LENGTH = 256
 _HOLE = np.uint32(0xFFFFFFFF)
+#: rows that a task gathers before it sends them on
+_SENT = 20_000
 #: a character that no version of Unicode assigns
 _UNASSIGNED = "\uffff"
 #: pieces up to this length are merged by looking through all pairs
@@ -63,10 +64,12 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     For texts of the first 256 code points the usual pattern is spelled out
     without properties of characters, which is twice as fast.
     """
-    findall = regex.compile(pattern).findall
+    findall, unknown = regex.compile(pattern).findall, {}
 
     def general(text: str) -> list[str]:
-        odd = [c for c in set(text) if unicodedata.category(c) == "Cn" and _unknown(c, pattern)]
+        new = [c for c in set(text) if unicodedata.category(c) == "Cn"]
+        unknown.update({c: _unknown(c, pattern) for c in new if c not in unknown})
+        odd = [c for c in new if unknown[c]]
         if not odd:
             return findall(text)
         pieces, at = [], 0
@@ -91,7 +94,6 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return split
 
 
-@lru_cache(maxsize=10_000)
 def _unknown(character: str, pattern: str) -> bool:
     """Whether the character is too new to be a letter or number for the reference encoder, whatever ``regex`` says."""
     ranks = {bytes([b]): b for b in range(256)}
@@ -219,21 +221,28 @@ def _holes(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> Data
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, known = splitter(pattern), hot.value
+        keys, words, places = [], [], []
+
+        def found() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(words, pa.string()), pa.array(places, pa.binary())],
+                ["key", "word", "places"])
+            for column in (keys, words, places):
+                column.clear()
+            return batch
+
         for batch in batches:
-            keys, words, places = [], [], []
             for text in batch.column(0):
                 content = text.as_py()
                 at: dict[str, list[int]] = {}
-                rare = [w for w in split(content) if w not in known]
-                for place, word in enumerate(rare):
+                for place, word in enumerate(w for w in split(content) if w not in known):
                     at.setdefault(word, []).append(place)
-                if at:
-                    keys += [_key(content)] * len(at)
-                    words += at
-                    places += [np.array(p, "<u4").tobytes() for p in at.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(words, pa.string()), pa.array(places, pa.binary())],
-                ["key", "word", "places"])
+                keys += [_key(content)] * len(at) if at else []
+                words += at
+                places += [np.array(p, "<u4").tobytes() for p in at.values()]
+                if len(keys) >= _SENT:
+                    yield found()
+        yield found()
 
     return _text(documents).mapInArrow(find, "key binary, word string, places binary")
 
