@@ -21,8 +21,8 @@ that is asked for, so candidates come in rounds: first each class is compared
 with one class per prefix n-gram, then with several others, by random orders,
 where an n-gram still joins different components; last, every remaining pair of
 different components that shares a prefix n-gram is compared, whatever their
-number.  No link between components is lost, and pairs inside a component are
-not made.
+number, which can be large where the rounds leave many components.  No link
+between components is lost, and pairs inside a component are not made.
 """
 
 from __future__ import annotations
