@@ -9,6 +9,10 @@ extended to both sides, as far as a run around them can reach; equal runs are
 joined with their first place, and the lines of every later run are deleted.
 Overlapping runs make repeats of any length.  First means: in an earlier
 document, by (doc_id, digest), or earlier in the same one without overlap.
+
+Lines differ in length, so a passage, one line or two adjacent ones that hold
+``PASSAGE_WORDS`` words or more, is a run too, in texts of any number of lines.
+Passages are few and are hashed whole, without winnowing.
 """
 
 from __future__ import annotations
@@ -20,6 +24,11 @@ from clockwright.scratch import materialize
 #: lines hashed together, hashes of which the smallest is selected, and the lines of a run that this makes
 GRAM, WINDOW = 2, 2
 RUN = GRAM + WINDOW - 1
+#: words from which one line, or two adjacent ones, are a run, and the most lines of such a passage
+PASSAGE_WORDS = 50
+PASSAGE_LINES = 2
+
+_SPACE = "[\\x20\\x09-\\x0D]+"
 
 
 def _digest(text: Column) -> Column:
@@ -55,8 +64,32 @@ def selected(documents: DataFrame) -> DataFrame:
                     F.slice(lines, begin + 1, F.col("place") - begin + GRAM + WINDOW - 1).alias("around")))
 
 
-def repeated_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, digest, removed): numbers, from 0, of the lines that belong to later runs."""
+def passages(documents: DataFrame, words: int) -> DataFrame:
+    """(doc_id, digest, start, length, run): one line or two adjacent ones that hold ``words`` words or more."""
+    line = F.col("lines")
+    counted = F.transform(_lines(F.col("text")), lambda x: F.struct(
+        F.md5(x).alias("hash"), F.size(F.array_remove(F.split(x, _SPACE), "")).alias("words")))
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), _digest(F.col("text")).alias("digest"),
+                            counted.alias("lines"))
+
+    def of(length: int) -> Column:
+        def at(start: Column) -> Column:
+            part = F.slice(line, start + 1, F.lit(length))
+            return F.struct(start.alias("start"), F.lit(length).alias("length"),
+                            F.md5(F.array_join(F.transform(part, lambda x: x["hash"]), "")).alias("run"),
+                            F.aggregate(part, F.lit(0), lambda total, x: total + x["words"]).alias("words"))
+        return F.transform(_upto(F.size(line) - length), at)
+
+    found = F.filter(F.concat(*[of(n) for n in range(1, PASSAGE_LINES + 1)]), lambda x: x["words"] >= words)
+    return rows.select("doc_id", "digest", F.explode(found).alias("p")).select(
+        "doc_id", "digest", "p.start", "p.length", "p.run").distinct()
+
+
+def repeated_lines(documents: DataFrame, passage_words: int | None = PASSAGE_WORDS) -> DataFrame:
+    """(doc_id, digest, removed): numbers, from 0, of the lines that belong to later runs.
+
+    Without ``passage_words`` only runs of ``RUN`` lines count.
+    """
     picked = materialize(selected(documents), "fingerprints")
     several = picked.groupBy("hash").count().where("count > 1").select("hash")
     around = F.col("around")
@@ -65,26 +98,31 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
         lambda i: F.struct((F.col("from") + i).alias("start"),
                            F.md5(F.array_join(F.slice(around, i + 1, F.lit(RUN)), "")).alias("run"))))
     # neighbouring places reach the same runs
-    runs = materialize(picked.join(several, "hash").select("doc_id", "digest", run.alias("r"))
-                       .select("doc_id", "digest", "r.start", "r.run").distinct(), "runs")
+    runs = (picked.join(several, "hash").select("doc_id", "digest", run.alias("r"))
+            .select("doc_id", "digest", "r.start", F.lit(RUN).alias("length"), "r.run").distinct())
+    if passage_words is not None:
+        runs = runs.unionByName(passages(documents, passage_words))
+    runs = materialize(runs, "runs")
     order = F.struct(F.coalesce("doc_id", F.lit(-(2 ** 63))).alias("id"), "digest", "start")
     first = runs.groupBy("run").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("places")).where("places > 1")
     same = F.col("doc_id").eqNullSafe(F.nullif(F.col("first.id"), F.lit(-(2 ** 63)))) & (F.col("first.digest") == F.col("digest"))
     later = (runs.join(materialize(first, "first-runs"), "run")
-             .where(~same | (F.col("start") >= F.col("first.start") + RUN)))
-    lines = later.select("doc_id", "digest", F.explode(F.transform(_upto(F.lit(RUN - 1)), lambda i: F.col("start") + i)).alias("line"))
+             .where(~same | (F.col("start") >= F.col("first.start") + F.col("length"))))
+    lines = later.select("doc_id", "digest", F.explode(F.transform(_upto(F.col("length") - 1), lambda i: F.col("start") + i)).alias("line"))
     return lines.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def drop_repeated_lines(documents: DataFrame) -> DataFrame:
+def drop_repeated_lines(documents: DataFrame, *, passage_words: int | None = PASSAGE_WORDS) -> DataFrame:
     """All rows and columns of ``documents``, ``text`` without the lines of later runs, and n_lines, n_removed.
 
     Every row stays; a text of which all lines go is empty.  Null texts stay
-    null and have one empty line, like empty texts; texts of fewer lines than a
-    run are unchanged.  Rows with the same doc_id and text are one document and
-    end alike.  n_lines and n_removed replace columns of these names.
+    null and have one empty line, like empty texts.  Runs are three lines, or
+    one or two with ``passage_words`` words or more between them; without
+    ``passage_words``, texts of fewer than three lines are unchanged.  Rows with
+    the same doc_id and text are one document and end alike.  n_lines and
+    n_removed replace columns of these names.
     """
-    removed = repeated_lines(documents).select(
+    removed = repeated_lines(documents, passage_words).select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), F.col("removed").alias("__removed"))
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (_digest(F.col("text")) == F.col("__digest"))
     joined = documents.join(removed, same, "left").withColumn("__lines", _lines(F.col("text")))

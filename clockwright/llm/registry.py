@@ -51,6 +51,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three lines only, as its SQL has it."""
+    return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), passage_words=None)
+
+
+@query
+def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three lines, and passages of many words on one or two."""
     return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
 

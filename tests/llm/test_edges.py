@@ -139,6 +139,17 @@ def test_line_runs_on_odd_rows(odd, empty):
     assert line_dedup.drop_repeated_lines(empty).count() == 0
 
 
+def test_long_passages_on_few_lines(docs_of):
+    long, half, other = prose(11, 60), prose(12, 30), prose(13, 30)
+    rows = [(1, f"{long}"), (2, f"top\n{long}\nend"), (3, f"a\nb\n{half}\n{other}\nc"), (4, f"{half}\n{other}"),
+            (5, f"d\n{half}\ne"), (6, f"{long}\nx\n{long}"), (7, prose(14, 49)), (8, prose(14, 49)), (8, prose(14, 49))]
+    got = {(r.doc_id, r.n_lines, r.n_removed): r.text for r in line_dedup.drop_repeated_lines(docs_of(rows)).collect()}
+    assert got == {(1, 1, 0): long, (2, 3, 1): "top\nend", (3, 5, 0): rows[2][1], (4, 2, 2): "", (5, 3, 0): rows[4][1],
+                   (6, 3, 2): "x", (7, 1, 0): rows[6][1], (8, 1, 0): rows[7][1]}
+    only_runs = line_dedup.drop_repeated_lines(docs_of(rows), passage_words=None)
+    assert only_runs.where("n_removed > 0").count() == 0
+
+
 # --- mixing ------------------------------------------------------------------------------------
 
 def test_raked_shares_meet_targets(spark, docs_of):
