@@ -18,6 +18,9 @@ SLOTS = 4099
 #: languages as given, sources and topics tempered; a fixed number of sweeps, which SQL can follow
 MIX = mixing.Targets({"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}, temper=0.7)
 SWEEPS = 8
+#: the same mix with a share of the tokens to keep, and a target for every other language
+SIZED_MIX = mixing.Targets(MIX.shares, MIX.temper, keep_unnamed=True)
+SHARE = 0.5
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -63,9 +66,15 @@ def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest factor has probability 1, as its SQL has it."""
     return mixing.probabilities(documents(spark, sf_dir), MIX, sweeps=SWEEPS, tolerance=0.0)
 
 
+@query
+def op4_sized_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.probabilities(documents(spark, sf_dir), SIZED_MIX, sweeps=SWEEPS, tolerance=0.0, share=SHARE)
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))

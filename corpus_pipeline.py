@@ -14,8 +14,10 @@ from clockwright.scratch import materialize
 
 #: score from which a document counts as toxic
 TOXIC = 0.5
-#: the target mix: languages as given, sources and topics tempered
-TARGETS = mixing.Targets({"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}, temper=0.7)
+#: the target mix: languages as given, others as they are, sources and topics tempered
+TARGETS = mixing.Targets({"lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}}, temper=0.7, keep_unnamed=True)
+#: part of the tokens that the mix keeps
+SHARE = 0.5
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -37,8 +39,8 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that the expected tokens meet the target mix."""
-    return mixing.sample(docs, TARGETS)
+    """Documents sampled so that a share of the tokens is expected to stay, mixed as the targets ask."""
+    return mixing.sample(docs, TARGETS, share=SHARE)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,6 +170,27 @@ def test_raked_shares_meet_targets(spark, docs_of):
     assert {r.doc_id for r in by_broadcast.collect()} == taken and 0 < len(taken) < 400
 
 
+def test_a_rare_cell_does_not_set_the_sample(spark):
+    rows = [(i, prose(i, 20), ["en", "de", None, "it"][i % 4], "a", 0) for i in range(400)]
+    rows.append((1000, "one short text", "de", "rare", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    targets = mixing.Targets({"lang": {"en": 0.5, "de": 0.5}}, temper=0.3, keep_unnamed=True)
+    got = mixing.probabilities(docs, targets, share=0.6, sweeps=4).collect()
+    whole = sum(r.tokens for r in got)
+    kept = {}
+    for r in got:
+        kept[r.lang] = kept.get(r.lang, 0) + r.tokens * r.probability
+    assert sum(kept.values()) == pytest.approx(0.6 * whole, rel=1e-6)
+    # what the rare cell lacks goes to the others, and is reported
+    assert all(0.15 * whole < kept[lang] < 0.17 * whole for lang in ("en", "it", mixing.MISSING))
+    rare = mixing.cell_report(docs, targets, share=0.6, sweeps=4).where("source = 'rare'").first()
+    assert rare.probability == 1.0 and rare.tokens == 3 and rare.lacking > 100
+    taken = {r.doc_id for r in got if r.sampled}
+    assert {r.doc_id for r in mixing.sample(docs, targets, share=0.6, sweeps=4).collect()} == taken and len(taken) > 180
+    with pytest.raises(ValueError):
+        mixing.sample(docs, targets, share=0)
+
+
 def test_sampling_alike_beyond_the_broadcast(docs_of, monkeypatch):
     docs = docs_of([prose(i, 5 + i % 7) for i in range(200)])
     few = {r.doc_id for r in mixing.sample(docs).collect()}
