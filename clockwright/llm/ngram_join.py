@@ -16,13 +16,16 @@ set into segments, one per fragment.
 3. For candidate pairs the overlap is counted in each fragment separately, from
    two segments, and summed per pair.
 
-A large group of near copies would yield all its pairs.  Components are all
-that is asked for, so candidates come in rounds: first each class is compared
+A large group of near copies would yield all its pairs.  For components
+they are not needed, so candidates come in rounds: first each class is compared
 with one class per prefix n-gram, then with several others, by random orders,
 where an n-gram still joins different components; last, every remaining pair of
 different components that shares a prefix n-gram is compared, whatever their
 number, which can be large where the rounds leave many components.  No link
 between components is lost, and pairs inside a component are not made.
+
+Where links are asked for, ``class_links`` verifies every pair of classes that
+shares a prefix n-gram, and ``link_counts`` counts them per document.
 """
 
 from __future__ import annotations
@@ -217,9 +220,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], ["node", "fragment", "gram"])
 
 
-def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Classes and their components: (doc_id, n, node) of every row, (node, label) of every linked class."""
-    of = materialize(classes(documents), "classes") if of is None else of
+def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, fragment, gram): prefix n-grams, and (node, n, fragment, grams): segments, of the classes that may be linked."""
     total = of.agg(F.sum("n")).first()[0] or 0
     fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
     shared = materialize(
@@ -232,8 +234,41 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
     prefixes = materialize(
         segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams", "spread")).alias("parts"))
         .mapInArrow(_prefixes, "node binary, fragment int, gram long"), "prefixes")
-    segments = segments.drop("spread")
+    return prefixes, segments.drop("spread")
+
+
+def class_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Membership, (doc_id, n, node) of every row, and every link (a, b) between different classes, a < b, once.
+
+    Documents of one class have equal sets and are linked with each other; so no
+    link between two documents is lost.  All pairs of classes that share a prefix
+    n-gram are verified, which can be the square of a group of near copies.
+    """
+    of = materialize(classes(documents), "classes")
+    prefixes, segments = _prepared(documents, of)
+    candidates = _all_pairs(prefixes.withColumn("label", F.col("node")))
+    return of, materialize(verify(candidates, segments), "class-links")
 
+
+def link_counts(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, class_size, n_links) for every row: rows of its class, itself included, and other rows it is linked with.
+
+    A text without shingles has no class and no links; both numbers are 0.
+    """
+    of, pairs = class_links(documents)
+    sizes = materialize(of.where(F.col("node").isNotNull()).groupBy("node").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
+    ends = pairs.select("a", F.col("b").alias("node")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("node")))
+    outside = ends.join(sizes, "node").groupBy(F.col("a").alias("node")).agg(F.sum("class_size").alias("outside"))
+    counted = sizes.join(outside, "node", "left").select(
+        "node", "class_size", (F.col("class_size") - 1 + F.coalesce("outside", F.lit(0))).alias("n_links"))
+    return of.join(counted, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("class_size", "n_links")])
+
+
+def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Classes and their components: (doc_id, n, node) of every row, (node, label) of every linked class."""
+    of = materialize(classes(documents), "classes") if of is None else of
+    prefixes, segments = _prepared(documents, of)
     found = None        # verified links so far
     for number, orders in enumerate((*_ROUNDS, None)):
         labelled = (prefixes.withColumn("label", F.col("node")) if found is None

@@ -88,6 +88,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op6_ngram_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_counts(documents(spark, sf_dir))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)

@@ -280,6 +280,21 @@ def test_join_against_all_pairs(docs_of, monkeypatch, rounds):
     assert len(set(label)) < 10
 
 
+def test_every_link_is_counted(docs_of):
+    texts = near_copies()
+    texts = texts[:25] + texts[150:] + [texts[0], texts[0], ""]
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in (t.split() for t in texts)]
+    linked = {(i, j) for i in range(len(texts)) for j in range(len(texts)) if i != j and sets[i] & sets[j]
+              and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    docs = docs_of(texts)
+    got = {r.doc_id: (r.class_size, r.n_links) for r in ngram_join.link_counts(docs).collect()}
+    assert got == {i: (sets.count(s) if s else 0, sum(a == i for a, _ in linked)) for i, s in enumerate(sets)}
+    members, pairs = ngram_join.class_links(docs)
+    node = {r.doc_id: r.node for r in members.collect()}
+    assert sorted((r.a, r.b) for r in pairs.collect()) == sorted({
+        (node[i], node[j]) for i, j in linked if node[i] < node[j]})
+
+
 def test_join_on_odd_rows(odd, empty):
     rows = ngram_join.near_duplicates(odd).collect()
     assert len(rows) == 9
