@@ -8,6 +8,11 @@ Shingles are five words (a shorter text is one shingle), hashed by MD5 so that
 any engine can recompute a sketch.  The smallest hash is kept even when it is
 above the threshold, so that a short text has a fingerprint; a merge keeps it
 right, because the smallest hash of a union is one of the two smallest.
+
+One hash says little, so ``least`` keeps more: the smallest ``least`` hashes, be
+they above the threshold or not.  Shorter sets are kept whole, and merges stay
+right for the same reason.  Sketches then reach to different heights, and are
+compared as far as both do.
 """
 
 from __future__ import annotations
@@ -21,6 +26,9 @@ DIGITS = 12
 #: hashes below this hexadecimal number are kept: one in eight
 THRESHOLD = "2" + "0" * (DIGITS - 1)
 
+#: hashes that a sketch of a short text keeps at least, if it has as many
+LEAST = 64
+
 _SPACE = "[\\x20\\x09-\\x0D]+"
 _LOWEST = -(2 ** 63)
 
@@ -29,18 +37,20 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _SPACE), "")
 
 
-def with_sketch(rows: DataFrame, text: str, column: str, threshold: str = THRESHOLD) -> DataFrame:
-    """Add the sketch of a text column: sorted distinct hashes below the threshold, and the smallest."""
+def with_sketch(rows: DataFrame, text: str, column: str, threshold: str = THRESHOLD, least: int = 1) -> DataFrame:
+    """Add the sketch of a text column: sorted distinct hashes below the threshold, and the ``least`` smallest."""
     words, hashes = F.col("__words"), F.col("__hashes")
     hashed = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(words) - WIDTH + 1, F.lit(1))),
         lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, F.lit(WIDTH)), " ")), 1, DIGITS))
     none = F.array().cast("array<string>")
     below = F.filter(hashes, lambda h: h < threshold)
+    smallest = (F.array_append(below, F.array_min(hashes)) if least == 1
+                else F.concat(below, F.slice(F.array_sort(F.array_distinct(hashes)), 1, least)))
     return (rows.withColumn("__words", words_of(F.col(text)))
             .withColumn("__hashes", F.when(F.size(words) > 0, hashed).otherwise(none))
             .withColumn(column, F.when(F.size(hashes) > 0, F.array_sort(F.array_distinct(
-                F.array_append(below, F.array_min(hashes))))).otherwise(none))
+                smallest))).otherwise(none))
             .drop("__words", "__hashes"))
 
 
@@ -51,10 +61,25 @@ def likeness(a: Column, b: Column) -> Column:
             .when(F.size(a) == F.size(b), F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def merge(a: Column, b: Column, threshold: str = THRESHOLD) -> Column:
-    """Sketch of the union of two shingle sets: what is below the threshold, and the smallest."""
+def likeness_within(a: Column, b: Column, least: int, threshold: str = THRESHOLD) -> Column:
+    """Likeness by the hashes up to the height that both sketches reach.
+
+    A sketch of fewer than ``least`` hashes is the whole set; others have all
+    hashes below the threshold and up to their own largest.  0 if nothing of
+    one text is as low as the other's sketch reaches.
+    """
+    def reach(sketch: Column) -> Column:
+        return F.when(F.size(sketch) < least, F.lit("g")).otherwise(
+            F.greatest(F.array_max(sketch), F.lit(f"{int(threshold, 16) - 1:0{DIGITS}x}")))
+
+    height = F.least(reach(a), reach(b))
+    return likeness(F.filter(a, lambda h: h <= height), F.filter(b, lambda h: h <= height))
+
+
+def merge(a: Column, b: Column, threshold: str = THRESHOLD, least: int = 1) -> Column:
+    """Sketch of the union of two shingle sets: what is below the threshold, and the ``least`` smallest."""
     both = F.array_sort(F.array_union(a, b))
-    return F.filter(both, lambda h, i: (h < threshold) | (i == 0))
+    return F.filter(both, lambda h, i: (h < threshold) | (i < least))
 
 
 def as_text(sketched: Column) -> Column:
@@ -95,7 +120,7 @@ def with_next(rows: DataFrame, columns: tuple[str, ...], blocks: int, *, key: st
             .where("__visit = 0").drop("__key", "__at", "__visit"))
 
 
-def fingerprint_documents(documents: DataFrame, *, blocks: int | None = None) -> DataFrame:
+def fingerprint_documents(documents: DataFrame, *, blocks: int | None = None, least: int = 1) -> DataFrame:
     """Fingerprints of every text and of its edited text, and what they say of likeness.
 
     The edited text has its last quarter of code points (rounded down) replaced
@@ -106,23 +131,30 @@ def fingerprint_documents(documents: DataFrame, *, blocks: int | None = None) ->
     of hashes), near_edited, near_next (likeness to the edited text and to the
     next document).  Null texts count as empty; a text without words has an
     empty sketch, alike only to another such.  One document is its own next.
-    Repeated rows follow each other.  Other columns are not read.
+    Repeated rows follow each other.  Other columns are not read.  With
+    ``least`` above 1, sketches hold as many hashes at least, and likeness is
+    taken as far as both reach.
     """
     spark = documents.sparkSession
     if blocks is None:
         blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sketched = with_sketch(texts, "text", "sketch").withColumn("sketch", as_text(F.col("sketch")))
+    sketched = with_sketch(texts, "text", "sketch", least=least).withColumn("sketch", as_text(F.col("sketch")))
     rows = with_next(sketched, ("text", "sketch"), blocks)
     quarter = F.floor(F.char_length("text") / 4).cast("int")
     head = F.substring(F.col("text"), F.lit(1), F.char_length("text") - quarter)
     edited = rows.withColumn("edited_text", F.concat(head, F.substring(F.col("next_text"), F.lit(1), quarter)))
-    edited = with_sketch(edited, "edited_text", "edited_sketch").withColumns(
+    edited = with_sketch(edited, "edited_text", "edited_sketch", least=least).withColumns(
         {"sketch": _parts("sketch"), "next_sketch": _parts("next_sketch")})
+
+    def alike(other: str) -> Column:
+        a, b = F.col("sketch"), F.col(other)
+        return likeness(a, b) if least == 1 else likeness_within(a, b, least)
+
     return edited.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "edited_text", "sketch", "edited_sketch",
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        alike("edited_sketch").alias("near_edited"),
+        alike("next_sketch").alias("near_next"))
 
 
 def _parts(column: str) -> Column:

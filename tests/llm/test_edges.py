@@ -431,6 +431,26 @@ def test_sketches_merge(spark, docs_of):
     assert merged == sorted(set(plain_sketch(a)) | set(plain_sketch(b)))[:len(merged)]
 
 
+def test_short_texts_are_told_alike(spark, docs_of):
+    texts = [prose(20 + i, n) for i, n in enumerate([6, 9, 12, 20, 40, 60])] + [prose(30, 500), prose(31, 9)]
+
+    def shingled(text):
+        w = text.lower().split()
+        return {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    for r in fingerprints.fingerprint_documents(docs_of(texts), blocks=2, least=64).collect():
+        a, b = shingled(texts[r.doc_id]), shingled(r.edited_text)
+        true = len(a & b) / min(len(a), len(b))
+        assert abs(r.near_edited - true) <= (1e-9 if max(len(a), len(b)) < 64 else 0.2)
+    a, b = prose(1, 50), prose(2, 60)
+    rows = spark.createDataFrame([(a, b)], "a string, b string")
+    for name in ("a", "b"):
+        rows = fingerprints.with_sketch(rows, name, f"s{name}", least=64)
+    merged = rows.select(fingerprints.merge(F.col("sa"), F.col("sb"), least=64)).first()[0]
+    whole = sorted(hashlib.md5(x.encode()).hexdigest()[:12] for x in shingled(a) | shingled(b))
+    assert merged == [h for i, h in enumerate(whole) if h < fingerprints.THRESHOLD or i < 64]
+
+
 # --- licences ----------------------------------------------------------------------------------
 
 def test_licences(docs_of, odd, empty):
