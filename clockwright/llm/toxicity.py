@@ -8,7 +8,8 @@ same, so a score of 0.5 means that the evidence for either is equal.
 
 The classifier is fitted on at most ``MAX_ROWS_PER_CLASS`` labelled rows of each
 class, those with the smallest MD5 of their id; everything else reads all rows.
-The chosen ids are broadcast, which that bound limits, so texts are not shuffled.
+The chosen ids are broadcast, which that bound limits, so only their texts are
+shuffled, to leave one row per id.
 """
 
 from __future__ import annotations
@@ -63,13 +64,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, allowed: Column, limit: int) -> DataFrame:
-    """(text, toxic) of the bounded sample; labels without a class are left out, repeated ones agree on the larger."""
+    """(text, toxic) of the bounded sample, one row per id.
+
+    Labels without a class are left out, repeated ones agree on the larger; of
+    documents that share an id, the text with the largest digest is read.
+    """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & allowed)
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     order = (F.md5(F.col("doc_id").cast("string")), F.col("doc_id"))
     sample = reduce_union([known.where(F.col("toxic") == c).orderBy(*order).limit(limit) for c in (0, 1)])
     return (documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(sample), "doc_id").select("text", "toxic"))
+            .join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id").agg(F.max_by("text", F.sha2("text", 256)).alias("text"), F.max("toxic").alias("toxic"))
+            .select("text", "toxic"))
 
 
 def reduce_union(parts: list[DataFrame]) -> DataFrame:

@@ -97,6 +97,14 @@ def test_toxicity_without_both_classes(spark, docs_of, empty):
     assert toxicity.fit(empty, one.limit(0)).score("x") == 0.5
 
 
+def test_a_repeated_id_is_one_training_row(spark, docs_of):
+    docs = docs_of([(1, f"text {i}") for i in range(50)] + [(2, "other"), (3, None)])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs.repartition(5), labels, F.lit(True), 4).collect()
+    chosen = max((f"text {i}" for i in range(50)), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted((r.text, r.toxic) for r in rows) == [("", 0), ("other", 0), (chosen, 1)]
+
+
 def test_ngrams_do_not_depend_on_place():
     whole = set(toxicity.buckets_of("abc def").tolist())
     assert set(toxicity.buckets_of("c d").tolist()) - set(toxicity.buckets_of("q").tolist())
