@@ -89,8 +89,8 @@ def _class_of(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def classes(documents: DataFrame) -> DataFrame:
-    """(doc_id, n, node) for every row: the size of its set, and its class; null for an empty set."""
+def classes(documents: DataFrame, *, digest: bool = False) -> DataFrame:
+    """(doc_id, n, node) for every row: the size of its set, and its class; null for an empty set.  With the text's digest if asked."""
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -101,9 +101,13 @@ def classes(documents: DataFrame) -> DataFrame:
                 sizes.append(len(hashes))
                 nodes.append(_class_of(hashes) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary())], ["doc_id", "n", "node"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), *batch.columns[2:]],
+                ["doc_id", "n", "node", "digest"][:batch.num_columns + 1])
 
-    return _texts(documents).mapInArrow(classify, "doc_id long, n long, node binary")
+    texts, schema = _texts(documents), "doc_id long, n long, node binary"
+    if digest:
+        texts, schema = texts.withColumn("digest", F.sha2("text", 256)), f"{schema}, digest string"
+    return texts.mapInArrow(classify, schema)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -341,30 +345,43 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     own id.  Repeated rows are linked.  A null doc_id takes part like others but
     never names a component that has ids.  Only doc_id and text are read.
     """
-    of, labels = links(documents)
+    of, by_node = _named(documents)
+    return of.join(by_node, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _named(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The classes of all rows, and (node, label, component_id) of every class."""
+    of, labels = links(documents, of)
     named = (of.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
              .join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     named = materialize(named, "named")
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    by_node = materialize(named.join(names, "label").select("node", "component_id"), "component-names")
-    return of.join(by_node, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return of, materialize(named.join(names, "label").select("node", "label", "component_id"), "component-names")
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each component, the one that names it, and every text without words, with all columns.
+    """One document of each component, and every text without words, with all columns.
 
-    Rows that share an id share a fate; of those that stay, one does.  Rows
-    without an id go only when they are linked with one that has an id.
+    The document that stays has the smallest id, and of several texts with this
+    id the smallest digest; of rows with its id and text, one stays.  Each row
+    follows its own text, whatever others have its id.  Rows without an id go
+    only when they are linked with one that has an id.
     """
-    stays = materialize(
-        near_duplicates(documents).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("rows")), "stays")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id"))
-    repeated = F.col("__id").isNotNull() & (F.col("rows") > 1)
-    several = stays.where(repeated)
-    once = documents.join(stays.where(~repeated), same, "left_semi")
+    of, by_node = _named(documents, materialize(classes(documents, digest=True), "classes"))
+    own = (of.groupBy("doc_id", "digest").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("rows"))
+           .join(by_node, "node", "left"))
+    free = own.where(F.col("node").isNull() | F.col("component_id").isNull()).select(
+        "doc_id", "digest", F.lit(1).cast("bigint").alias("rows"))
+    chosen = (own.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
+              .groupBy("label").agg(F.min(F.struct("doc_id", "digest", "rows")).alias("s")).select("s.*"))
+    stays = materialize(free.unionByName(chosen).select(
+        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "rows"), "stays").withColumnRenamed("rows", "__rows")
+    text_digest = F.sha2(F.coalesce(documents["text"], F.lit("")), 256)
+    same = documents["doc_id"].cast("bigint").eqNullSafe(F.col("__id")) & (text_digest == F.col("__digest"))
+    several = stays.where("__rows > 1")
+    once = documents.join(stays.where("__rows = 1"), same, "left_semi")
     if several.isEmpty():
         return once
-    return once.unionByName(documents.join(several, same, "left_semi").dropDuplicates(["doc_id"]))
+    return once.unionByName(documents.join(several, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -317,6 +317,14 @@ def test_join_on_odd_rows(odd, empty):
     assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.drop_near_duplicates(empty).count() == 0
 
 
+def test_rows_follow_their_own_text(docs_of):
+    a, b, c, d = (prose(40 + i, 60) for i in range(4))
+    near = edited(a, [59], "end")
+    rows = [(1, a), (1, b), (1, c), (2, near), (None, edited(b, [0], "first")), (None, d), (3, "  "), (3, ""), (1, c)]
+    kept = ngram_join.drop_near_duplicates(docs_of(rows)).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in kept) == sorted([(1, a), (1, b), (1, c), (0, d), (3, "  "), (3, "")])
+
+
 def test_packed_ngrams_come_back():
     grams = np.array([0, 1, 2 ** 48 - 1, 2 ** 40 + 5], np.uint64)
     assert ngram_join._unpack(ngram_join._pack(grams)).tolist() == grams.tolist()
