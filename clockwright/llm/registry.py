@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clockwright.llm import bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, secret_scan, sharding, toxicity
+from clockwright.llm import (
+    bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, periodic_runs, secret_scan, sharding,
+    substring_dedup, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -131,6 +134,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.planted(documents(spark, sf_dir)))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.best_run(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.drop_repeated_passages(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def oracle_sql() -> dict[str, str]:
     from clockwright.llm import sql
     return sql.statements()
