@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clockwright.llm import (
-    bpe, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, periodic_runs, secret_scan, sharding,
+    bpe, exact_dedup, fingerprints, lexical_search, license_scan, line_dedup, mixing, ngram_join, periodic_runs, secret_scan, sharding,
     substring_dedup, toxicity,
 )
 
@@ -146,6 +146,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeated_passages(documents(spark, sf_dir)).select(

@@ -197,6 +197,51 @@ from d join p using (source, lang, topic)
 MIXING = _mixing()
 
 
+SEARCH = r"""
+with item_term as materialized (
+    select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark),
+word as materialized (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents),
+size as materialized (select doc_id, count(*) as n from word group by 1),
+total as (select count(*) as docs, sum(n)::bigint as words from size),
+posting as materialized (
+    select doc_id, term, count(*) as tf from word where term in (select term from item_term) group by all),
+weight as (
+    select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+    from posting, total group by term, docs),
+value as materialized (
+    select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))) as v
+    from posting join weight using (term) join size using (doc_id), total),
+score as (
+    select item_id, doc_id, sum(v)::bigint as score from value join item_term using (term) group by all),
+ranked as (
+    select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) as place
+    from score where score > 0)
+select item_id, place::int as rank, doc_id, score from ranked where place <= 50
+"""
+
+PASSAGES = r"""
+with d as materialized (
+    select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+    from documents),
+win as materialized (
+    select doc_id, i, sha256(array_to_string(words[i:i + 12], ' ')) as words
+    from (select doc_id, words, unnest(generate_series(1, len(words) - 12)) as i from d where len(words) >= 13)),
+first as (select words, min(doc_id) as least from win group by 1),
+gone as (
+    select doc_id, list_distinct(flatten(list(generate_series(i, i + 12)))) as places
+    from win join first using (words) where least < doc_id group by 1)
+select doc_id, len(words) as n_words, coalesce(len(places), 0)::bigint as n_removed,
+       sha256(case when places is null then array_to_string(words, ' ')
+                   else coalesce(array_to_string(list_filter(words, lambda w, i: not list_contains(places, i)), ' '), '') end) as kept_sha256
+from d left join gone using (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_exact_dedup": EXACT_DEDUP,
@@ -205,4 +250,6 @@ def statements() -> dict[str, str]:
         "op8_sharding": SHARDING,
         "op9_document_fingerprints": FINGERPRINTS,
         "op10_license_scan": LICENSE_SCAN,
+        "op12_lexical_search": SEARCH,
+        "op13_substring_dedup": PASSAGES,
     }
