@@ -1,10 +1,11 @@
 """Isolation Forest (Liu, Ting, Zhou: Isolation Forest, ICDM 2008) on Spark.
 
-Fit: every tree is one small group of sampled rows, grown where the group
-lands.  Score: the trees are a bounded table of nodes that is broadcast, and
-every row is scored where it lies, so the data is never shuffled.  Growth and
-walking are the two steps no built-in expression covers; both run on Arrow
-batches.
+Fit: all trees grow together, level by level.  The sampled rows are dealt by
+tree once; per level every node gets the bounds of its rows, its split is drawn,
+and each row steps to a child.  Draws come from MD5 of seed, tree and node, so
+the same forest grows in any engine.  Score: the trees are a bounded table of
+nodes that is broadcast, and every row is scored where it lies, so the data is
+never shuffled.  Walking is the step that runs on Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clockwright import settings
+from clockwright.operators.sampling import draw, uniform
 from clockwright.scratch import materialize
 
 NODE_SCHEMA = (
@@ -27,6 +29,12 @@ NODE_SCHEMA = (
 _OVERSAMPLE = 2
 _SPARE = 64
 _EULER = 0.5772156649015329
+#: feature values are taken to this many decimals, path lengths to multiples of 1 / _PARTS, which add up alike in any order
+DECIMALS = 6
+_PARTS = float(2 ** 30)
+#: draws are whole numbers below this
+_DRAWS = 2 ** 52
+_MOST_TREES = 2_000
 
 
 @dataclass(frozen=True)
@@ -46,80 +54,95 @@ def mean_path(rows: int) -> float:
     return 2.0 * (math.log(rows - 1.0) + _EULER) - 2.0 * (rows - 1.0) / rows
 
 
-def _mix(values: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: spreads (row key, tree) to independent draws."""
-    with np.errstate(over="ignore"):
-        values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-        values = (values ^ (values >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return values ^ (values >> np.uint64(33))
-
-
-def _grow(rows: np.ndarray, limit: int, rng: np.random.Generator) -> list[tuple]:
-    """Nodes of one tree: (node, feature, threshold, left, right, rows, depth, path length)."""
-    nodes: list[tuple] = [()]
-    waiting = [(0, rows, 0)]
-    while waiting:
-        node, part, depth = waiting.pop()
-        low, high = part.min(axis=0), part.max(axis=0)
-        varying = np.flatnonzero(low < high)
-        if depth >= limit or len(part) <= 1 or not len(varying):
-            nodes[node] = (node, -1, 0.0, node, node, len(part), depth, depth + mean_path(len(part)))
-            continue
-        feature = int(rng.choice(varying))
-        threshold = float(rng.uniform(low[feature], high[feature]))
-        if threshold >= high[feature]:
-            threshold = float(low[feature])
-        goes_left = part[:, feature] <= threshold
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [(), ()]
-        nodes[node] = (node, feature, threshold, left, right, len(part), depth, 0.0)
-        waiting.append((right, part[~goes_left], depth + 1))
-        waiting.append((left, part[goes_left], depth + 1))
-    return nodes
+def _leaf_length(depth: Column, rows: Column) -> Column:
+    """Depth, and the mean path that the rows of a leaf would still take."""
+    n = rows.cast("double")
+    rest = 2.0 * (F.log(n - 1.0) + _EULER) - 2.0 * (n - 1.0) / n
+    return depth + F.when(rows <= 1, 0.0).when(rows == 2, 1.0).otherwise(F.rint(rest * _PARTS) / _PARTS)
+
+
+def tree_samples(features: DataFrame, key: str, columns: tuple[str, ...], config: ForestConfig, rows: int) -> DataFrame:
+    """(tree, values): the rows of each tree, those with its smallest draws.
+
+    One digest per row yields two numbers a, b; tree t draws (a + t * b) modulo
+    2 ** 52, so draws of different trees are pairwise independent.  Every row has
+    a draw for every tree, whatever the size of the table, and only draws that
+    are small enough leave it.  Equal draws go by key, then by values.
+    """
+    if not 0 < config.trees <= _MOST_TREES:
+        raise ValueError(f"a forest has 1 to {_MOST_TREES} trees, not {config.trees}")
+    size = min(config.sample_size, rows)
+    # enough candidates that a tree short of its sample is out of the question
+    ceiling = min(_DRAWS, math.ceil((_OVERSAMPLE * size + _SPARE) / max(rows, 1) * _DRAWS))
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    values = F.array(*[F.round(F.col(c).cast("double"), DECIMALS) for c in columns])
+    # the two numbers are made once per row, below the trees
+    drawn = features.select(name.alias("key"), values.alias("values"), draw(name, config.seed, "forest").alias("a"),
+                            draw(name, config.seed, "forest-step").alias("b"))
+    a, b = F.col("a"), F.col("b")
+    trees = F.filter(F.sequence(F.lit(0), F.lit(config.trees - 1)),
+                     lambda t: F.pmod(a + t.cast("bigint") * b, F.lit(_DRAWS)) < F.lit(ceiling))
+    candidates = drawn.select("key", "values", "a", "b", F.explode(trees).alias("tree"))
+    own = Window.partitionBy("tree").orderBy(
+        F.pmod(a + F.col("tree").cast("bigint") * b, F.lit(_DRAWS)), "key", "values")
+    return (candidates.withColumn("place", F.row_number().over(own)).where(F.col("place") <= size)
+            .select("tree", "values"))
+
+
+def _level(rows: DataFrame, width: int, depth: int, limit: int, seed: int) -> DataFrame:
+    """One level: bounds per node, a drawn split, and each row's step; the node is added to the row's ``path``."""
+    node = Window.partitionBy("tree", "node")
+    values = F.col("values")
+    bounded = rows.withColumns(
+        {"rows": F.count(F.lit(1)).over(node),
+         "low": F.array(*[F.min(values[i]).over(node) for i in range(width)]),
+         "high": F.array(*[F.max(values[i]).over(node) for i in range(width)])})
+    varying = F.filter(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.get(F.col("low"), i) < F.get(F.col("high"), i))
+    name = F.concat_ws(":", "tree", "node")
+    leaf = (F.lit(depth >= limit) | (F.col("rows") <= 1) | (F.size("varying") == 0))
+    chosen = bounded.withColumn("varying", varying).withColumn("feature", F.when(leaf, -1).otherwise(
+        F.get(F.col("varying"), F.floor(uniform(name, seed, "feature") * F.size("varying")).cast("int"))))
+    low, high = F.get(F.col("low"), F.col("feature")), F.get(F.col("high"), F.col("feature"))
+    between = low + uniform(name, seed, "threshold") * (high - low)
+    split = chosen.withColumn("threshold", F.when(F.col("feature") < 0, 0.0).otherwise(F.when(between < high, between).otherwise(low)))
+    here = F.struct("node", "feature", "threshold", "rows", F.lit(depth).alias("depth"))
+    right = F.get(values, F.col("feature")) > F.col("threshold")
+    return split.select(
+        "tree", "values",
+        F.when(F.col("ended"), F.col("path")).otherwise(F.array_append("path", here)).alias("path"),
+        F.when(F.col("ended") | (F.col("feature") < 0), F.col("node"))
+        .otherwise(2 * F.col("node") + 1 + right.cast("int")).alias("node"),
+        (F.col("ended") | (F.col("feature") < 0)).alias("ended"))
 
 
 def fit_forest(features: DataFrame, key: str, columns: tuple[str, ...] = settings.FEATURE_COLUMNS,
                config: ForestConfig = ForestConfig()) -> DataFrame:
     """The node table of a forest grown on ``features`` (a written table).
 
-    Rows are drawn by hashes of ``key`` and seed, so the forest is the same for
-    any partitioning.  Every row has a draw for every tree, whatever the size of
-    the table; a tree keeps its smallest draws, a group of a few hundred rows.
+    Children of node i are 2 i + 1 and 2 i + 2; a leaf has feature -1 and leads
+    to itself.  A node that is no leaf splits on a feature that varies in it, at a
+    uniform point between the bounds; smaller or equal values go left.  The
+    forest is the same for any partitioning.  A tree's rows are a group of
+    ``sample_size`` at most, dealt once: levels need no further exchange.
     """
-    drawn = features.select(F.xxhash64(F.col(key), F.lit(config.seed)).alias("row_key"),
-                            *[F.col(c).cast("double").alias(c) for c in columns])
     total = features.count()
     if total == 0:
         return features.sparkSession.createDataFrame([], NODE_SCHEMA)
-    size = min(config.sample_size, total)
-    # enough candidates that a tree short of its sample is out of the question
-    share = min(1.0, (_OVERSAMPLE * size + _SPARE) / total)
-    ceiling = np.uint64(min(2**64 - 1, int(share * 2**64)))
-    trees, seed, names = config.trees, config.seed, list(columns)
-    depth_limit = math.ceil(math.log2(max(size, 2)))
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        salts = _mix(np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(seed))
-        for batch in batches:
-            draws = _mix(batch["row_key"].to_numpy().view(np.uint64)[:, None] ^ salts[None, :])
-            row, tree = np.nonzero(draws <= ceiling)
-            picked = batch.iloc[row].reset_index(drop=True)
-            picked.insert(0, "draw", draws[row, tree].view(np.int64) ^ np.int64(-(2**63)))
-            picked.insert(0, "tree", tree.astype(np.int32))
-            yield picked
-
-    def grow(key_values: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        tree = int(key_values[0])
-        sample = group.sort_values(["draw", "row_key"]).head(size)[names].to_numpy(dtype=np.float64)
-        nodes = _grow(sample, depth_limit, np.random.default_rng([seed, tree]))
-        frame = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left_node", "right_node",
-                                             "rows", "depth", "path_length"])
-        frame.insert(0, "tree", tree)
-        return frame
-
-    fields = ", ".join(f"`{c}` double" for c in columns)
-    candidates = drawn.mapInPandas(assign, f"tree int, draw bigint, row_key bigint, {fields}")
-    return materialize(candidates.groupBy("tree").applyInPandas(grow, NODE_SCHEMA), "forest-nodes")
+    limit = math.ceil(math.log2(max(min(config.sample_size, total), 2)))
+    rows = tree_samples(features, key, columns, config, total).select(
+        "tree", "values", F.lit(0).alias("node"), F.lit(False).alias("ended"),
+        F.lit(None).cast("array<struct<node: int, feature: int, threshold: double, rows: bigint, depth: int>>").alias("path"))
+    rows = rows.withColumn("path", F.coalesce("path", F.array().cast(rows.schema["path"].dataType)))
+    for depth in range(limit + 1):
+        rows = _level(rows, len(columns), depth, limit, config.seed)
+    node, leaf = F.col("node"), F.col("feature") < 0
+    nodes = (rows.select("tree", F.explode("path").alias("n")).select("tree", "n.*").distinct()
+             .select("tree", "node", "feature", "threshold",
+                     F.when(leaf, node).otherwise(2 * node + 1).alias("left_node"),
+                     F.when(leaf, node).otherwise(2 * node + 2).alias("right_node"),
+                     F.col("rows").cast("int").alias("rows"), "depth",
+                     F.when(leaf, _leaf_length(F.col("depth"), F.col("rows"))).otherwise(0.0).alias("path_length")))
+    return materialize(nodes, "forest-nodes")
 
 
 @dataclass(frozen=True)
@@ -144,16 +167,12 @@ class _Walk:
         threshold = np.full((trees, inner), np.inf)
         length = np.zeros((trees, inner + 1))
         for at, (_, nodes) in enumerate(table.groupby("tree", sort=True)):
-            nodes = nodes.sort_values("node")
-            slot = np.zeros(len(nodes), dtype=np.int64)
             for node in nodes.itertuples():
-                here = slot[node.node]
                 if node.feature >= 0:
-                    slot[node.left_node], slot[node.right_node] = 2 * here + 1, 2 * here + 2
-                    feature[at, here], threshold[at, here] = node.feature, node.threshold
+                    feature[at, node.node], threshold[at, node.node] = node.feature, node.threshold
                 else:
                     # the slot reached by going left from here to the last level
-                    last = ((here + 1) << (depth - node.depth)) - 1
+                    last = ((node.node + 1) << (depth - node.depth)) - 1
                     length[at, last - inner] = node.path_length
         sample = int(table.loc[table["node"] == 0, "rows"].max())
         return cls(depth, feature, threshold, length, mean_path(sample))
@@ -199,4 +218,4 @@ def forest_score(nodes: DataFrame, columns: tuple[str, ...] = settings.FEATURE_C
         for batch in batches:
             yield pd.Series(walk.scores(np.column_stack([s.to_numpy(dtype=np.float64) for s in batch])))
 
-    return score(*[F.col(c).cast("double") for c in columns])
+    return score(*[F.round(F.col(c).cast("double"), DECIMALS) for c in columns])

@@ -72,6 +72,16 @@ _HINT = "case " + " ".join(
     f"when {c} = greatest({_FEATURES}) then '{c}'" for c in settings.FEATURE_COLUMNS) + " end"
 _KEYS = "shift_id, employee_id, department_id, clock_in, clock_out"
 
+_CONFUSION = """select count(*) filter (where actual_anomaly and predicted_anomaly) as true_positives,
+               count(*) filter (where not actual_anomaly and predicted_anomaly) as false_positives,
+               count(*) filter (where actual_anomaly and not predicted_anomaly) as false_negatives,
+               count(*) filter (where not actual_anomaly and not predicted_anomaly) as true_negatives"""
+_METRICS = """select coalesce(true_positives / nullif(true_positives + false_positives, 0), 0.0) as precision,
+               coalesce(true_positives / nullif(true_positives + false_negatives, 0), 0.0) as recall,
+               coalesce(2 * true_positives / nullif(2 * true_positives + false_positives + false_negatives, 0), 0.0)
+                   as f1,
+               true_positives, false_positives, false_negatives, true_negatives"""
+
 # Common tables, each after the ones it uses.
 _TABLES = {
     "w_departments": """
@@ -201,18 +211,11 @@ _TABLES = {
         select p.punch_id, s.predicted_anomaly,
                p.punch_id in (select punch_id from w_labels where is_anomaly) as actual_anomaly
         from w_clean p join w_scores s on s.punch_id = p.punch_id""",
-    "w_confusion": """
-        select count(*) filter (where actual_anomaly and predicted_anomaly) as true_positives,
-               count(*) filter (where not actual_anomaly and predicted_anomaly) as false_positives,
-               count(*) filter (where actual_anomaly and not predicted_anomaly) as false_negatives,
-               count(*) filter (where not actual_anomaly and not predicted_anomaly) as true_negatives
+    "w_confusion": f"""
+        {_CONFUSION}
         from w_pairs""",
-    "w_metrics": """
-        select coalesce(true_positives / nullif(true_positives + false_positives, 0), 0.0) as precision,
-               coalesce(true_positives / nullif(true_positives + false_negatives, 0), 0.0) as recall,
-               coalesce(2 * true_positives / nullif(2 * true_positives + false_positives + false_negatives, 0), 0.0)
-                   as f1,
-               true_positives, false_positives, false_negatives, true_negatives
+    "w_metrics": f"""
+        {_METRICS}
         from w_confusion""",
     "w_updates": """
         select format('PCH{:07d}', (event_id - event_id % 4) * 2 + 1) as punch_id,
@@ -291,6 +294,78 @@ _TABLES = {
 }
 
 
+_DRAWS = 2 ** 52
+_DEPTH = (settings.SAMPLE_SIZE - 1).bit_length()
+_N = len(settings.FEATURE_COLUMNS)
+_BRANCH = "2 * node + 1 + (f[feature + 1] > threshold)::int"
+
+
+def _forest_tables() -> dict[str, str]:
+    """The forest grown and walked level by level, with one common table per level."""
+    letters = "abcdefghijklmnop"[:_DEPTH + 1]
+    values = ", ".join(f"round({c}, 6)" for c in settings.FEATURE_COLUMNS)
+    name = "tree || ':' || node"
+    found = {
+        "w_forest_rows": f"""
+        select punch_id, [{values}] as f, {_draw('punch_id', 'forest')} as a, {_draw('punch_id', 'forest-step')} as b
+        from w_features""",
+        "w_forest_drawn": f"""
+        select tree, punch_id from (
+            select tree, punch_id, row_number() over (partition by tree order by (a + tree * b) % {_DRAWS}, punch_id) as place
+            from w_forest_rows, range({settings.TREES}) r(tree))
+        where place <= {settings.SAMPLE_SIZE}""",
+        "w_forest_level_a": "select tree, 0 as node, f from w_forest_drawn join w_forest_rows using (punch_id)",
+    }
+    low, high = (", ".join(f"{side}(f[{i}])" for i in range(1, _N + 1)) for side in ("min", "max"))
+    for depth, at in enumerate(letters):
+        found[f"w_forest_split_{at}"] = f"""
+        select tree, node, feature, rows, {depth} as depth,
+               case when feature < 0 then 0.0::double
+                    when low[feature + 1] + {_uniform(name, 'threshold')} * (high[feature + 1] - low[feature + 1]) < high[feature + 1]
+                    then low[feature + 1] + {_uniform(name, 'threshold')} * (high[feature + 1] - low[feature + 1])
+                    else low[feature + 1] end as threshold
+        from (select *, case when {depth} = {_DEPTH} or rows <= 1 or len(varying) = 0 then -1
+                             else varying[floor({_uniform(name, 'feature')} * len(varying))::int + 1] - 1 end as feature
+              from (select *, list_filter(generate_series(1, {_N}), lambda i: low[i] < high[i]) as varying
+                    from (select tree, node, count(*) as rows, [{low}] as low, [{high}] as high
+                          from w_forest_level_{at} group by tree, node)))"""
+        if depth < _DEPTH:
+            found[f"w_forest_level_{letters[depth + 1]}"] = f"""
+        select tree, {_BRANCH} as node, f from w_forest_level_{at} join w_forest_split_{at} using (tree, node)
+        where feature >= 0"""
+    rest = "(2.0::double * (ln(rows - 1.0::double) + 0.5772156649015329::double) - 2.0::double * (rows - 1.0::double) / rows)"
+    found["w_forest_nodes"] = f"""
+        select tree::int as tree, node::int as node, feature::int as feature, threshold,
+               (case when feature < 0 then node else 2 * node + 1 end)::int as left_node,
+               (case when feature < 0 then node else 2 * node + 2 end)::int as right_node,
+               rows::int as rows, depth::int as depth,
+               case when feature >= 0 then 0.0::double when rows <= 1 then depth::double when rows = 2 then depth + 1.0::double
+                    else depth + round_even({rest} * 1073741824.0::double, 0) / 1073741824.0::double end as path_length
+        from ({" union all ".join(f"select * from w_forest_split_{at}" for at in letters)})"""
+    found["w_forest_walk_a"] = f"select punch_id, tree, 0 as node from w_forest_rows, range({settings.TREES}) r(tree)"
+    for at, then in zip(letters, letters[1:]):
+        found[f"w_forest_walk_{then}"] = f"""
+        select punch_id, tree, case when feature < 0 then node else {_BRANCH} end as node
+        from w_forest_walk_{at} join w_forest_nodes using (tree, node) join w_forest_rows using (punch_id)"""
+    size = f"{float(settings.SAMPLE_SIZE)}::double"
+    found["w_isolation"] = f"""
+        select punch_id, pow(2.0::double, -sum(path_length) / ({settings.TREES} * (2.0::double * (ln({size} - 1)
+               + 0.5772156649015329::double) - 2.0::double * ({size} - 1) / {size}))) as isolation
+        from w_forest_walk_{letters[-1]} join w_forest_nodes using (tree, node) group by punch_id"""
+    found["w_cut"] = f"select quantile_cont(isolation, {1 - settings.CONTAMINATION}) as cut from w_isolation"
+    found["w_forest_scores"] = f"""
+        select punch_id, shift_id, employee_id, department_id, clock_in, isolation - cut as anomaly_score,
+               isolation > cut as predicted_anomaly, {_HINT} as reason_hint
+        from w_features join w_isolation using (punch_id), w_cut"""
+    found["w_forest_pairs"] = """
+        select predicted_anomaly, punch_id in (select punch_id from w_labels where is_anomaly) as actual_anomaly
+        from w_forest_scores"""
+    return found
+
+
+_TABLES |= _forest_tables()
+
+
 def _names_in(sql: str) -> set[str]:
     return set(re.findall(r"\bw_[a-z_]+\b", sql)) & set(_TABLES)
 
@@ -314,7 +389,8 @@ def _with_tables(select: str) -> str:
         place(name)
     if not ordered:
         return select
-    return "with " + ",\n".join(f"{n} as ({_TABLES[n]})" for n in ordered) + "\n" + select
+    kind = {n: "as materialized" if n.startswith("w_forest") else "as" for n in ordered}
+    return "with " + ",\n".join(f"{n} {kind[n]} ({_TABLES[n]})" for n in ordered) + "\n" + select
 
 
 def _rule(table: str, rule: str, violations: str) -> str:
@@ -450,6 +526,10 @@ _SCALED = ", ".join(
     _rounded(f"({c} - avg({c}) over ()) / case when stddev_pop({c}) over () = 0 then 1.0 "
              f"else stddev_pop({c}) over () end", 5) + f" as {c}" for c in settings.FEATURE_COLUMNS)
 
+_FOREST_SCORES = f"""
+        select punch_id, shift_id, employee_id, department_id, clock_in, {_rounded('anomaly_score', 9)} as anomaly_score,
+               predicted_anomaly, reason_hint
+        from w_forest_scores"""
 _CONTEXT = " || chr(10) || ".join(
     [f"'{settings.CONTEXT_HEADING}'"]
     + [f"'{c}: ' || " + {
@@ -564,6 +644,11 @@ _STATEMENTS = {
     "reason_hint": "select punch_id, reason_hint from w_scored",
     "feature_scaling": _SCALING,
     "scaled_features": f"select punch_id, {_SCALED} from w_features",
+    "iforest_fit": "select * from w_forest_nodes",
+    "iforest_score": f"select punch_id, {_rounded('isolation', 9)} as isolation from w_isolation",
+    "anomaly_scores": _FOREST_SCORES,
+    "stored_model_scores": _FOREST_SCORES,
+    "forest_metrics": f"select * from ({_METRICS} from ({_CONFUSION} from w_forest_pairs))",
     "contamination_flag": "select punch_id, employee_id, anomaly_score from w_scores where predicted_anomaly",
     "eval_confusion": "select * from w_confusion",
     "eval_metrics": "select * from w_metrics",

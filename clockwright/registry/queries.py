@@ -386,12 +386,12 @@ def iforest_fit(w: Workforce) -> DataFrame:
 
 @query
 def iforest_score(w: Workforce) -> DataFrame:
-    return w.stored_features.select("punch_id", forest_score(w.nodes).alias("isolation"))
+    return _rounded(w.stored_features.select("punch_id", forest_score(w.nodes).alias("isolation")), 9, "isolation")
 
 
 @query
 def anomaly_scores(w: Workforce) -> DataFrame:
-    return w.model.results
+    return _rounded(w.model.results, 9, "anomaly_score")
 
 
 @query
@@ -405,7 +405,7 @@ def stored_model_scores(w: Workforce) -> DataFrame:
     root = scratch_path(w.spark, "model")
     scoring.save_artifacts(w.model, root, f"{root}/scores.parquet")
     nodes, columns, threshold = scoring.load_model(w.spark, root)
-    return scoring.score_with(w.features, nodes, columns, threshold)
+    return _rounded(scoring.score_with(w.features, nodes, columns, threshold), 9, "anomaly_score")
 
 
 # --- evaluation --------------------------------------------------------------------------------------
