@@ -735,6 +735,12 @@ _STATEMENTS = {
     "seeded_sample": """
         select punch_id, shift_id from w_sampled
         where place <= greatest(1, round_even(eligible * 0.03::double, 0)::bigint)""",
+    "seeded_sample_ties": """
+        select punch_id, department_id, clock_out from w_punches_raw
+        order by substr(md5(coalesce(department_id, '') || ':3:sample'), 1, 13),
+                 substr(md5(concat_ws(chr(31), punch_id, shift_id, employee_id, department_id, coalesce(clock_in, '\\N'),
+                                      coalesce(clock_out, '\\N'), punch_status)), 1, 13)
+        limit (select greatest(1, round_even(count(*) * 0.3::double, 0)::bigint) from w_punches_raw)""",
     "number_rows": """
         select shift_id, employee_id, scheduled_start,
                row_number() over (order by employee_id, scheduled_start, shift_id) as shift_number

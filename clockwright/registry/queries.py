@@ -584,6 +584,13 @@ def seeded_sample(w: Workforce) -> DataFrame:
         "punch_id", "shift_id")
 
 
+@query
+def seeded_sample_ties(w: Workforce) -> DataFrame:
+    """A sample by a key that many rows share, so that the cut goes through one key."""
+    return sampling.seeded_sample(w.raw.punches, "department_id", rate=0.3, seed=3).select(
+        "punch_id", "department_id", "clock_out")
+
+
 @query
 def number_rows(w: Workforce) -> DataFrame:
     return numbering.number_rows(w.shifts.select("shift_id", "employee_id", "scheduled_start"),

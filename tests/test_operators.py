@@ -1,5 +1,6 @@
 """Operators against brute force, on inputs small enough to check by hand."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -13,7 +14,7 @@ from clockwright.operators.dedup import flag_later_copies
 from clockwright.operators.numbering import number_rows
 from clockwright.operators.ordered import with_previous_and_stats
 from clockwright.operators.quantile import exact_quantile, order_statistics, smallest_cut
-from clockwright.operators.sampling import sample_size, seeded_sample, uniform, weighted_choice
+from clockwright.operators.sampling import choose, sample_size, seeded_sample, uniform, weighted_choice
 
 
 # --- order statistics ----------------------------------------------------------------
@@ -151,6 +152,41 @@ def test_sample_size_of_a_negative_count():
         sample_size(-1)
 
 
+@pytest.mark.parametrize("seed", [42, 3])
+def test_sample_splits_a_shared_key(spark, seed):
+    rows = [(f"k{i}" if i >= 400 else "shared", i) for i in range(1000)]
+    sample = seeded_sample(spark.createDataFrame(rows, "k string, v int").repartition(5), "k", rate=0.3, seed=seed)
+    assert sample.count() == sample.distinct().count() == 300
+
+
+@pytest.mark.parametrize("rate, size", [(1.0, 500), (0.5, 250), (0.001, 1)])
+def test_sample_of_null_keys(spark, rate, size):
+    rows = spark.range(500).select(F.lit(None).cast("string").alias("k"), "id")
+    assert seeded_sample(rows, "k", rate=rate).distinct().count() == size
+
+
+def test_sample_of_rows_that_repeat_in_full(spark):
+    rows = spark.range(900).select(F.when(F.col("id") < 600, "same").otherwise(F.col("id").cast("string")).alias("k"))
+    for rate in (0.1, 0.5, 0.9):
+        assert seeded_sample(rows.repartition(7), "k", rate=rate, seed=1).count() == round(900 * rate)
+    assert seeded_sample(rows.limit(0), "k").count() == 0
+    alike = spark.range(100).select(F.lit("same").alias("k"))
+    with pytest.raises(ValueError, match="repeat in full"):
+        choose(alike, "k", 0.3, 1)
+
+
+def test_sample_is_what_ordering_finds(spark):
+    rows = [(f"k{i % 7}", i) for i in range(300)]
+    table = spark.createDataFrame(rows, "k string, v int")
+
+    def place(k, v):
+        text = hashlib.md5(f"{k}:9:sample".encode()).hexdigest()[:13]
+        return text + hashlib.md5(f"{k}\x1f{v}".encode()).hexdigest()[:13]
+
+    expected = sorted(rows, key=lambda r: place(*r))[:75]
+    assert sorted(map(tuple, seeded_sample(table, "k", rate=0.25, seed=9).collect())) == sorted(expected)
+
+
 def test_sample_does_not_depend_on_partitioning(spark):
     table = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k"))
     samples = [
