@@ -543,6 +543,9 @@ _STATEMENTS = {
         select o_orderkey, case when t in ({", ".join("'" + x + "'" for x in NA_TOKENS)}) then null else t end
                as token_text, o_orderpriority
         from (select *, list_extract({_texts(TOKEN_TEXTS)}, o_orderkey % {len(TOKEN_TEXTS)} + 1) as t from orders)""",
+    "csv_dialect": f"""
+        select doc_id::varchar as doc_id, source, case when text not in ({", ".join(f"'{t}'" for t in NA_TOKENS)}) then text end as text
+        from documents""",
     "raw_csv_scan": "select * from w_punches_raw",
     "roundtrip_load": "select * from w_shifts",
     "table_counts": _counts(_RAW_TABLES),

@@ -60,6 +60,15 @@ def scan_na_normalise(w: Workforce) -> DataFrame:
         "o_orderkey", _one_of(TOKEN_TEXTS, F.col("o_orderkey")).alias("token_text"), "o_orderpriority"))
 
 
+@query
+def csv_dialect(w: Workforce) -> DataFrame:
+    """Texts with line breaks, quotes and commas, written as CSV and read again block by block."""
+    path = scratch_path(w.spark, "raw") + "/texts.csv"
+    texts = w.source("documents").select(F.col("doc_id").cast("string").alias("doc_id"), "source", "text")
+    write_raw_csv({"texts": texts}, {"texts": path})
+    return read_csv(w.spark, path, multiline=True)
+
+
 @query
 def raw_csv_scan(w: Workforce) -> DataFrame:
     path = scratch_path(w.spark, "raw") + "/punches.csv"

@@ -17,6 +17,7 @@ _COLUMNS = {
     "nation": "n_nationkey int, n_name string",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "documents": "doc_id bigint, text string, source string",
     "events": "event_id bigint, ts timestamp_ntz, event_type string, value double, props string",
 }
 

@@ -66,7 +66,9 @@ def write_table(df: DataFrame, path: str, *, sort_by: tuple[str, ...] = ()) -> i
     try:
         folder.make_parent(path)
         if path.endswith(".csv"):
-            rows.write.option("header", True).option("escape", '"').csv(staging)
+            # fields keep the blanks at their ends
+            (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(staging))
         else:
             rows.write.parquet(staging)
         if folder.exists(path):

@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clockwright.errors import ExtractionError
 from clockwright.functions import numbers, parsing, text, times
+from clockwright.functions.parsing import null_na_tokens
 from clockwright.sources.raw import RawPaths, extract_all, read_csv
 
 
@@ -149,6 +151,57 @@ def test_missing_input(spark, tmp_path):
         extract_all(spark, RawPaths(*[str(tmp_path / "absent.csv")] * 5))
 
 
+@pytest.mark.parametrize("block", [24, 200, 1 << 20])
+def test_csv_in_blocks_is_what_one_reader_finds(spark, tmp_path, block):
+    """Records that cross block borders, and one that is longer than several blocks."""
+    rng = random.Random(block)
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    rows = []
+    for part in range(3):
+        text = ["a,b,c"]
+        for i in range(20):
+            value = "".join(rng.choice(["x", "\n", '""', ",", "yz", "\r\n", " "]) for _ in range(rng.choice([0, 3, 9, 90])))
+            text.append(f'{part}.{i},"{value}",{rng.choice(["", "tail", "1"])}')
+            rows.append(value)
+        (folder / f"p{part}.csv").write_text("\n".join(text) + rng.choice(["", "\n"]), newline="")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        found = read_csv(spark, str(folder), multiline=True)
+        got = sorted((tuple(r) for r in found.collect()), key=str)
+        if block == 24:
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 50
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+             .csv(str(folder)))
+    assert got == sorted((tuple(r) for r in null_na_tokens(whole).collect()), key=str)
+    assert len(got) == len(rows) == 60
+
+
+def test_csv_that_ends_inside_quotes_or_differs_is_refused(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('a,b\n1,"x\n')
+    with pytest.raises(ExtractionError, match="ends inside quotes"):
+        read_csv(spark, str(tmp_path / "open.csv"), multiline=True)
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "one.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "two" / "two.csv").write_text("b,a\n4,3\n")
+    with pytest.raises(ExtractionError, match="header"):
+        read_csv(spark, str(tmp_path / "two"), multiline=True)
+    (tmp_path / "wide.csv").write_text('\r\na,b\r\n1,"2\r\n3"\r\n\r\n4\r\n')
+    assert sorted(map(tuple, read_csv(spark, str(tmp_path / "wide.csv"), multiline=True).collect())) == [
+        ("1", "2\r\n3"), ("4", None)]
+    (tmp_path / "wider.csv").write_text('a,b\n1,"2\n",3\n')
+    with pytest.raises(Exception, match="more fields"):
+        read_csv(spark, str(tmp_path / "wider.csv"), multiline=True).collect()
+    (tmp_path / "nothing.csv").write_text("")
+    with pytest.raises(ExtractionError):
+        read_csv(spark, str(tmp_path / "nothing.csv"), multiline=True)
+
+
 def test_csv_that_would_be_misread_is_refused(spark, tmp_path):
     broken = tmp_path / "broken.csv"
     broken.write_text('a,b,c\n1,"x\ny",3\n')
