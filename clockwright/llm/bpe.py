@@ -1,18 +1,18 @@
 """Byte-level BPE: every distinct pre-token is encoded once, whatever the corpus' size.
 
-1. A few words make up most of a corpus and would be hot keys of a join.  The
-   frequent words of a bounded sample of documents, a table of bounded size, are
-   encoded and given to every task.  They save work; the ids do not depend on
-   which words they are.
-2. All other pre-tokens are exploded as (text, word, places) and shuffled by
-   word, so that equal words meet; each distinct one is encoded once, by merging
-   byte pairs in the order of their ranks, and its ids return to its texts.
-3. Each text's ids are put together by place.  Texts meet their pieces by
-   SHA-256, so equal texts share one set of pieces.
-
-Decoding looks up every id in the table of token bytes.  The vocabulary is a
-file of ranks whose path is a parameter; it is read by the driver and has a
-fixed size, so it is broadcast.
+1. Texts are put into blocks of bounded length, which are stored once; a long
+   text is a block of its own.  A block numbers its distinct pre-tokens, the
+   frequent ones first, and holds each text as numbers: what stands where.
+2. Each block sends every distinct pre-token once, by fragment of a hash, so
+   equal words of all blocks meet and a word that is everywhere takes one entry
+   per block.  Each distinct word is encoded once, by merging byte pairs in the
+   order of their ranks, and its ids go back to the blocks that sent it.
+3. Each text is put together from its numbers and its block's ids.
+
+The number of fragments follows the number of words sent, so that a fragment's
+size does not.  Decoding looks up every id in the table of token bytes.  The
+vocabulary is a file of ranks whose path is a parameter; it is read by the
+driver and has a fixed size, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ import hashlib
 import heapq
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,19 +30,20 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
+import xxhash
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clockwright.scratch import materialize
 
-#: documents in the sample that yields the frequent words
-SAMPLE_ROWS = 20_000
-#: frequent words that every task knows, and their longest length in characters
-HOT_WORDS = 1 << 17
-HOT_LENGTH = 256
-_HOLE = np.uint32(0xFFFFFFFF)
-#: rows that a task gathers before it sends them on
-_SENT = 20_000
+#: characters of a block, about; longer texts are blocks of their own
+BLOCK_CHARS = 8_000_000
+#: words per fragment, about, and the fewest fragments
+FRAGMENT_WORDS = 200_000
+MIN_FRAGMENTS = 64
+#: words whose ids are put together at a time
+_TOGETHER = 500_000
 #: a character that no version of Unicode assigns
 _UNASSIGNED = "\uffff"
 #: pieces up to this length are merged by looking through all pairs
@@ -168,7 +168,7 @@ class Vocabulary:
 
     ranks: Broadcast
     pattern: str
-    kind: str       # type of a packed id; its largest number marks a hole
+    kind: str       # type of a packed id
 
     @staticmethod
     def load(spark: SparkSession, path: str, pattern: str) -> Vocabulary:
@@ -177,177 +177,164 @@ class Vocabulary:
         if lacking:
             raise ValueError(f"the vocabulary lacks single bytes: {lacking[:5]}")
         # two bytes hold most vocabularies
-        kind = "<u2" if max(ranks.values()) < 0xFFFF else "<u4"
+        kind = "<u2" if max(ranks.values()) <= 0xFFFF else "<u4"
         return Vocabulary(spark.sparkContext.broadcast(ranks), pattern, kind)
 
 
-def _text(documents: DataFrame) -> DataFrame:
-    return documents.select(F.coalesce("text", F.lit("")).alias("text"))
+def _pack(values: np.ndarray, kind: str) -> bytes:
+    """Compressed numbers, byte by byte of all of them: high bytes are mostly alike."""
+    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize)
+    return zstandard.ZstdCompressor(3).compress(planes.T.tobytes())
 
 
-def frequent_words(documents: DataFrame, vocabulary: Vocabulary, *, rows: int = SAMPLE_ROWS,
-                   limit: int = HOT_WORDS) -> dict[str, bytes]:
-    """The most frequent words of about ``rows`` documents, with their packed ids."""
-    pattern, ranks, kind = vocabulary.pattern, vocabulary.ranks, vocabulary.kind
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = splitter(pattern)
-        for batch in batches:
-            seen = Counter()
-            for text in batch.column(0):
-                seen.update(split(text.as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-    @F.pandas_udf("binary")
-    def encoded(words: pd.Series) -> pd.Series:
-        return pd.Series([_packed(w, ranks.value, kind) for w in words], dtype=object)
-
-    total = documents.count()
-    sample = _text(documents).sample(min(1.0, rows / max(1, total)), seed=0)
-    words = (sample.mapInArrow(count, "word string, n long").where(F.char_length("word") <= HOT_LENGTH)
-             .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
-    table = words.select("word", encoded("word").alias("ids")).toArrow()
-    return dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist()))
-
-
-def _packed(word: str, ranks: dict[bytes, int], kind: str) -> bytes:
-    return np.array(merge_pairs(word.encode(), ranks), kind).tobytes()
+def _unpack(packed: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
-def _holes(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> DataFrame:
-    """(key, word, places): the pre-tokens that are not hot, by text; places count such pre-tokens from 0."""
-    pattern = vocabulary.pattern
+_BLOCK = "docs binary, sizes binary, numbers binary, places binary, words binary, ends binary, distinct_words long"
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = splitter(pattern), hot.value
-        keys, words, places = [], [], []
 
-        def found() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array(words, pa.string()), pa.array(places, pa.binary())],
-                ["key", "word", "places"])
-            for column in (keys, words, places):
-                column.clear()
-            return batch
+def _blocks(pattern: str, block_chars: int):
+    """Blocks of texts as numbers of their distinct words, and these words in the order of their hashes."""
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = splitter(pattern)
+        compress = zstandard.ZstdCompressor(3).compress
+        docs: list[int | None] = []
+        texts: list[np.ndarray] = []
+        known: dict[str, int] = {}
+        gathered = 0
+
+        def block() -> pa.RecordBatch:
+            sizes = np.array([len(t) for t in texts], np.int64)
+            numbers = np.concatenate(texts)
+            counts = np.bincount(numbers, minlength=len(known))
+            frequent = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(known), np.int64)
+            rank[frequent] = np.arange(len(known))
+            words = [w.encode() for w in known]
+            hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            by_hash = np.argsort(hashed, kind="stable")
+            # where the word of a rank stands among the words in the order of their hashes
+            place = np.empty(len(known), np.int64)
+            place[rank[by_hash]] = np.arange(len(known))
+            ordered = [words[i] for i in by_hash.tolist()]
+            ids = np.array([[0 if d is None else d, d is None] for d in docs], np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([
+                *[pa.array([x], pa.binary()) for x in (
+                    _pack(ids.ravel(), "<i8"), _pack(sizes, "<u4"), _pack(rank[numbers], "<u4"), _pack(place, "<u4"),
+                    compress(b"".join(ordered)), _pack(np.array([len(w) for w in ordered], np.int64), "<u4"))],
+                pa.array([len(known)], pa.int64()),
+            ], ["docs", "sizes", "numbers", "places", "words", "ends", "distinct_words"])
 
         for batch in batches:
-            for text in batch.column(0):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 content = text.as_py()
-                at: dict[str, list[int]] = {}
-                for place, word in enumerate(w for w in split(content) if w not in known):
-                    at.setdefault(word, []).append(place)
-                keys += [_key(content)] * len(at) if at else []
-                words += at
-                places += [np.array(p, "<u4").tobytes() for p in at.values()]
-                if len(keys) >= _SENT:
-                    yield found()
-        yield found()
-
-    return _text(documents).mapInArrow(find, "key binary, word string, places binary")
-
-
-def _key(text: str) -> bytes:
-    return hashlib.sha256(text.encode()).digest()[:16]
-
-
-def encode_words(holes: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(key, places, ids): equal words are brought together and each distinct one is encoded once.
-
-    Texts that repeat bring the same (word, key) again; one of those rows goes on.
-    """
-    ranks, kind = vocabulary.ranks, vocabulary.kind
-
-    def encode_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_word, last_key, ids = None, None, b""
-        for batch in batches:
-            taken, packed = [], []
-            for i, (key, word) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                if word != last_word:
-                    last_word, last_key, ids = word, None, _packed(word, ranks.value, kind)
-                if key != last_key:
-                    last_key = key
-                    taken.append(i)
-                    packed.append(ids)
-            rows = batch.take(pa.array(taken, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(2), pa.array(packed, pa.binary())], ["key", "places", "ids"])
-
-    return (holes.repartition("word").sortWithinPartitions("word", "key")
-            .mapInArrow(encode_runs, "key binary, places binary, ids binary"))
-
-
-def _skeletons(documents: DataFrame, vocabulary: Vocabulary, hot: Broadcast) -> DataFrame:
-    """(doc_id, key, skeleton): compressed ids of the hot pre-tokens, holes marked.
-
-    A text without holes gets a key that no pieces have, and one of its own
-    row, so that many copies do not meet.
-    """
-    pattern, hole = vocabulary.pattern, _hole(vocabulary.kind).tobytes()
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, compress, known = splitter(pattern), zstandard.ZstdCompressor(3).compress, hot.value
+                if docs and gathered + len(content) > block_chars:
+                    yield block()
+                    docs, texts, known, gathered = [], [], {}, 0
+                docs.append(doc_id)
+                texts.append(np.array([known.setdefault(w, len(known)) for w in split(content)], np.int64))
+                gathered += len(content)
+        if docs:
+            yield block()
+    return build
+
+
+def _sent(fragments: int):
+    """(fragment, block, words, ends): the words of each block by fragment of their hash."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand, compress = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            keys, skeletons = [], []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                content = text.as_py()
-                parts = [known.get(w, hole) for w in split(content)]
-                key = _key(content)
-                keys.append(key if hole in parts else _key(f"{doc_id.as_py()} {key.hex()}"))
-                skeletons.append(compress(b"".join(parts)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(skeletons, pa.binary())],
-                ["doc_id", "key", "skeleton"])
-
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(build, "doc_id long, key binary, skeleton binary")
-
-
-def _hole(kind: str) -> np.ndarray:
-    return np.array([_HOLE], "<u4").astype(kind)
+            for block, words, ends in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                joined, lengths = expand(words), _unpack(ends, "<u4").astype(np.int64)
+                stops = np.concatenate([[0], np.cumsum(lengths)])
+                hashed = np.array([xxhash.xxh3_64_intdigest(joined[i:j]) for i, j in zip(stops, stops[1:])], np.uint64)
+                # words stand in the order of their hashes, so a fragment's are neighbours
+                fragment = ((hashed >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+                found, first = np.unique(fragment, return_index=True)
+                borders = [*first.tolist(), len(lengths)]
+                spans = list(zip(borders, borders[1:]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(found.astype(np.int64)), pa.array(np.full(len(found), block, np.int64)),
+                    pa.array([compress(joined[stops[i]:stops[j]]) for i, j in spans], pa.binary()),
+                    pa.array([_pack(lengths[i:j], "<u4") for i, j in spans], pa.binary()),
+                ], ["fragment", "block", "words", "ends"])
+    return send
+
+
+def _encode_fragment(ranks: Broadcast, kind: str):
+    """Of one fragment: every distinct word is encoded once; each block gets the ids of its words in their order."""
+    def encode_words(table: pa.Table) -> pa.Table:
+        expand = zstandard.ZstdDecompressor().decompress
+        merges, known, sizes, ids = ranks.value, {}, [], []
+        for words, ends in zip(table.column("words"), table.column("ends")):
+            joined, at, found = expand(words.as_py()), 0, []
+            for length in _unpack(ends.as_py(), "<u4").tolist():
+                word = joined[at:at + length]
+                at += length
+                if (own := known.get(word)) is None:
+                    own = known[word] = merge_pairs(word, merges)
+                found.append(own)
+            sizes.append(_pack(np.array([len(x) for x in found], np.int64), "<u4"))
+            ids.append(_pack(np.array([i for x in found for i in x], np.int64), kind))
+        return pa.table([table.column("block"), table.column("fragment"), pa.array(sizes, pa.binary()),
+                         pa.array(ids, pa.binary())], names=["block", "fragment", "sizes", "ids"])
+    return encode_words
 
 
 def _assemble(kind: str):
-    hole = _hole(kind)[0]
-
+    """(doc_id, ids) of the texts of blocks, from their numbers and the ids of their words."""
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            lists = []
-            for skeleton, fill in zip(batch.column(1), batch.column(2)):
-                known = np.frombuffer(expand(skeleton.as_py()), kind)
-                if fill.is_valid:
-                    pieces: dict[int, np.ndarray] = {}
-                    for piece in fill.as_py():
-                        ids = np.frombuffer(piece["ids"], kind)
-                        for place in np.frombuffer(piece["places"], "<u4").tolist():
-                            pieces[place] = ids
-                    whole, last = [], 0
-                    for place, at in enumerate(np.flatnonzero(known == hole).tolist()):
-                        whole += [known[last:at], pieces[place]]
-                        last = at + 1
-                    known = np.concatenate([*whole, known[last:]])
-                lists.append(known.astype(np.int32))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            values = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "ids"])
+            for docs, sizes, numbers, places, found in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                docs = _unpack(docs, "<i8").reshape(-1, 2)
+                parts = sorted(found or (), key=lambda f: f["fragment"])
+                lengths = np.concatenate([np.empty(0, np.int64), *[_unpack(p["sizes"], "<u4") for p in parts]]).astype(np.int64)
+                ids = np.concatenate([np.empty(0, np.int32), *[_unpack(p["ids"], kind).astype(np.int32) for p in parts]])
+                starts = np.cumsum(lengths) - lengths
+                word = _unpack(places, "<u4").astype(np.int64)[_unpack(numbers, "<u4")]
+                stops = np.concatenate([[0], np.cumsum(_unpack(sizes, "<u4").astype(np.int64))])
+                # some texts at a time, so that the ids of a block are never all in one array
+                first = 0
+                while first < len(docs):
+                    last = max(first + 1, int(np.searchsorted(stops, stops[first] + _TOGETHER, "right")) - 1)
+                    own = word[stops[first]:stops[last]]
+                    size = lengths[own]
+                    ends = np.cumsum(size)
+                    total = int(ends[-1]) if len(ends) else 0
+                    values = ids[np.repeat(starts[own] - (ends - size), size) + np.arange(total)]
+                    offsets = np.concatenate([[0], ends])[stops[first:last + 1] - stops[first]]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(docs[first:last, 0], pa.int64(), mask=docs[first:last, 1].astype(bool)),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)),
+                    ], ["doc_id", "ids"])
+                    first = last
     return assemble
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, *, sample_rows: int = SAMPLE_ROWS,
-           hot_words: int = HOT_WORDS) -> DataFrame:
+def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = BLOCK_CHARS,
+           fragment_words: int = FRAGMENT_WORDS, min_fragments: int = MIN_FRAGMENTS) -> DataFrame:
     """(doc_id, ids): the ids of every text, one row per row of ``documents``.
 
     Null and empty texts have no ids.  Special tokens are ordinary text.
     Repeated rows each have their ids; doc_id may be null or repeat.  Only
-    doc_id and text are read.  The ids depend on the text alone.
+    doc_id and text are read.  The ids depend on the text alone, not on blocks
+    and fragments.
     """
-    hot = documents.sparkSession.sparkContext.broadcast(
-        frequent_words(documents, vocabulary, rows=sample_rows, limit=hot_words))
-    pieces = (encode_words(_holes(documents, vocabulary, hot), vocabulary)
-              .groupBy("key").agg(F.collect_list(F.struct("places", "ids")).alias("pieces")))
-    return (_skeletons(documents, vocabulary, hot).join(pieces, "key", "left").select("doc_id", "skeleton", "pieces")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    blocks = materialize(rows.mapInArrow(_blocks(vocabulary.pattern, block_chars), _BLOCK)
+                         .withColumn("block", F.monotonically_increasing_id()), "blocks")
+    total = blocks.agg(F.sum("distinct_words")).first()[0] or 0
+    fragments = max(min_fragments, -(-total // fragment_words))
+    sent = blocks.select("block", "words", "ends").mapInArrow(
+        _sent(fragments), "fragment long, block long, words binary, ends binary")
+    encoded = sent.groupBy("fragment").applyInArrow(
+        _encode_fragment(vocabulary.ranks, vocabulary.kind), "block long, fragment long, sizes binary, ids binary")
+    found = (materialize(encoded, "encoded").groupBy("block")
+             .agg(F.collect_list(F.struct("fragment", "sizes", "ids")).alias("found")))
+    return (blocks.join(found, "block", "left").select("docs", "sizes", "numbers", "places", "found")
             .mapInArrow(_assemble(vocabulary.kind), "doc_id long, ids array<int>"))
 
 

@@ -344,12 +344,12 @@ def vocabulary(spark):
     return bpe.Vocabulary.load(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-@pytest.mark.parametrize("hot", [0, 3, 1 << 18])
-def test_ids_do_not_depend_on_hot_words(spark, odd, vocabulary, hot):
+@pytest.mark.parametrize("sizes", [{}, {"block_chars": 1, "fragment_words": 1}, {"block_chars": 300_000, "min_fragments": 1}])
+def test_ids_do_not_depend_on_blocks_and_fragments(spark, odd, vocabulary, sizes):
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
                                  mergeable_ranks=vocabulary.ranks.value, special_tokens={})
     texts = {r.doc_id: r.text or "" for r in odd.collect()}
-    got = bpe.encode(odd, vocabulary, hot_words=max(hot, 1)).collect()
+    got = bpe.encode(odd, vocabulary, **sizes).collect()
     assert len(got) == 9
     for r in got:
         assert list(r.ids) == encoding.encode_ordinary(texts[r.doc_id])
