@@ -122,4 +122,6 @@ def drop_exact_duplicates(documents: DataFrame, index: DigestIndex | None = None
     several = stays.where("repeats > 1")
     if several.isEmpty():
         return once
-    return once.unionByName(documents.join(several, same, "left_semi").dropDuplicates([ID, TEXT]))
+    # null and empty texts are equal, so repeats are told by the digest
+    repeated = documents.join(several, same, "left_semi").withColumn("__digest", text_digest(F.col(TEXT)))
+    return once.unionByName(repeated.dropDuplicates([ID, "__digest"]).drop("__digest"))

@@ -17,6 +17,8 @@ compared as far as both do.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: words of a shingle
@@ -38,20 +40,32 @@ def words_of(text: Column) -> Column:
 
 
 def with_sketch(rows: DataFrame, text: str, column: str, threshold: str = THRESHOLD, least: int = 1) -> DataFrame:
-    """Add the sketch of a text column: sorted distinct hashes below the threshold, and the ``least`` smallest."""
-    words, hashes = F.col("__words"), F.col("__hashes")
-    hashed = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - WIDTH + 1, F.lit(1))),
-        lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, F.lit(WIDTH)), " ")), 1, DIGITS))
-    none = F.array().cast("array<string>")
-    below = F.filter(hashes, lambda h: h < threshold)
-    smallest = (F.array_append(below, F.array_min(hashes)) if least == 1
-                else F.concat(below, F.slice(F.array_sort(F.array_distinct(hashes)), 1, least)))
-    return (rows.withColumn("__words", words_of(F.col(text)))
-            .withColumn("__hashes", F.when(F.size(words) > 0, hashed).otherwise(none))
-            .withColumn(column, F.when(F.size(hashes) > 0, F.array_sort(F.array_distinct(
-                smallest))).otherwise(none))
-            .drop("__words", "__hashes"))
+    """Add the sketch of a text column: sorted distinct hashes below the threshold, and the ``least`` smallest.
+
+    Words and hashes are bound as elements of one-element lists: as columns they
+    would be copied into the functions over them, and made again per word, when
+    a filter on a result is moved down.
+    """
+    def hashed(words: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.greatest(F.size(words) - WIDTH + 1, F.lit(1))),
+            lambda i: F.substring(F.md5(F.array_join(F.slice(words, i, F.lit(WIDTH)), " ")), 1, DIGITS))
+
+    def kept(hashes: Column) -> Column:
+        below = F.filter(hashes, lambda h: h < threshold)
+        smallest = (F.array_append(below, F.array_min(hashes)) if least == 1
+                    else F.concat(below, F.slice(F.array_sort(F.array_distinct(hashes)), 1, least)))
+        return F.array_sort(F.array_distinct(smallest))
+
+    def sketch(words: Column) -> Column:
+        return F.when(F.size(words) > 0, _bound(hashed(words), kept)).otherwise(F.array().cast("array<string>"))
+
+    return rows.withColumn(column, _bound(words_of(F.col(text)), sketch))
+
+
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, where the value is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -212,7 +212,7 @@ def cell_report(documents: DataFrame, targets: Targets = Targets(), *, topic: Co
     return calibrate(documents, targets, topic=topic, sweeps=sweeps, tolerance=tolerance, share=share)[1]
 
 
-#: cells that a broadcast may hold; beyond, rows are found by their ids
+#: cells that a broadcast may hold; a larger table is joined by shuffling
 MAX_BROADCAST_CELLS = 50_000
 
 
@@ -220,17 +220,14 @@ def sample(documents: DataFrame, targets: Targets = Targets(), *, topic: Column
            sweeps: int = 20, tolerance: float = 1e-6, share: float | None = None) -> DataFrame:
     """The rows of ``documents`` that ``probabilities`` samples, with all their columns.
 
-    A table of few cells is broadcast, so texts do not move; otherwise the
-    sampled ids are joined.
+    Each row has the probability of its own cell, whatever others have its id.
+    A table of few cells is broadcast, so texts do not move.
     """
-    rows, cells = calibrate(documents, targets, topic=topic, sweeps=sweeps, tolerance=tolerance, share=share)
-    drawn = draw_of(F.col("doc_id").cast("bigint"), seed) < F.col("__probability")
+    _, cells = calibrate(documents, targets, topic=topic, sweeps=sweeps, tolerance=tolerance, share=share)
     cells = cells.select(*[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("probability").alias("__probability"))
-    if cells.count() <= MAX_BROADCAST_CELLS:
-        own = {f"__own_{name}": value for name, value in _described(documents, topic).items()}
-        same = [F.col(f"__own_{d}") == F.col(f"__{d}") for d in DIMENSIONS]
-        return (documents.withColumns(own).join(F.broadcast(cells), same).where(drawn)
-                .select(*[F.col(c) for c in documents.columns]))
-    ids = (rows.join(cells, [F.col(d) == F.col(f"__{d}") for d in DIMENSIONS]).where(drawn)
-           .select(F.col("doc_id").alias("__id")).distinct())
-    return documents.join(ids, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")), "left_semi")
+    small = cells.count() <= MAX_BROADCAST_CELLS
+    own = {f"__own_{name}": value for name, value in _described(documents, topic).items()}
+    same = [F.col(f"__own_{d}") == F.col(f"__{d}") for d in DIMENSIONS]
+    drawn = draw_of(F.col("doc_id").cast("bigint"), seed) < F.col("__probability")
+    return (documents.withColumns(own).join(F.broadcast(cells) if small else cells, same).where(drawn)
+            .select(*[F.col(c) for c in documents.columns]))

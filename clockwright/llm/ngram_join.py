@@ -13,6 +13,8 @@ set into segments, one per fragment.
    75 % shared n-grams has no link, which leaves few classes to compare.
 2. The shared n-grams of a class are ordered by rarity; two linked classes share
    one of the first ``n - ceil(0.75 n) + 1``.  These prefixes yield candidates.
+   At the first n-gram that two classes share, neither can share more than it has
+   left from there on; pairs that this rules out are never made.
 3. For candidate pairs the overlap is counted in each fragment separately, from
    two segments, and summed per pair.
 
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clockwright.llm.components import components
 from clockwright.scratch import materialize
@@ -207,25 +209,31 @@ _SHARED = "node binary, fragment int, grams array<bigint>, spread array<int>"
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rarest shared n-grams of each class, as many as must hold one of any linked class."""
     for batch in batches:
-        found, sizes = [], []
-        for n, parts in zip(batch.column("n").to_pylist(), batch.column("parts")):
+        found, sizes, numbers = [], [], batch.column("n").to_pylist()
+        for n, parts in zip(numbers, batch.column("parts")):
             parts = parts.values
             fragment = np.repeat(parts.field("fragment").to_numpy(), parts.field("grams").value_lengths().to_numpy())
             gram = parts.field("grams").flatten().to_numpy()
             spread = parts.field("spread").flatten().to_numpy()
             take = len(gram) - -(-LEAST * n // 100) + 1
             order = np.lexsort((gram, fragment, spread))[:take]
-            found.append((fragment[order], gram[order]))
+            found.append((fragment[order], gram[order], len(gram) - np.arange(len(order))))
             sizes.append(len(order))
         yield pa.RecordBatch.from_arrays([
             batch.column("node").take(pa.array(np.repeat(np.arange(len(sizes)), sizes))),
-            pa.array(np.concatenate([f for f, _ in found]).astype(np.int32)),
-            pa.array(np.concatenate([g for _, g in found]).astype(np.int64)),
-        ], ["node", "fragment", "gram"])
+            pa.array(np.concatenate([f for f, _, _ in found]).astype(np.int32)),
+            pa.array(np.concatenate([g for _, g, _ in found]).astype(np.int64)),
+            pa.array(np.repeat(np.array(numbers, np.int64), sizes)),
+            pa.array(np.concatenate([r for _, _, r in found]).astype(np.int32)),
+        ], ["node", "fragment", "gram", "n", "rest"])
 
 
 def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, fragment, gram): prefix n-grams, and (node, n, fragment, grams): segments, of the classes that may be linked."""
+    """Prefix n-grams and segments of the classes that may be linked.
+
+    The first is (node, fragment, gram, n, rest), where rest is how many shared
+    n-grams the class has from this one on; the second (node, n, fragment, grams).
+    """
     total = of.agg(F.sum("n")).first()[0] or 0
     fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
     shared = materialize(
@@ -237,7 +245,7 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     segments = materialize(shared.join(likely, "node"), "segments")
     prefixes = materialize(
         segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams", "spread")).alias("parts"))
-        .mapInArrow(_prefixes, "node binary, fragment int, gram long"), "prefixes")
+        .mapInArrow(_prefixes, "node binary, fragment int, gram long, n long, rest int"), "prefixes")
     return prefixes, segments.drop("spread")
 
 
@@ -288,10 +296,20 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
 _GRAM = ["fragment", "gram"]
 
 
+def _may_link(n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
+    """Whether two classes that share their first n-gram here can share enough: 100 o >= 75 (n + m - o)."""
+    return F.least(rest, other_rest) * (100 + LEAST) >= (n + other_n) * LEAST
+
+
 def _across(prefixes: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """The rows of prefix n-grams that still stand in more than one component, with their components."""
-    rows = prefixes.join(labels, "node", "left").select(
-        "node", *_GRAM, F.coalesce("label", "node").alias("label"))
+    """The rows of prefix n-grams that still stand in more than one component, with their components.
+
+    Rows that could not be linked with the smallest class of their n-gram are left out first.
+    """
+    smallest = prefixes.groupBy(*_GRAM).agg(F.min("n").alias("least_n"))
+    able = prefixes.join(smallest, _GRAM).where(_may_link(F.col("n"), F.col("rest"), F.col("least_n"), F.col("rest")))
+    rows = able.join(labels, "node", "left").select(
+        "node", *_GRAM, "n", "rest", F.coalesce("label", "node").alias("label"))
     mixed = rows.groupBy(*_GRAM).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     left = materialize(rows.join(mixed.select(*_GRAM), _GRAM), "across")
     return None if left.isEmpty() else left
@@ -301,14 +319,15 @@ def _stars(rows: DataFrame, orders: int, seed: int) -> DataFrame:
     """Each class with the first class of its n-grams, by ``orders`` different orders; pairs of one component left out."""
     order = F.xxhash64("node", F.pmod(F.col("gram"), F.lit(orders)), F.lit(seed))
     rows = rows.withColumn("order", order)
-    centres = rows.groupBy(*_GRAM).agg(
-        F.min_by("node", "order").alias("centre"), F.min_by("label", "order").alias("centre_label"))
-    return (rows.join(centres, _GRAM).where(F.col("label") != F.col("centre_label"))
-            .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    centres = rows.groupBy(*_GRAM).agg(F.min_by(F.struct("node", "label", "n", "rest"), "order").alias("c"))
+    return (rows.join(centres, _GRAM)
+            .where((F.col("label") != F.col("c.label"))
+                   & _may_link(F.col("n"), F.col("rest"), F.col("c.n"), F.col("c.rest")))
+            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different components that share a prefix n-gram.
+    """All pairs of different components that share a prefix n-gram from which on they may share enough.
 
     One side of such a pair is always outside the n-gram's largest component,
     so only classes outside it are joined with the others.
@@ -317,9 +336,11 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     largest = per_label.groupBy(*_GRAM).agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
     marked = rows.join(largest, _GRAM)
     minor = marked.where(F.col("label") != F.col("largest")).select(
-        *_GRAM, F.col("node").alias("x"), F.col("label").alias("x_label"))
+        *_GRAM, F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("n").alias("x_n"),
+        F.col("rest").alias("x_rest"))
     return (marked.join(minor, _GRAM)
-            .where((F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("largest")) | (F.col("x") < F.col("node"))))
+            .where((F.col("label") != F.col("x_label")) & ((F.col("label") == F.col("largest")) | (F.col("x") < F.col("node")))
+                   & _may_link(F.col("n"), F.col("rest"), F.col("x_n"), F.col("x_rest")))
             .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
 
 
@@ -384,4 +405,5 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     once = documents.join(stays.where("__rows = 1"), same, "left_semi")
     if several.isEmpty():
         return once
-    return once.unionByName(documents.join(several, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    repeated = documents.join(several, same, "left_semi").withColumn("__digest", text_digest)
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "__digest"]).drop("__digest"))
