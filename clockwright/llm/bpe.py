@@ -1,13 +1,13 @@
 """Byte-level BPE: every distinct pre-token is encoded once, whatever the corpus' size.
 
 1. Texts are put into blocks of bounded length, which are stored once; a long
-   text is a block of its own.  A block numbers its distinct pre-tokens, the
-   frequent ones first, and holds each text as numbers: what stands where.
+   text is a block of its own.  A block ranks its distinct pre-tokens, the
+   frequent ones first, and holds each text as ranks: what stands where.
 2. Each block sends every distinct pre-token once, by fragment of a hash, so
    equal words of all blocks meet and a word that is everywhere takes one entry
    per block.  Each distinct word is encoded once, by merging byte pairs in the
    order of their ranks, and its ids go back to the blocks that sent it.
-3. Each text is put together from its numbers and its block's ids.
+3. Each text is put together from its ranks and its block's ids.
 
 The number of fragments follows the number of words sent, so that a fragment's
 size does not.  Decoding looks up every id in the table of token bytes.  The
@@ -38,9 +38,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from clockwright.scratch import materialize
 
 #: characters of a block, about; longer texts are blocks of their own
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 12_000_000
 #: words per fragment, about, and the fewest fragments
-FRAGMENT_WORDS = 200_000
+FRAGMENT_WORDS = 400_000
 MIN_FRAGMENTS = 64
 #: words whose ids are put together at a time
 _TOGETHER = 500_000
@@ -193,11 +193,44 @@ def _unpack(packed: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(kind).ravel()
 
 
-_BLOCK = "docs binary, sizes binary, numbers binary, places binary, words binary, ends binary, distinct_words long"
+#: first bytes of numbers of one, two, three and five bytes begin here
+_TWO, _THREE, _FIVE = 160, 240, 255
+_FROM_TWO, _FROM_THREE = _TWO, _TWO + (_THREE - _TWO) * 256
+_FROM_FIVE = _FROM_THREE + (_FIVE - _THREE) * 65536
+
+
+def _pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Small numbers in one byte, others in more; first bytes and further bytes are compressed apart."""
+    kind = np.searchsorted([_FROM_TWO, _FROM_THREE, _FROM_FIVE], ranks, "right")
+    two, three, five = ranks[kind == 1] - _FROM_TWO, ranks[kind == 2] - _FROM_THREE, ranks[kind == 3]
+    first = ranks.copy()
+    first[kind == 1] = _TWO + (two >> 8)
+    first[kind == 2] = _THREE + (three >> 16)
+    first[kind == 3] = _FIVE
+    more = [(two & 255).astype(np.uint8), (three >> 8 & 255).astype(np.uint8), (three & 255).astype(np.uint8),
+            five.astype("<u4").view(np.uint8)]
+    compress = zstandard.ZstdCompressor(3).compress
+    return compress(first.astype(np.uint8).tobytes()), compress(np.concatenate(more).tobytes())
+
+
+def _unpack_ranks(first: bytes, more: bytes) -> np.ndarray:
+    expand = zstandard.ZstdDecompressor().decompress
+    ranks = np.frombuffer(expand(first), np.uint8).astype(np.int64)
+    kind = np.searchsorted([_TWO, _THREE, _FIVE], ranks, "right")
+    two, three, five = (np.flatnonzero(kind == k) for k in (1, 2, 3))
+    parts = np.split(np.frombuffer(expand(more), np.uint8), np.cumsum([len(two), len(three), len(three)]))
+    low, middle, least = (p.astype(np.int64) for p in parts[:3])
+    ranks[two] = _FROM_TWO + (ranks[two] - _TWO << 8) + low
+    ranks[three] = _FROM_THREE + (ranks[three] - _THREE << 16) + (middle << 8) + least
+    ranks[five] = np.ascontiguousarray(parts[3]).view("<u4")
+    return ranks
+
+
+_BLOCK = "docs binary, sizes binary, ranks binary, more_ranks binary, words binary, lengths binary, distinct_words long"
 
 
 def _blocks(pattern: str, block_chars: int):
-    """Blocks of texts as numbers of their distinct words, and these words in the order of their hashes."""
+    """Blocks of texts as ranks of their distinct words by frequency, and these words by rank."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(pattern)
         compress = zstandard.ZstdCompressor(3).compress
@@ -207,26 +240,19 @@ def _blocks(pattern: str, block_chars: int):
         gathered = 0
 
         def block() -> pa.RecordBatch:
-            sizes = np.array([len(t) for t in texts], np.int64)
             numbers = np.concatenate(texts)
-            counts = np.bincount(numbers, minlength=len(known))
-            frequent = np.argsort(-counts, kind="stable")
+            frequent = np.argsort(-np.bincount(numbers, minlength=len(known)), kind="stable")
             rank = np.empty(len(known), np.int64)
             rank[frequent] = np.arange(len(known))
-            words = [w.encode() for w in known]
-            hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-            by_hash = np.argsort(hashed, kind="stable")
-            # where the word of a rank stands among the words in the order of their hashes
-            place = np.empty(len(known), np.int64)
-            place[rank[by_hash]] = np.arange(len(known))
-            ordered = [words[i] for i in by_hash.tolist()]
-            ids = np.array([[0 if d is None else d, d is None] for d in docs], np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([
-                *[pa.array([x], pa.binary()) for x in (
-                    _pack(ids.ravel(), "<i8"), _pack(sizes, "<u4"), _pack(rank[numbers], "<u4"), _pack(place, "<u4"),
-                    compress(b"".join(ordered)), _pack(np.array([len(w) for w in ordered], np.int64), "<u4"))],
-                pa.array([len(known)], pa.int64()),
-            ], ["docs", "sizes", "numbers", "places", "words", "ends", "distinct_words"])
+            words = list(known)
+            words = [words[i].encode() for i in frequent.tolist()]
+            ids = np.array([[0 if d is None else d, d is None] for d in docs], np.int64)
+            packed = (_pack(ids.ravel(), "<i8"), _pack(np.array([len(t) for t in texts], np.int64), "<u4"),
+                      *_pack_ranks(rank[numbers]), compress(b"".join(words)),
+                      _pack(np.array([len(w) for w in words], np.int64), "<u4"))
+            return pa.RecordBatch.from_arrays(
+                [*[pa.array([x], pa.binary()) for x in packed], pa.array([len(known)], pa.int64())],
+                ["docs", "sizes", "ranks", "more_ranks", "words", "lengths", "distinct_words"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -243,24 +269,24 @@ def _blocks(pattern: str, block_chars: int):
 
 
 def _sent(fragments: int):
-    """(fragment, block, words, ends): the words of each block by fragment of their hash."""
+    """(fragment, block, ranks, words, lengths): the words of each block by fragment of their hash."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand, compress = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            for block, words, ends in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                joined, lengths = expand(words), _unpack(ends, "<u4").astype(np.int64)
-                stops = np.concatenate([[0], np.cumsum(lengths)])
-                hashed = np.array([xxhash.xxh3_64_intdigest(joined[i:j]) for i, j in zip(stops, stops[1:])], np.uint64)
-                # words stand in the order of their hashes, so a fragment's are neighbours
+            for block, words, lengths in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                joined, stops = expand(words), np.cumsum(_unpack(lengths, "<u4").astype(np.int64)).tolist()
+                parts = [joined[i:j] for i, j in zip([0, *stops], stops)]
+                hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in parts], np.uint64)
                 fragment = ((hashed >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-                found, first = np.unique(fragment, return_index=True)
-                borders = [*first.tolist(), len(lengths)]
-                spans = list(zip(borders, borders[1:]))
+                order = np.argsort(fragment, kind="stable")
+                found, first = np.unique(fragment[order], return_index=True)
+                spans = np.split(order, first[1:]) if len(found) else []
                 yield pa.RecordBatch.from_arrays([
                     pa.array(found.astype(np.int64)), pa.array(np.full(len(found), block, np.int64)),
-                    pa.array([compress(joined[stops[i]:stops[j]]) for i, j in spans], pa.binary()),
-                    pa.array([_pack(lengths[i:j], "<u4") for i, j in spans], pa.binary()),
-                ], ["fragment", "block", "words", "ends"])
+                    pa.array([_pack(np.diff(ranks, prepend=0), "<u4") for ranks in spans], pa.binary()),
+                    pa.array([compress(b"".join([parts[i] for i in ranks.tolist()])) for ranks in spans], pa.binary()),
+                    pa.array([_pack(np.array([len(parts[i]) for i in ranks.tolist()], np.int64), "<u4") for ranks in spans], pa.binary()),
+                ], ["fragment", "block", "ranks", "words", "lengths"])
     return send
 
 
@@ -269,9 +295,9 @@ def _encode_fragment(ranks: Broadcast, kind: str):
     def encode_words(table: pa.Table) -> pa.Table:
         expand = zstandard.ZstdDecompressor().decompress
         merges, known, sizes, ids = ranks.value, {}, [], []
-        for words, ends in zip(table.column("words"), table.column("ends")):
+        for words, lengths in zip(table.column("words"), table.column("lengths")):
             joined, at, found = expand(words.as_py()), 0, []
-            for length in _unpack(ends.as_py(), "<u4").tolist():
+            for length in _unpack(lengths.as_py(), "<u4").tolist():
                 word = joined[at:at + length]
                 at += length
                 if (own := known.get(word)) is None:
@@ -279,22 +305,25 @@ def _encode_fragment(ranks: Broadcast, kind: str):
                 found.append(own)
             sizes.append(_pack(np.array([len(x) for x in found], np.int64), "<u4"))
             ids.append(_pack(np.array([i for x in found for i in x], np.int64), kind))
-        return pa.table([table.column("block"), table.column("fragment"), pa.array(sizes, pa.binary()),
-                         pa.array(ids, pa.binary())], names=["block", "fragment", "sizes", "ids"])
+        return pa.table([table.column("block"), table.column("ranks"), pa.array(sizes, pa.binary()),
+                         pa.array(ids, pa.binary())], names=["block", "ranks", "sizes", "ids"])
     return encode_words
 
 
 def _assemble(kind: str):
-    """(doc_id, ids) of the texts of blocks, from their numbers and the ids of their words."""
+    """(doc_id, ids) of the texts of blocks, from their ranks and the ids of their words."""
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, sizes, numbers, places, found in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for docs, sizes, first_bytes, more, distinct, found in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 docs = _unpack(docs, "<i8").reshape(-1, 2)
-                parts = sorted(found or (), key=lambda f: f["fragment"])
-                lengths = np.concatenate([np.empty(0, np.int64), *[_unpack(p["sizes"], "<u4") for p in parts]]).astype(np.int64)
-                ids = np.concatenate([np.empty(0, np.int32), *[_unpack(p["ids"], kind).astype(np.int32) for p in parts]])
-                starts = np.cumsum(lengths) - lengths
-                word = _unpack(places, "<u4").astype(np.int64)[_unpack(numbers, "<u4")]
+                lengths, starts, parts, upto = np.zeros(distinct, np.int64), np.zeros(distinct, np.int64), [], 0
+                for part in found or ():
+                    own, size = np.cumsum(_unpack(part["ranks"], "<u4").astype(np.int64)), _unpack(part["sizes"], "<u4").astype(np.int64)
+                    lengths[own], starts[own] = size, upto + np.cumsum(size) - size
+                    parts.append(_unpack(part["ids"], kind).astype(np.int32))
+                    upto += len(parts[-1])
+                ids = np.concatenate([np.empty(0, np.int32), *parts])
+                word = _unpack_ranks(first_bytes, more)
                 stops = np.concatenate([[0], np.cumsum(_unpack(sizes, "<u4").astype(np.int64))])
                 # some texts at a time, so that the ids of a block are never all in one array
                 first = 0
@@ -328,13 +357,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = B
                          .withColumn("block", F.monotonically_increasing_id()), "blocks")
     total = blocks.agg(F.sum("distinct_words")).first()[0] or 0
     fragments = max(min_fragments, -(-total // fragment_words))
-    sent = blocks.select("block", "words", "ends").mapInArrow(
-        _sent(fragments), "fragment long, block long, words binary, ends binary")
-    encoded = sent.groupBy("fragment").applyInArrow(
-        _encode_fragment(vocabulary.ranks, vocabulary.kind), "block long, fragment long, sizes binary, ids binary")
-    found = (materialize(encoded, "encoded").groupBy("block")
-             .agg(F.collect_list(F.struct("fragment", "sizes", "ids")).alias("found")))
-    return (blocks.join(found, "block", "left").select("docs", "sizes", "numbers", "places", "found")
+    sent = blocks.select("block", "words", "lengths").mapInArrow(
+        _sent(fragments), "fragment long, block long, ranks binary, words binary, lengths binary")
+    found = (sent.groupBy("fragment").applyInArrow(
+                 _encode_fragment(vocabulary.ranks, vocabulary.kind), "block long, ranks binary, sizes binary, ids binary")
+             .groupBy("block").agg(F.collect_list(F.struct("ranks", "sizes", "ids")).alias("found")))
+    return (blocks.join(found, "block", "left").select("docs", "sizes", "ranks", "more_ranks", "distinct_words", "found")
             .mapInArrow(_assemble(vocabulary.kind), "doc_id long, ids array<int>"))
 
 
