@@ -19,6 +19,7 @@ from clockwright.functions.times import hours_between, minutes_between, week_sta
 from clockwright.operators import quality
 from clockwright.operators.dedup import flag_later_copies
 from clockwright.schemas import PUNCH_EVENT_KEYS
+from clockwright.scratch import materialize
 
 REASON = "quarantine_reason"
 
@@ -175,8 +176,27 @@ def split_punches(classified: DataFrame, raw_columns: list[str]) -> PunchSplit:
 
 def transform_punches(raw: DataFrame, shifts: DataFrame, employees: DataFrame, *,
                       order: tuple[str, ...] = ("punch_id",), pattern: str = TIMESTAMP_PATTERN) -> PunchSplit:
+    """Clean punches and quarantine, from one stored classification."""
     return split_punches(
-        classified_punches(raw, shifts, employees, order=order, pattern=pattern), raw.columns)
+        materialize(classified_punches(raw, shifts, employees, order=order, pattern=pattern), "classified"), raw.columns)
+
+
+#: where a classified punch goes
+OUTCOME, CLEAN, QUARANTINE = "outcome", "punches", "quarantine"
+
+
+def routed_punches(classified: DataFrame) -> DataFrame:
+    """Every classified punch with the columns of clean ones, its reason, and the table it belongs to.
+
+    Measures of quarantined punches are what their columns yield and are not stored.
+    """
+    outcome = F.when(F.col(REASON).isNull(), F.lit(CLEAN)).otherwise(F.lit(QUARANTINE))
+    return punch_measures(classified).withColumn(OUTCOME, outcome)
+
+
+def punch_columns(routed: DataFrame, raw_columns: list[str]) -> dict[str, tuple[str, ...]]:
+    """The columns of both tables of routed punches."""
+    return {CLEAN: tuple(c for c in routed.columns if c not in (REASON, OUTCOME)), QUARANTINE: (*raw_columns, REASON)}
 
 
 # --- labels ------------------------------------------------------------------------
@@ -198,9 +218,13 @@ def label_columns(raw: DataFrame, clean_punches: DataFrame) -> DataFrame:
     )
 
 
-def transform_labels(raw: DataFrame, clean_punches: DataFrame) -> DataFrame:
+def require_labels(raw: DataFrame) -> None:
     quality.require_columns(raw, "labels")
     quality.enforce(labels_report(raw))
+
+
+def transform_labels(raw: DataFrame, clean_punches: DataFrame) -> DataFrame:
+    require_labels(raw)
     return label_columns(raw, clean_punches)
 
 

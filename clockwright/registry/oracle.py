@@ -550,6 +550,9 @@ _STATEMENTS = {
     "roundtrip_load": "select * from w_shifts",
     "table_counts": _counts(_RAW_TABLES),
     "etl_table_counts": _counts(_STORED_TABLES),
+    "stored_punches": "select * from w_clean",
+    "stored_quarantine": "select * from w_quarantine",
+    "stored_labels": "select * from w_labels",
     "transformed_tables": _counts(_STORED_TABLES),
     "parse_ts_bad_count": " union all ".join([
         _bad_times("w_punches_raw", "clock_in"), _bad_times("w_punches_raw", "clock_out"),

@@ -91,15 +91,35 @@ def table_counts(w: Workforce) -> DataFrame:
 @query
 def etl_table_counts(w: Workforce) -> DataFrame:
     """Raw CSV files to the six stored tables; the counts are those observed while writing."""
-    root = scratch_path(w.spark, "etl")
-    paths = {name: f"{root}/raw/{name}.csv" for name in w.raw.as_dict()}
-    write_raw_csv(w.raw.as_dict(), paths)
-    written = run_etl(w.spark, RawPaths(**paths), f"{root}/processed")
+    written = _etl(w)
     return w.spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("table_name"), F.lit(rows).cast("bigint").alias("row_count"))
         for name, (_, rows) in written.items()])))
 
 
+def _etl(w: Workforce) -> dict[str, tuple[str, int]]:
+    root = scratch_path(w.spark, "etl")
+    paths = {name: f"{root}/raw/{name}.csv" for name in w.raw.as_dict()}
+    write_raw_csv(w.raw.as_dict(), paths)
+    return run_etl(w.spark, RawPaths(**paths), f"{root}/processed")
+
+
+@query
+def stored_punches(w: Workforce) -> DataFrame:
+    """What the whole run, from CSV on, has stored as clean punches."""
+    return read_table(w.spark, _etl(w)["punches"][0])
+
+
+@query
+def stored_quarantine(w: Workforce) -> DataFrame:
+    return read_table(w.spark, _etl(w)["quarantine"][0])
+
+
+@query
+def stored_labels(w: Workforce) -> DataFrame:
+    return read_table(w.spark, _etl(w)["labels"][0])
+
+
 # --- parsing and scalar functions -------------------------------------------------------
 
 @query

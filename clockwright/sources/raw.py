@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from clockwright.errors import ExtractionError
 from clockwright.functions.parsing import null_na_tokens
 from clockwright.sources import csv_blocks
+from clockwright.sources.tables import files_of
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,7 @@ def read_csv(spark: SparkSession, path: str, *, multiline: bool = False) -> Data
     that ends inside quotes is refused at once.  Files are split either way.
     """
     try:
+        path = files_of(spark, path)
         names, table = (_records_table if multiline else _lines_table)(spark, path)
     except AnalysisException as exc:
         raise ExtractionError(f"cannot read raw input {path}: {exc.getMessage()}") from exc

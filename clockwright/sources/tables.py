@@ -1,103 +1,147 @@
-"""Processed tables on shared storage: reads, staged writes, counts."""
+"""Processed tables on shared storage: versioned writes and reads, counts."""
 
 from __future__ import annotations
 
 import json
+import os
 import uuid
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from clockwright.errors import ExtractionError, LoadError
+from clockwright.sources.versions import Draft, Storage, location, newest
 
 _ROWS = "rows"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table, to which the result stays pinned; plain Parquet files are read as they are."""
     try:
-        return spark.read.parquet(path)
+        manifest = newest(spark, path)
+        if manifest is None:
+            return spark.read.parquet(path)
+        # no file is opened to learn the columns, and a version without files has some, too
+        reader = spark.read if manifest.schema is None else spark.read.schema(T.StructType.fromJson(manifest.schema))
+        return reader.parquet(location(path, manifest))
     except AnalysisException as exc:
         raise ExtractionError(f"table {path} does not exist or is not Parquet") from exc
 
 
-class _Folder:
-    """File-system calls on a table folder, whatever storage it is on."""
+def files_of(spark: SparkSession, path: str) -> str:
+    """Where the files of a table's newest version are; the path itself if it holds no versions."""
+    manifest = newest(spark, path)
+    return path if manifest is None else location(path, manifest)
 
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        self._make = lambda text: jvm.org.apache.hadoop.fs.Path(text)
-        self._fs = self._make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._make(path))
+def _sorted(rows: DataFrame, order: list[Column]) -> DataFrame:
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order) if order else rows
 
-    def drop(self, path: str) -> None:
-        self._fs.delete(self._make(path), True)
 
-    def move(self, source: str, target: str) -> None:
-        if not self._fs.rename(self._make(source), self._make(target)):
-            raise LoadError(f"could not move {source} to {target}")
+def write_table(df: DataFrame, path: str, *, sort_by: tuple[str, ...] = (), look_up: tuple[str, ...] = ()) -> int:
+    """Write a new version of a table, which replaces the one before in one step.
 
-    def make_parent(self, path: str) -> None:
-        self._fs.mkdirs(self._make(path).getParent())
-
-
-def write_table(df: DataFrame, path: str, *, sort_by: tuple[str, ...] = ()) -> int:
-    """Write to a staging folder, then put it in place of the old table.
-
-    The suffix picks the format (``.parquet`` or ``.csv``).  The old table stays
-    readable until the new one is complete.  ``sort_by`` spreads the rows by
-    range of those columns and sorts inside each file, so a hot first column is
-    split and readers can skip row groups.  Returns the row count, which is
-    observed during the write rather than counted by a second job.
+    The suffix picks the format (``.parquet`` or ``.csv``).  Readers see the old
+    version until the new one is complete, and never a mixture; of two writers
+    at once, the second to finish fails.  ``sort_by`` spreads the rows by range
+    of those columns and sorts inside each file, so a hot first column is split
+    and readers can skip row groups; ``look_up`` columns get Bloom filters, so
+    look-ups by a key that files are not ranged by skip row groups, too.
+    Returns the row count, which is observed during the write rather than
+    counted by a second job.
     """
     path = path.rstrip("/")
     if not path.endswith((".parquet", ".csv")):
         raise LoadError(f"unsupported output format: {path}")
-    spark = df.sparkSession
-    folder = _Folder(spark, path)
-    staging, retired = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("staging", "retired"))
-    counted = Observation()
-    rows = df
-    if sort_by:
-        order = [F.col(c).asc_nulls_last() for c in sort_by]
-        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.observe(counted, F.count(F.lit(1)).alias(_ROWS))
+    draft, counted = Draft(df.sparkSession, path), Observation()
+    rows = _sorted(df, [F.col(c).asc_nulls_last() for c in sort_by]).observe(counted, F.count(F.lit(1)).alias(_ROWS))
     try:
-        folder.make_parent(path)
         if path.endswith(".csv"):
             # fields keep the blanks at their ends
             (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-             .option("ignoreTrailingWhiteSpace", False).csv(staging))
-        else:
-            rows.write.parquet(staging)
-        if folder.exists(path):
-            folder.move(path, retired)
-            try:
-                folder.move(staging, path)
-            except Exception:
-                folder.move(retired, path)
-                raise
-            folder.drop(retired)
+             .option("ignoreTrailingWhiteSpace", False).csv(draft.data))
         else:
-            folder.move(staging, path)
+            _with_filters(rows.write, look_up).parquet(draft.data)
+        # the planner drops the counter together with an input it knows to be empty
+        found = counted.get.get(_ROWS, 0)
+        draft.commit(found, json.loads(df.schema.json()))
     except LoadError:
-        folder.drop(staging)
+        draft.abandon()
         raise
     except Exception as exc:
-        folder.drop(staging)
+        draft.abandon()
         raise LoadError(f"could not write {path}: {exc}") from exc
-    # the planner drops the counter together with an input it knows to be empty
-    return counted.get.get(_ROWS, 0)
+    return found
+
+
+def _with_filters(writer, look_up: tuple[str, ...]):
+    for column in look_up:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
+@dataclass(frozen=True)
+class Output:
+    """One table of a routed write: its folder, its columns, and the order of its rows."""
+
+    path: str
+    columns: tuple[str, ...]
+    sort_by: tuple[str, ...] = ()
+
+
+def write_routed(df: DataFrame, route: str, outputs: dict[str, Output], root: str,
+                 look_up: tuple[str, ...] = ()) -> dict[str, int]:
+    """Write several tables in one pass: each row goes to the output that column ``route`` names.
+
+    The rows are written once, partitioned by ``route``, under ``root``; each
+    output's new version is its partition, with its own columns.  Ranges and
+    order follow the columns of the output a row goes to.  All data is complete
+    before the first version is registered.  A row that names no output is an
+    error.  Returns the rows per output.
+    """
+    drafts = {name: Draft(df.sparkSession, output.path) for name, output in outputs.items()}
+    data = f"{root.rstrip('/')}/routed-{uuid.uuid4().hex}"
+    order = [F.col(route)]
+    for name, output in outputs.items():
+        # columns of the other outputs are NULL here and order nothing
+        order += [F.when(F.col(route) == name, F.col(c)).asc_nulls_last() for c in output.sort_by]
+    counted = Observation()
+    known = F.col(route).isin(*outputs)
+    checked = df.where(F.when(F.coalesce(known, F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"{route} names no output")).cast("boolean")))
+    rows = _sorted(checked, order).observe(
+        counted, *[F.count_if(F.col(route) == name).alias(name) for name in outputs])
+    try:
+        _with_filters(rows.write.partitionBy(route), look_up).parquet(data)
+        found = {name: counted.get.get(name, 0) for name in outputs}
+        for name, output in outputs.items():
+            schema = json.loads(df.select(*[f"`{c}`" for c in output.columns]).schema.json())
+            # an output without rows has no partition folder, but has to have a folder to read
+            part = f"{data}/{route}={name}" if found[name] else drafts[name].data
+            if not found[name]:
+                df.sparkSession.createDataFrame([], T.StructType.fromJson(schema)).write.parquet(part)
+            drafts[name].commit(found[name], schema, data=os.path.relpath(part, output.path.rstrip("/")))
+    except LoadError:
+        raise
+    except Exception as exc:
+        Storage(df.sparkSession, data).drop(data)
+        raise LoadError(f"could not write {', '.join(outputs)}: {exc}") from exc
+    return found
+
+
+def table_path(output_dir: str, name: str) -> str:
+    return f"{output_dir.rstrip('/')}/{name}.parquet"
 
 
-def load_all(tables: dict[str, DataFrame], output_dir: str,
-             sort_by: dict[str, tuple[str, ...]] | None = None) -> dict[str, tuple[str, int]]:
+def load_all(tables: dict[str, DataFrame], output_dir: str, sort_by: dict[str, tuple[str, ...]] | None = None,
+             look_up: dict[str, tuple[str, ...]] | None = None) -> dict[str, tuple[str, int]]:
     """Write every table; each is replaced on its own.  Returns path and row count."""
     written = {}
     for name, df in tables.items():
-        path = f"{output_dir.rstrip('/')}/{name}.parquet"
-        written[name] = (path, write_table(df, path, sort_by=(sort_by or {}).get(name, ())))
+        path = table_path(output_dir, name)
+        rows = write_table(df, path, sort_by=(sort_by or {}).get(name, ()), look_up=(look_up or {}).get(name, ()))
+        written[name] = (path, rows)
     return written
 
 

@@ -8,6 +8,7 @@ from clockwright.operators import forest
 from clockwright.operators.forest import ForestConfig, fit_forest, forest_score, mean_path
 from clockwright.plans import scoring
 from clockwright.registry.workforce import Workforce
+from clockwright.sources.tables import read_table
 
 COLUMNS = ("x", "y")
 CONFIG = ForestConfig(trees=40, sample_size=64)
@@ -101,7 +102,7 @@ def test_stored_model_scores_the_same(spark, sf_dir, tmp_path):
     rows = scoring.save_artifacts(model, str(tmp_path / "model"), str(tmp_path / "scores.parquet"))
     nodes, columns, threshold = scoring.load_model(spark, str(tmp_path / "model"))
     again = scoring.score_with(w.features, nodes, columns, threshold)
-    stored = spark.read.parquet(str(tmp_path / "scores.parquet"))
+    stored = read_table(spark, str(tmp_path / "scores.parquet"))
     assert rows == stored.count() == again.count()
     def plain(df):
         return sorted((r.punch_id, round(r.anomaly_score, 9), r.predicted_anomaly, r.reason_hint) for r in df.collect())

@@ -9,6 +9,7 @@ from clockwright.operators.dedup import flag_later_copies
 from clockwright.plans import features, transform, triage
 from clockwright.registry.workforce import Workforce
 from clockwright.schemas import PUNCH_EVENT_KEYS
+from clockwright.scratch import materialize
 
 
 def plan(df):
@@ -58,6 +59,16 @@ def test_large_copy_tables_are_not_broadcast(spark, workforce):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_stored_tables_come_from_one_classification(workforce):
+    """The written classification is scanned once for both sinks and never joined again."""
+    classified = materialize(workforce.classified, "classified")
+    text = plan(transform.routed_punches(classified))
+    assert "Join" not in text and text.split("\n\n")[0].count("Scan parquet") == 1
+    split = transform.transform_punches(workforce.raw.punches, workforce.shifts, workforce.employees)
+    for part in (split.clean, split.quarantine):
+        assert "Join" not in plan(part)
+
+
 def test_recent_punches_are_limited_before_the_shuffle(workforce):
     text = plan(triage.recent_punches(workforce.punches))
     assert exchanges(text) == 1
