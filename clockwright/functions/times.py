@@ -16,6 +16,12 @@ def seconds_between(start: Column, end: Column) -> Column:
     return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
 
 
+def micros_since_epoch(moment: Column) -> Column:
+    """Whole microseconds, as a decimal."""
+    elapsed = (moment - F.expr(_EPOCH)).cast("interval second").cast("decimal(24,6)")
+    return (elapsed * F.lit(1_000_000)).cast("decimal(24,0)")
+
+
 def hours_between(start: Column, end: Column) -> Column:
     return seconds_between(start, end) / F.lit(3600.0)
 

@@ -668,6 +668,7 @@ _STATEMENTS = {
         from w_scores""",
     "review_event_valid": "select seq, punch_id, review_status, problem from w_checked",
     "review_apply": "select punch_id, review_status, reviewer_notes from w_review",
+    "review_store": "select punch_id, employee_id, predicted_anomaly, review_status, reviewer_notes from w_review",
     "review_unknown_updates": """
         select seq, punch_id from w_updates where punch_id not in (select punch_id from w_scores)""",
     "review_filter": """

@@ -15,6 +15,7 @@ from clockwright.plans import (
     evaluation, features as feature_plans, perturb, raw_checks, review, roster, scoring, transform, triage,
 )
 from clockwright.plans.etl import run_etl
+from clockwright.plans.review_store import ReviewTable
 from clockwright.registry.workforce import Workforce
 from clockwright.schemas import PUNCH_EVENT_KEYS
 from clockwright.scratch import materialize, scratch_path
@@ -490,6 +491,18 @@ def review_apply(w: Workforce) -> DataFrame:
     return w.review_view.select("punch_id", "review_status", "reviewer_notes")
 
 
+@query
+def review_store(w: Workforce) -> DataFrame:
+    """The stored table after a batch, a compaction and another batch, read back."""
+    known = w.updates.join(w.scores.select("punch_id"), "punch_id", "left_semi")
+    table = ReviewTable(w.spark, scratch_path(w.spark, "review"), buckets=8)
+    table.seed(w.scores)
+    table.append(known.where("seq % 2 = 0"))
+    table.compact()
+    table.append(known.where("seq % 2 = 1"))
+    return table.view().select("punch_id", "employee_id", "predicted_anomaly", "review_status", "reviewer_notes")
+
+
 @query
 def review_unknown_updates(w: Workforce) -> DataFrame:
     return review.unknown_updates(review.seed(w.scores), w.updates).select("seq", "punch_id")

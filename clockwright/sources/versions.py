@@ -26,12 +26,14 @@ KEEP = 3
 
 @dataclass(frozen=True)
 class Manifest:
-    """One version: its number, where its files are (relative to the table), its rows, and its columns as JSON types."""
+    """One version: its number, where its files are (relative to the table), its rows, its columns as JSON types,
+    and further data folders that belong to it."""
 
     version: int
     data: str
     rows: int
     schema: dict | None = None
+    parts: tuple[str, ...] = ()
 
 
 class Storage:
@@ -94,7 +96,8 @@ def _numbers(storage: Storage, path: str) -> list[int]:
 
 def _manifest(storage: Storage, path: str, number: int) -> Manifest | None:
     try:
-        return Manifest(**json.loads(storage.read(f"{path}/{_MANIFESTS}/{number:020d}.json")))
+        fields = json.loads(storage.read(f"{path}/{_MANIFESTS}/{number:020d}.json"))
+        return Manifest(**fields | {"parts": tuple(fields["parts"])})
     except ValueError:
         return None         # being written, or given up by its writer
 
@@ -122,13 +125,22 @@ class Draft:
         self._storage = Storage(spark, self._path)
         numbers = _numbers(self._storage, self._path)
         self._number = (numbers[-1] if numbers else 0) + 1
+        whole = newest(spark, self._path)
+        self._before = whole.version if whole else 0
         self.name = f"data-{uuid.uuid4().hex}"
         self.data = f"{self._path}/{self.name}"
         self._storage.make(f"{self._path}/{_MANIFESTS}")
 
-    def commit(self, rows: int, schema: dict | None = None, *, data: str | None = None) -> Manifest:
-        """Make the version the newest; an error if another writer was first.  ``data`` names files elsewhere."""
-        manifest = Manifest(self._number, data or self.name, rows, schema)
+    def commit(self, rows: int, schema: dict | None = None, *, data: str | None = None, parts: list[str] | None = None,
+               after: int | None = None) -> Manifest:
+        """Make the version the newest; an error if another writer was first.
+
+        ``data`` names files elsewhere, ``parts`` further folders; with ``after``
+        the version before has to be that one.
+        """
+        if after is not None and self._before != after:
+            raise LoadError(f"{self._path}: version {self._before} was written by someone else meanwhile")
+        manifest = Manifest(self._number, data or self.name, rows, schema, tuple(parts or ()))
         if not self._storage.create(f"{self._path}/{_MANIFESTS}/{self._number:020d}.json", json.dumps(asdict(manifest))):
             raise LoadError(f"{self._path}: version {self._number} was written by someone else meanwhile")
         self._expire()
@@ -138,9 +150,12 @@ class Draft:
         self._storage.drop(self.data)
 
     def _expire(self) -> None:
-        """Drop versions that are older than the ``KEEP`` newest, data first."""
-        for number in _numbers(self._storage, self._path)[:-KEEP]:
+        """Drop versions that are older than the ``KEEP`` newest, and the data that no kept one names."""
+        numbers = _numbers(self._storage, self._path)
+        kept = [_manifest(self._storage, self._path, n) for n in numbers[-KEEP:]]
+        needed = {folder for m in kept if m for folder in (m.data, *m.parts)}
+        for number in numbers[:-KEEP]:
             old = _manifest(self._storage, self._path, number)
-            if old is not None:
-                self._storage.drop(location(self._path, old))
+            for folder in {old.data, *old.parts} - needed if old else ():
+                self._storage.drop(f"{self._path}/{folder}")
             self._storage.drop(f"{self._path}/{_MANIFESTS}/{number:020d}.json")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clockwright.operators.dedup import flag_later_copies
-from clockwright.plans import features, transform, triage
+from clockwright.plans import evaluation, features, transform, triage
 from clockwright.registry.workforce import Workforce
 from clockwright.schemas import PUNCH_EVENT_KEYS
 from clockwright.scratch import materialize
@@ -69,6 +69,13 @@ def test_stored_tables_come_from_one_classification(workforce):
         assert "Join" not in plan(part)
 
 
+def test_evaluation_exchanges_keys_once(workforce):
+    text = plan(evaluation.checked_confusion(materialize(workforce.scores, "scores"), materialize(workforce.labels, "labels"), workforce.punches))
+    tree = text.split("\n\n")[0]
+    # by punch_id, and the one row of counts
+    assert exchanges(text) == 2 and "Join" not in tree and "Sort" not in tree
+
+
 def test_recent_punches_are_limited_before_the_shuffle(workforce):
     text = plan(triage.recent_punches(workforce.punches))
     assert exchanges(text) == 1

@@ -82,6 +82,10 @@ def test_metrics(spark):
     assert tuple(row) == (0.5, 0.5, 0.5, 1, 1, 1, 1)
     with pytest.raises(TransformationError):
         evaluation.evaluate(scores.union(scores), labels, ids)
+    with pytest.raises(TransformationError, match="punches"):
+        evaluation.evaluate(scores, labels, ids.union(ids.limit(1)))
+    with pytest.raises(TransformationError, match="scores"):
+        evaluation.evaluate(scores.union(spark.createDataFrame([(None, True)], scores.schema)), labels, ids)
 
 
 def test_metrics_of_nothing(spark):
