@@ -15,8 +15,8 @@ set into segments, one per fragment.
    one of the first ``n - ceil(0.75 n) + 1``.  These prefixes yield candidates.
    At the first n-gram that two classes share, neither can share more than it has
    left from there on; pairs that this rules out are never made.
-3. For candidate pairs the overlap is counted in each fragment separately, from
-   two segments, and summed per pair.
+3. For candidate pairs the overlap is counted in each group of fragments
+   separately, from the segments of both, and summed per pair.
 
 A large group of near copies would yield all its pairs.  For components
 they are not needed, so candidates come in rounds: first each class is compared
@@ -54,6 +54,8 @@ _GATHERED = 1_000_000
 _KNOWN_WORDS = 100_000
 #: classes each class is compared with per round, before the last round compares all that are left
 _ROUNDS = (1, 8)
+#: groups of fragments in which the overlap of a pair is counted
+_PARTS = 8
 
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
@@ -232,7 +234,8 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     """Prefix n-grams and segments of the classes that may be linked.
 
     The first is (node, fragment, gram, n, rest), where rest is how many shared
-    n-grams the class has from this one on; the second (node, n, fragment, grams).
+    n-grams the class has from this one on; the second (node, n, parts), the
+    shared n-grams by groups of fragments, the same groups for every class.
     """
     total = of.agg(F.sum("n")).first()[0] or 0
     fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
@@ -246,7 +249,18 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     prefixes = materialize(
         segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams", "spread")).alias("parts"))
         .mapInArrow(_prefixes, "node binary, fragment int, gram long, n long, rest int"), "prefixes")
-    return prefixes, segments.drop("spread")
+    return prefixes, materialize(_by_part(segments), "sets")
+
+
+def _by_part(segments: DataFrame) -> DataFrame:
+    """(node, n, parts): one row per class; n-grams of different fragments stay apart."""
+    def whole(segment: Column) -> Column:
+        return F.transform(segment["grams"], lambda g: g.bitwiseXOR(F.shiftleft(segment["fragment"].cast("bigint"), 48)))
+
+    parts = F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda p: F.flatten(F.transform(
+        F.filter(F.col("own"), lambda segment: segment["fragment"] % _PARTS == p), whole)))
+    return (segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams")).alias("own"))
+            .select("node", "n", parts.alias("parts")))
 
 
 def class_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -257,9 +271,9 @@ def class_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     n-gram are verified, which can be the square of a group of near copies.
     """
     of = materialize(classes(documents), "classes")
-    prefixes, segments = _prepared(documents, of)
+    prefixes, sets = _prepared(documents, of)
     candidates = _all_pairs(prefixes.withColumn("label", F.col("node")))
-    return of, materialize(verify(candidates, segments), "class-links")
+    return of, materialize(verify(candidates, sets), "class-links")
 
 
 def link_counts(documents: DataFrame) -> DataFrame:
@@ -280,7 +294,7 @@ def link_counts(documents: DataFrame) -> DataFrame:
 def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Classes and their components: (doc_id, n, node) of every row, (node, label) of every linked class."""
     of = materialize(classes(documents), "classes") if of is None else of
-    prefixes, segments = _prepared(documents, of)
+    prefixes, sets = _prepared(documents, of)
     found = None        # verified links so far
     for number, orders in enumerate((*_ROUNDS, None)):
         labelled = (prefixes.withColumn("label", F.col("node")) if found is None
@@ -288,7 +302,7 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
         if labelled is None:
             break
         candidates = _stars(labelled, orders, number) if orders else _all_pairs(labelled)
-        verified = materialize(verify(candidates, segments), "verified")
+        verified = materialize(verify(candidates, sets), "verified")
         found = verified if found is None else found.unionByName(verified)
     return of, components(found)
 
@@ -344,15 +358,13 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
             .select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
 
 
-def verify(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked: overlaps are counted per fragment and summed per pair."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("grams_a"), F.col("n").alias("n_a"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b"), F.col("n").alias("n_b"))
-    partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .where((F.col("n_a") * 100 >= F.col("n_b") * LEAST) & (F.col("n_b") * 100 >= F.col("n_a") * LEAST))
-               .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("part")))
-    whole = partial.groupBy("a", "b").agg(
-        F.sum("part").alias("both"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked: overlaps are counted in each part of the fragments separately and summed per pair."""
+    left = sets.select(F.col("node").alias("a"), F.col("parts").alias("parts_a"), F.col("n").alias("n_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("parts").alias("parts_b"), F.col("n").alias("n_b"))
+    counts = F.zip_with("parts_a", "parts_b", lambda x, y: F.size(F.array_intersect(x, y)))
+    whole = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "n_a", "n_b", F.aggregate(counts, F.lit(0), lambda total, part: total + part).alias("both"))
     return whole.where(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * LEAST).select("a", "b")
 
 
