@@ -24,7 +24,9 @@ KEY = "punch_id"
 BUCKETS = 32
 MAX_SEGMENTS = 8
 _UPDATE = ("review_status", "reviewer_notes")
-_SEGMENT = (KEY, *_UPDATE, "updated_at", "seq")
+#: when the last update of a record was made; a base keeps it, so that an older update that comes later changes nothing
+_STAMP = ("updated_at", "seq")
+_SEGMENT = (KEY, *_UPDATE, *_STAMP)
 
 
 @dataclass(frozen=True)
@@ -76,28 +78,26 @@ class ReviewTable:
 
     def view(self) -> DataFrame:
         """Every record with its last update, as of the newest version."""
-        return self._merged(self._require())
+        return self._merged(self._require()).select(*review.REVIEW_COLUMNS)
 
     def _merged(self, version: Manifest) -> DataFrame:
         base = self._base(version)
-        kinds = T.StructType.fromJson(version.schema)
-        segment = T.StructType([*[kinds[c] for c in (KEY, *_UPDATE)], T.StructField("updated_at", T.TimestampNTZType()),
-                                T.StructField("seq", T.LongType())])
         merged, found = base, []
         for n, part in enumerate(version.parts):
-            update = F.struct("updated_at", "seq", *_UPDATE).alias(f"__update_{n}")
-            updates = self._read(f"{self._path}/{part}", segment).select(KEY, update)
+            updates = self._read(f"{self._path}/{part}", T.StructType([base.schema[c] for c in _SEGMENT]))
             # a segment has one row per punch; hashing its bucket spares both sides a sort
-            merged = merged.join(updates.hint("shuffle_hash"), KEY, "left")
+            merged = merged.join(
+                updates.select(KEY, F.struct(*_STAMP, *_UPDATE).alias(f"__update_{n}")).hint("shuffle_hash"), KEY, "left")
             found.append(F.col(f"__update_{n}"))
         if not found:
-            return base.select(*review.REVIEW_COLUMNS)
-        last = found[0] if len(found) == 1 else F.greatest(*found)
+            return base
+        own = F.when(F.col("updated_at").isNotNull(), F.struct(*_STAMP, *_UPDATE))
+        last = F.greatest(own, *found)
 
         def latest(name: str) -> Column:
             return F.when(last.isNotNull(), last[name]).otherwise(F.col(name)).alias(name)
 
-        return merged.select(*[latest(c) if c in _UPDATE else F.col(c) for c in review.REVIEW_COLUMNS])
+        return merged.select(*[latest(c) if c in (*_UPDATE, *_STAMP) else F.col(c) for c in base.columns])
 
     # --- changing ------------------------------------------------------------------
 
@@ -105,8 +105,11 @@ class ReviewTable:
         """Add the scored punches that are not in the table yet, as pending; returns the rows of the table."""
         version = self._version()
         draft = Draft(self._spark, self._path)
-        existing = None if version is None else self._merged(version)
-        return self._replace(draft, review.seed(scores, existing))
+        if version is None:
+            return self._replace(draft, _unstamped(review.seed(scores)))
+        existing = self._merged(version)
+        fresh = review.seed(scores.join(existing.select(KEY), KEY, "left_anti"))
+        return self._replace(draft, existing.unionByName(_unstamped(fresh)))
 
     def compact(self) -> int:
         """Make the merged table the base of a version without segments."""
@@ -114,7 +117,6 @@ class ReviewTable:
         return self._replace(draft, self._merged(self._require()))
 
     def _replace(self, draft: Draft, rows: DataFrame) -> int:
-        rows = rows.select(*review.REVIEW_COLUMNS)
         try:
             self._write(rows, draft.data)
             count = self._read(draft.data, rows.schema).count()
@@ -162,3 +164,8 @@ class ReviewTable:
             self.compact()
         refused = rows.where(review.update_problem().isNotNull()).count()
         return Appended(counts["rows"], refused)
+
+
+def _unstamped(records: DataFrame) -> DataFrame:
+    """Records that no update has reached."""
+    return records.withColumns({"updated_at": F.lit(None).cast("timestamp_ntz"), "seq": F.lit(None).cast("bigint")})

@@ -36,6 +36,9 @@ def test_batches_in_any_order_give_what_all_updates_give(spark, scores, table):
         review.seed(scores.where("punch_id <> 'P7'")), first.union(second)).collect()}
     assert statuses(table) == expected and expected["P1"] == ("resolved", "b")
     assert table.compact() == 7 and statuses(table) == expected
+    # an update that comes late is not the last one, also after a compaction
+    assert table.append(updates(spark, ("P1", "pending", "late", 3))) == Appended(1, 0)
+    assert statuses(table) == expected
     # seeding adds what is new and leaves the others alone
     assert table.seed(scores) == 8
     assert statuses(table) == expected | {"P7": ("pending", None)}
