@@ -48,6 +48,8 @@ def with_previous_and_stats(
     ``previous`` is (source column, new column); ``stats`` maps new columns to
     aggregates over the key.  ``df`` must be cheap to read again (a table).
 
+    NULL is a key of its own.
+
     Groups of ordinary size go through one exchange on the key, which serves
     the ordered and the unordered window alike.  Groups above the limit are cut
     into ranges of (key, order) that are written as numbered chunks; each chunk
@@ -57,9 +59,11 @@ def with_previous_and_stats(
     hot = hot_keys(df, key, max_rows_per_key)
     if hot.isEmpty():
         return _by_window(df, key, order, previous, stats)
-    hot = materialize(hot, "hot-keys")
-    ordinary = _by_window(df.join(hot, key, "left_anti"), key, order, previous, stats)
-    split = _by_chunk(df.join(hot, key, "left_semi"), key, order, previous, stats)
+    # a NULL key is a key like any other, also in the joins
+    hot = materialize(hot, "hot-keys").withColumnRenamed(key, "__hot")
+    is_hot = df[key].eqNullSafe(hot["__hot"])
+    ordinary = _by_window(df.join(hot, is_hot, "left_anti"), key, order, previous, stats)
+    split = _by_chunk(df.join(hot, is_hot, "left_semi"), key, order, previous, stats)
     return ordinary.unionByName(split)
 
 
@@ -83,15 +87,15 @@ def _by_chunk(df, key, order, previous, stats):
         chunked.groupBy(key, _CHUNK)
         .agg(F.max_by(source, F.struct(*order)).alias("__last"))
         .withColumn("__carried", F.lag("__last").over(Window.partitionBy(key).orderBy(_CHUNK)))
-        .drop("__last")
+        .select(F.col(key).alias("__border_key"), F.col(_CHUNK).alias("__border_chunk"), "__carried")
     )
     # one row per hot key
-    totals = chunked.groupBy(key).agg(*[agg.alias(name) for name, agg in stats.items()])
+    totals = chunked.groupBy(F.col(key).alias("__total_key")).agg(*[agg.alias(name) for name, agg in stats.items()])
     return (
         chunked
         .withColumns({"__position": F.row_number().over(inside), "__before": F.lag(source).over(inside)})
-        .join(F.broadcast(borders), [key, _CHUNK])
-        .join(F.broadcast(totals), key)
+        .join(F.broadcast(borders), F.col(key).eqNullSafe(F.col("__border_key")) & (F.col(_CHUNK) == F.col("__border_chunk")))
+        .join(F.broadcast(totals), F.col(key).eqNullSafe(F.col("__total_key")))
         .withColumn(target, F.when(F.col("__position") == 1, F.col("__carried")).otherwise(F.col("__before")))
         .select(*df.columns, target, *stats)
     )

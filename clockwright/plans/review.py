@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,9 @@ from clockwright import settings
 from clockwright.errors import LookupFailed
 from clockwright.operators.quality import require_single_rows
 
+#: ranges of scores that are counted to find a page
+SCORE_RANGES = 256
+
 REVIEW_COLUMNS = (
     "punch_id", "shift_id", "employee_id", "department_id", "clock_in", "anomaly_score",
     "predicted_anomaly", "reason_hint", "review_status", "reviewer_notes",
@@ -93,6 +97,53 @@ def page(view: DataFrame, *, limit: int = settings.PAGE_LIMIT_DEFAULT, offset: i
     return view.orderBy(F.col("anomaly_score").desc(), F.col("punch_id")).offset(offset).limit(limit)
 
 
+@dataclass(frozen=True)
+class ScoreRanges:
+    """How many records lie in each range of scores, highest range first; a range ends below the one before."""
+
+    lows: tuple[float, ...]
+    rows: tuple[int, ...]
+
+    @staticmethod
+    def of(view: DataFrame, ranges: int = SCORE_RANGES) -> ScoreRanges:
+        """Borders by approximate quantiles, counts exact; at most ``ranges`` numbers reach the driver."""
+        shares = [i / ranges for i in range(1, ranges)]
+        borders = sorted(set(view.agg(F.percentile_approx("anomaly_score", shares, 100 * ranges)).first()[0] or []))
+        lows = [float("-inf"), *borders]
+        number = F.size(F.filter(F.array(*map(F.lit, lows)), lambda low: low <= F.col("anomaly_score"))) - 1
+        counts = {r["number"]: r["count"] for r in view.groupBy(number.alias("number")).count().collect()}
+        return ScoreRanges(tuple(reversed(lows)), tuple(counts.get(n, 0) for n in reversed(range(len(lows)))))
+
+    def spanning(self, offset: int, limit: int) -> tuple[float, float, int]:
+        """(low, high, skip): the scores that hold the page, high excluded, and the records of theirs before it."""
+        high, before = float("inf"), 0
+        at = 0
+        while at < len(self.rows) and before + self.rows[at] <= offset:
+            before, high, at = before + self.rows[at], self.lows[at], at + 1
+        low, reach = high, before
+        while at < len(self.rows) and reach < offset + limit:
+            reach, low, at = reach + self.rows[at], self.lows[at], at + 1
+        return low, high, offset - before
+
+
+def page_within(view: DataFrame, ranges: ScoreRanges, *, limit: int = settings.PAGE_LIMIT_DEFAULT,
+                offset: int = 0) -> DataFrame:
+    """The same page as ``page``, found by counts: only the score ranges that hold it are read and ordered.
+
+    ``ranges`` are those of ``view`` and serve all its pages.
+    """
+    low, high, skip = ranges.spanning(offset, limit)
+    score = F.col("anomaly_score")
+    return page(view.where((score >= F.lit(low)) & (score < F.lit(high))), limit=limit, offset=skip)
+
+
+def page_after(view: DataFrame, score: float, punch_id: str, *, limit: int = settings.PAGE_LIMIT_DEFAULT) -> DataFrame:
+    """The page that follows the record with this score and punch_id; nothing before it is ordered."""
+    lower = F.col("anomaly_score") < F.lit(score)
+    tied = (F.col("anomaly_score") == F.lit(score)) & (F.col("punch_id") > F.lit(punch_id))
+    return page(view.where(lower | tied), limit=limit)
+
+
 def listing(view: DataFrame, *, flagged_only: bool = True, review_status: str | None = None,
             department_id: str | None = None, limit: int = settings.PAGE_LIMIT_DEFAULT, offset: int = 0) -> dict:
     """One page of records (at most 200) and the total under the same filters."""

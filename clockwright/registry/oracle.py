@@ -679,6 +679,9 @@ _STATEMENTS = {
     "review_page": """
         select punch_id, anomaly_score, review_status from w_review where predicted_anomaly
         order by anomaly_score desc, punch_id limit 50 offset 50""",
+    "review_page_deep": """
+        select punch_id, anomaly_score, review_status from w_review
+        order by anomaly_score desc, punch_id limit 50 offset (select count(*) // 2 from w_review)""",
     "review_get": """
         select u.punch_id, r.punch_id is not null as found, r.review_status, r.anomaly_score
         from (select distinct punch_id from w_updates) u left join w_review r on r.punch_id = u.punch_id""",

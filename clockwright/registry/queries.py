@@ -525,6 +525,15 @@ def review_page(w: Workforce) -> DataFrame:
     return rows.select("punch_id", "anomaly_score", "review_status")
 
 
+@query
+def review_page_deep(w: Workforce) -> DataFrame:
+    """The page in the middle of all records, found by counts per score range."""
+    view = materialize(w.review_view, "review")
+    ranges = review.ScoreRanges.of(view)
+    rows = review.page_within(view, ranges, limit=50, offset=sum(ranges.rows) // 2)
+    return rows.select("punch_id", "anomaly_score", "review_status")
+
+
 @query
 def review_get(w: Workforce) -> DataFrame:
     return review.get_many(w.review_view, w.updates).select("punch_id", "found", "review_status", "anomaly_score")

@@ -92,9 +92,10 @@ def test_many_copies_of_one_row(spark):
 
 @pytest.mark.parametrize("limit", [10**9, 40, 1])
 @pytest.mark.parametrize("parts", [1, 5])
-def test_hot_groups_give_the_same_result(spark, limit, parts):
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_hot_groups_give_the_same_result(spark, limit, parts, hot):
     r = random.Random(3)
-    rows = [("hot" if i % 3 else f"e{i % 7}", r.randrange(50), f"p{i:04d}", r.random()) for i in range(600)]
+    rows = [(hot if i % 3 else f"e{i % 7}", r.randrange(50), f"p{i:04d}", r.random()) for i in range(600)]
     rows.append(("single", 1, "p9999", 0.25))
     table = spark.createDataFrame(rows, "e string, t int, p string, v double").repartition(parts)
     got = with_previous_and_stats(
@@ -103,7 +104,7 @@ def test_hot_groups_give_the_same_result(spark, limit, parts):
     ).collect()
     assert len(got) == len(rows)
     groups = {}
-    for row in sorted(rows, key=lambda x: (x[0], x[1], x[2])):
+    for row in sorted(rows, key=lambda x: (x[0] or "", x[1], x[2])):
         groups.setdefault(row[0], []).append(row)
     expected = {}
     for members in groups.values():

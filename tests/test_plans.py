@@ -1,5 +1,7 @@
 """Features, evaluation, review, triage, roster and perturbation on small tables."""
 
+import re
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -112,6 +114,28 @@ def scores(spark):
     return spark.createDataFrame(rows, SCORES)
 
 
+def test_pages_by_position(spark):
+    """Every page, over ties of any length, is what ordering all records gives; deep ones order few rows."""
+    rng = random.Random(2)
+    rows = [(f"P{i:04d}", "S", "E", "D", START, float(rng.choice([1, 2, 2, 2, rng.randrange(1000)])), True, "h")
+            for i in range(1500)]
+    view = review.seed(spark.createDataFrame(rows, SCORES))
+    expected = [r[0] for r in sorted(rows, key=lambda r: (-r[5], r[0]))]
+    ranges = review.ScoreRanges.of(view, 16)
+    assert sum(ranges.rows) == 1500
+    for offset in (0, 7, 93, 500, 749, 1300, 1490, 1500, 9000):
+        found = review.page_within(view, ranges, limit=20, offset=offset)
+        assert [r.punch_id for r in found.collect()] == expected[offset:offset + 20]
+    deep = review.page_within(view, review.ScoreRanges.of(view, 256), limit=20, offset=200)
+    text = deep._jdf.queryExecution().optimizedPlan().toString()
+    assert max(int(n) for n in re.findall(r"Limit (\d+)", text)) < 60
+    last = view.where(F.col("punch_id") == expected[799]).first()
+    after = review.page_after(view, last.anomaly_score, last.punch_id, limit=20)
+    assert [r.punch_id for r in after.collect()] == expected[800:820]
+    none = view.where("false")
+    assert review.page_within(none, review.ScoreRanges.of(none)).count() == 0
+
+
 def updates(spark, *rows):
     return spark.createDataFrame(
         [(p, s, n, START + timedelta(hours=h), q) for q, (p, s, n, h) in enumerate(rows)],
@@ -331,6 +355,24 @@ def test_slots_and_gaps(spark):
                            date(2026, 1, 2), date(2026, 1, 2)).collect()
 
 
+def test_gaps_over_many_words(spark):
+    """Ranges that begin and end inside words, before and after 1970, against sets of days."""
+    employees = spark.createDataFrame([("E1", "D1", "active"), ("E2", "D2", "active")],
+                                      "employee_id string, department_id string, employment_status string")
+    departments = spark.createDataFrame([("D1", "24/7"), ("D2", "Weekdays")],
+                                        "department_id string, operating_schedule string")
+    for first, last in ((date(1969, 10, 3), date(1970, 3, 9)), (date(2025, 12, 31), date(2026, 8, 1))):
+        every = [first + timedelta(n) for n in range((last - first).days + 1)]
+        worked = {("E1", d) for d in every[::3]} | {("E2", d) for d in every[::2]}
+        outside = {("E1", first - timedelta(1)), ("E2", last + timedelta(70)), ("E3", first)}
+        shifts = spark.createDataFrame([(e, datetime(d.year, d.month, d.day, h)) for e, d in worked | outside for h in (0, 23)],
+                                       "employee_id string, scheduled_start timestamp_ntz")
+        days = roster.roster_days(employees, departments, first, last)
+        expected = {("E1", d) for d in every} | {("E2", d) for d in every if d.weekday() < 5}
+        assert sorted((r.employee_id, r.day) for r in roster.roster_slots(days).collect()) == sorted(expected)
+        assert sorted((r.employee_id, r.day) for r in roster.roster_gaps(days, shifts).collect()) == sorted(expected - worked)
+
+
 # --- perturbation ----------------------------------------------------------------------------------------
 
 def test_perturbation(spark, sf_dir):
