@@ -11,7 +11,7 @@ from clockwright.functions.times import iso_text, nearest_minute
 from clockwright.operators import quality
 from clockwright.operators.numbering import number_rows
 from clockwright.operators.sampling import choose, draw, uniform, weighted_choice
-from clockwright.schemas import LABEL_COLUMNS, REQUIRED_COLUMNS
+from clockwright.schemas import LABEL_COLUMNS
 from clockwright.scratch import materialize
 
 _TYPE = "anomaly_type"
@@ -64,34 +64,3 @@ def perturb_punches(punches: DataFrame, *, rate: float = settings.ANOMALY_RATE,
         F.lit(True).alias("is_anomaly"),
     ).select(*LABEL_COLUMNS)
     return changed, labels
-
-
-def label_changes(labels: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """Each label with whether its punch changed between two snapshots."""
-    times = ("clock_in", "clock_out")
-    old = before.select("punch_id", *[F.col(c).alias(f"before_{c}") for c in times])
-    new = after.select("punch_id", *[F.col(c).alias(f"after_{c}") for c in times])
-    same = F.lit(True)
-    for c in times:
-        same = same & F.col(f"before_{c}").eqNullSafe(F.col(f"after_{c}"))
-    return labels.join(old, "punch_id").join(new, "punch_id").withColumn("changed", ~same)
-
-
-def label_report(labels: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
-    """All rules on injected labels in one report."""
-    return quality.union_reports(
-        quality.table_report(labels, "labels", {
-            "every label must be marked true": ~F.coalesce("is_anomaly", F.lit(False)),
-        }, key="anomaly_id", allow_empty=False),
-        quality.table_report(labels, "labels", key="punch_id"),
-        quality.reference_report(labels, "labels", "punch_id", before, "punches"),
-        quality.table_report(label_changes(labels, before, after), "labels", {
-            "every label must change a timestamp": ~F.col("changed"),
-        }),
-    )
-
-
-def check_labels(labels: DataFrame, before: DataFrame, after: DataFrame) -> None:
-    quality.require_columns(labels, "labels", LABEL_COLUMNS)
-    quality.require_columns(before, "punches", REQUIRED_COLUMNS["punches"])
-    quality.enforce(label_report(labels, before, after))

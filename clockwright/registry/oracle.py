@@ -142,6 +142,15 @@ _TABLES = {
                'Clock-out was extended several hours beyond ordinary behavior.' as anomaly_reason,
                case when k % 2 = 0 then 'True' else 'false' end as is_anomaly
         from w_planned where k % 33 = 5 and k % 50 <> 3""",
+    "w_before_raw": f"""
+        select punch_id, clock_in,
+               case when punch_status = 'missing_clock_out' then null
+                    when k % 977 = 4 then clock_out
+                    else strftime(e + to_minutes(cast((k * 104729) % 241 - 60 as bigint)), {_ISO}) end as clock_out
+        from w_punches_raw join w_planned on k = (substr(punch_id, 4)::bigint - 1) // 2""",
+    "w_changed": """
+        select a.punch_id from w_before_raw b join w_punches_raw a on a.punch_id = b.punch_id
+        where a.clock_in is distinct from b.clock_in or a.clock_out is distinct from b.clock_out""",
     "w_parsed": f"""
         select punch_id, shift_id, employee_id, department_id, {_parse('clock_in')} as clock_in,
                {_parse('clock_out')} as clock_out, punch_status
@@ -476,13 +485,14 @@ _DQ_TRANSFORM = "\nunion all\n".join([
 ])
 
 _LABEL_CHANGE = "\nunion all\n".join([
-    _rule("labels", "every label must be marked true", "select 0"),
-    _rule("labels", "table must not be empty", _EMPTY + "w_injected"),
-    _rule("labels", "anomaly_id must be non-null and unique", "select count(*) - count(distinct number) from w_injected"),
-    _key_rule("labels", "w_injected", "punch_id"),
-    _reference_rule("labels", "w_injected", "punch_id", "punches", "w_punches_raw"),
+    _rule("labels", "every label must be marked true",
+          _broken("w_labels_raw", "is_anomaly is null or lower(is_anomaly) <> 'true'")),
+    _rule("labels", "table must not be empty", _EMPTY + "w_labels_raw"),
+    _key_rule("labels", "w_labels_raw", "anomaly_id"),
+    _key_rule("labels", "w_labels_raw", "punch_id"),
+    _reference_rule("labels", "w_labels_raw", "punch_id", "punches", "w_punches_raw"),
     _rule("labels", "every label must change a timestamp",
-          _broken("w_injected", "clock_in = injected_clock_in and clock_out = injected_clock_out")),
+          "select count(*) from w_labels_raw where punch_id not in (select punch_id from w_changed)"),
 ])
 
 _RAW_TABLES = {"departments": "w_departments", "employees": "w_employees_raw", "shifts": "w_shifts_raw",
@@ -772,6 +782,8 @@ _STATEMENTS = {
                true as is_anomaly
         from w_injected""",
     "label_change_diff": _LABEL_CHANGE,
+    "snapshot_changes": """
+        select punch_id, 'changed' as change, punch_id in (select punch_id from w_labels_raw) as labelled from w_changed""",
 }
 
 

@@ -12,7 +12,7 @@ from clockwright.operators import numbering, quality, sampling
 from clockwright.operators.dedup import flag_later_copies
 from clockwright.operators.forest import forest_score
 from clockwright.plans import (
-    evaluation, features as feature_plans, perturb, raw_checks, review, roster, scoring, transform, triage,
+    evaluation, features as feature_plans, label_checks, perturb, raw_checks, review, roster, scoring, transform, triage,
 )
 from clockwright.plans.etl import run_etl
 from clockwright.plans.review_store import ReviewTable
@@ -660,9 +660,16 @@ def perturb_labels(w: Workforce) -> DataFrame:
 
 @query
 def label_change_diff(w: Workforce) -> DataFrame:
-    """Rules on freshly made labels, with their violations."""
-    after, labels = perturb.perturb_punches(w.raw.punches)
-    return perturb.label_report(labels, w.raw.punches, after)
+    """Rules on the labels, held against the punches before and after the changes they name."""
+    return label_checks.label_report(w.raw.labels, w.raw.punches_before, w.raw.punches)
+
+
+@query
+def snapshot_changes(w: Workforce) -> DataFrame:
+    """Punches that differ between the snapshots, and whether a label names them."""
+    labelled = w.raw.labels.select("punch_id").distinct().withColumn("labelled", F.lit(True))
+    return (label_checks.changed_punches(w.raw.punches_before, w.raw.punches).join(labelled, "punch_id", "left")
+            .withColumn("labelled", F.col("labelled").isNotNull()))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,7 +105,14 @@ class RawWorkforce:
 
     @cached_property
     def punches(self) -> DataFrame:
-        left = _plus("e", f"{_USUAL_OUT} + if({_OVERTIME}, {_EXTRA}, 0)")
+        return self._punches(_plus("e", f"{_USUAL_OUT} + if({_OVERTIME}, {_EXTRA}, 0)"))
+
+    @cached_property
+    def punches_before(self) -> DataFrame:
+        """The snapshot before the long overtime that labels name: the same punches, with their usual clock-outs."""
+        return self._punches(_plus("e", _USUAL_OUT))
+
+    def _punches(self, left: str) -> DataFrame:
         return self._scheduled.selectExpr(
             "*", "explode(if(k % 100 = 7, array(0, 1), array(0))) as copy",
         ).selectExpr(

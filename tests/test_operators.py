@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clockwright.errors import TransformationError
-from clockwright.operators import ordered, quality, quantile
+from clockwright.operators import ordered, quality, quantile, snapshots
 from clockwright.operators.dedup import flag_later_copies
 from clockwright.operators.numbering import number_rows
 from clockwright.operators.ordered import with_previous_and_stats
@@ -124,6 +124,29 @@ def test_hot_keys(spark):
     assert [r.k for r in ordered.hot_keys(table, "k", 3).collect()] == ["a"]
 
 
+# --- snapshots ----------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_snapshots_differ_where_rows_do(spark, buckets):
+    rng = random.Random(buckets)
+    before = {f"k{i}": (rng.choice(["a", None]), i % 3) for i in range(300)}
+    after = {k: v for k, v in before.items() if rng.random() > 0.01}
+    for key in rng.sample(sorted(after), 9):
+        after[key] = ("changed", None)
+    after |= {f"new{i}": (None, None) for i in range(4)}
+    expected = {k: "removed" for k in before if k not in after} | {k: "added" for k in after if k not in before}
+    expected |= {k: "changed" for k in before if k in after and before[k] != after[k]}
+
+    def table(rows):
+        return spark.createDataFrame([(k, *v) for k, v in rows.items()], "k string, a string, b int")
+
+    found = snapshots.changed_rows(table(before), table(after), "k", ("a", "b"), buckets).collect()
+    assert {r.k: r.change for r in found} == expected and len(found) == len(expected)
+    assert snapshots.changed_rows(table(before), table(before).repartition(5), "k", ("a", "b"), buckets).count() == 0
+    if buckets > 1000:      # buckets without a difference are not read closely
+        assert snapshots.changed_buckets(table(before), table(after), "k", ("a", "b"), buckets).count() <= len(expected)
+
+
 # --- numbering ----------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("parts", [1, 3, 8])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clockwright import settings
 from clockwright.errors import LookupFailed, TransformationError
-from clockwright.plans import evaluation, features, perturb, review, roster, scoring, triage
+from clockwright.plans import evaluation, features, label_checks, perturb, review, roster, scoring, triage
 
 PUNCH = ("punch_id string, shift_id string, employee_id string, department_id string, clock_in timestamp_ntz, "
          "clock_out timestamp_ntz, worked_hours double, daily_overtime_hours double, arrival_minutes double, "
@@ -379,7 +379,7 @@ def test_perturbation(spark, sf_dir):
     from clockwright.registry.workforce import Workforce
     raw = Workforce(spark, sf_dir).raw.punches
     after, labels = perturb.perturb_punches(raw)
-    perturb.check_labels(labels, raw, after)
+    label_checks.check_labels(labels, raw, after)
     rows = labels.collect()
     complete = raw.where("punch_status = 'complete' and clock_in like '____-%'").count()
     assert len(rows) == max(1, round(complete * settings.ANOMALY_RATE))
@@ -401,4 +401,4 @@ def test_labels_that_change_nothing_are_refused(spark, sf_dir):
     raw = Workforce(spark, sf_dir).raw.punches
     _, labels = perturb.perturb_punches(raw)
     with pytest.raises(TransformationError, match="every label must change a timestamp"):
-        perturb.check_labels(labels, raw, raw)
+        label_checks.check_labels(labels, raw, raw)
