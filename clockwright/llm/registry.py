@@ -57,13 +57,6 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of three lines only, as its SQL has it."""
-    return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"), passage_words=None)
-
-
-@query
-def op3_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of three lines, and passages of many words on one or two."""
     return line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
 
@@ -111,18 +104,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The smallest hash only above the threshold, as its SQL has it."""
-    return _fingerprints(spark, sf_dir, 1)
-
-
-@query
-def op9_dense_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short texts keep many hashes above the threshold, too."""
-    return _fingerprints(spark, sf_dir, fingerprints.LEAST)
-
-
-def _fingerprints(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
-    found = fingerprints.fingerprint_documents(documents(spark, sf_dir), least=least)
+    found = fingerprints.fingerprint_documents(documents(spark, sf_dir), least=fingerprints.LEAST)
     return found.select(
         "doc_id", "n_chars", F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
         fingerprints.as_text(F.col("sketch")).alias("fingerprint"),

@@ -109,8 +109,19 @@ def _hashes(words: str) -> str:
             f"lambda i: substr(md5(array_to_string({words}[i + 1:i + 5], ' ')), 1, 12))))")
 
 
-#: of the hashes, those below a threshold, and the smallest
-_BELOW = "list_filter({}, lambda h, i: h < '200000000000' or i = 1)"
+#: of the hashes, those below a threshold, and the 64 smallest
+_SKETCH = "list_filter({}, lambda h, i: h < '200000000000' or i <= 64)"
+#: up to where a sketch has all hashes of its text; a sketch of fewer than 64 is the whole set
+_REACH = "case when len({0}) < 64 then 'g' else greatest(list_max({0}), '1fffffffffff') end"
+
+
+def _alike(other: str) -> str:
+    """Share of the smaller sketch that both have, as far as both reach."""
+    own, its = (f"list_filter({x}, lambda h: h <= to_{other})" for x in ("a", other))
+    smaller = f"least(len({own}), len({its}))"
+    return (f"case when {smaller} > 0 then len(list_intersect({own}, {its})) / {smaller} "
+            f"else (len({own}) = len({its}))::int end::double")
+
 
 FINGERPRINTS = f"""
 with d as (
@@ -123,31 +134,34 @@ w as materialized (
 h as materialized (
     select doc_id, n_chars, edited_sha256, {_hashes('wa')} as ha, {_hashes('wb')} as hb, {_hashes('wc')} as hc from w),
 s as materialized (
-    select doc_id, n_chars, edited_sha256, {_BELOW.format('ha')} as a, {_BELOW.format('hb')} as b,
-           {_BELOW.format('hc')} as c from h)
+    select doc_id, n_chars, edited_sha256, {_SKETCH.format('ha')} as a, {_SKETCH.format('hb')} as b,
+           {_SKETCH.format('hc')} as c from h),
+p as materialized (
+    select *, least({_REACH.format('a')}, {_REACH.format('b')}) as to_b, least({_REACH.format('a')}, {_REACH.format('c')}) as to_c
+    from s)
 select doc_id, n_chars, edited_sha256, array_to_string(a, ' ') as fingerprint,
-       array_to_string(b, ' ') as edited_fingerprint,
-       case when least(len(a), len(b)) > 0 then len(list_intersect(a, b)) / least(len(a), len(b))
-            else (len(a) = len(b))::int end::double as near_edited,
-       case when least(len(a), len(c)) > 0 then len(list_intersect(a, c)) / least(len(a), len(c))
-            else (len(a) = len(c))::int end::double as near_next
-from s
+       array_to_string(b, ' ') as edited_fingerprint, {_alike('b')} as near_edited, {_alike('c')} as near_next
+from p
 """
 
 
-#: a run of three lines is removed where an equal run began earlier and has ended
-LINE_DEDUP = """
+#: a run of three lines, or of one or two with 50 words, is removed where an equal run began earlier and has ended
+LINE_DEDUP = r"""
 with d as (
     select doc_id, sha256(coalesce(text, '')) as digest, text, string_split(coalesce(text, ''), chr(10)) as lines
     from documents),
+counted as (
+    select *, list_transform(lines, lambda x: len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda w: w <> ''))) as words
+    from d),
 run as (
-    select doc_id, digest, i, lines[i + 1:i + 3] as run
-    from (select *, unnest(range(len(lines) - 2)) as i from d where len(lines) >= 3)),
-first as (select run, min(row(doc_id, digest, i)) as f, count(*) as n from run group by run having count(*) > 1),
+    select doc_id, digest, i, n, lines[i + 1:i + n] as run
+    from (select *, unnest(range(len(lines))) as i from counted), range(1, 4) r(n)
+    where i + n <= len(lines) and (n = 3 or list_sum(words[i + 1:i + n]) >= 50)),
+first as (select run, min(row(doc_id, digest, i)) as f, count(*) as places from run group by run having count(*) > 1),
 removed as (
     select doc_id, digest, list(distinct i + k) as gone
-    from run join first using (run), range(3) r(k)
-    where not (f[1] = doc_id and f[2] = digest) or i >= f[3] + 3
+    from (select *, unnest(range(n)) as k from run join first using (run))
+    where not (f[1] = doc_id and f[2] = digest) or i >= f[3] + n
     group by doc_id, digest)
 select doc_id, len(lines) as n_lines, coalesce(len(gone), 0) as n_removed,
        case when gone is null then text
