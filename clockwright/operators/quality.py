@@ -3,8 +3,8 @@
 A report has one row per rule: ``table_name, rule, violations``.  One scan
 serves all rules on a table's rows and key, one more each table it refers to;
 both count by key before they shuffle, so a hot key costs one row per map task.
-``enforce`` turns a report into an error; nothing but the report and a few
-sample keys reaches the driver.
+``enforce`` turns a report into an error; nothing but the report and the first
+few keys reaches the driver, the others are in a stored table.
 """
 
 from __future__ import annotations
@@ -15,15 +15,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clockwright.errors import LookupFailed, TransformationError
 from clockwright.schemas import REQUIRED_COLUMNS
+from clockwright.scratch import scratch_path
 
-_SAMPLES = 20
+#: keys that an error shows; all of them are in the table that it names
+_SHOWN = 20
 
 
 def require_columns(df: DataFrame, table: str, required: tuple[str, ...] | None = None) -> None:
-    wanted = REQUIRED_COLUMNS[table] if required is None else required
-    missing = sorted(set(wanted) - set(df.columns))
-    if missing:
-        raise TransformationError(f"{table} is missing required columns: {missing}")
+    present = set(df.columns)
+    absent = [c for c in (REQUIRED_COLUMNS[table] if required is None else required) if c not in present]
+    if absent:
+        raise TransformationError(f"{table} lacks the columns {absent}")
 
 
 def _as_report(counts: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
@@ -128,16 +130,22 @@ def union_reports(*reports: DataFrame) -> DataFrame:
 
 
 def enforce(report: DataFrame, samples: dict[str, DataFrame] | None = None) -> None:
-    """Raise if any rule of the report is broken; name the rules, counts and some keys."""
+    """Raise if any rule of the report is broken; name the rules and their counts.
+
+    Keys that break a rule are stored; the error tells how many there are, where
+    they all are, and the first of them.
+    """
     broken = report.where("violations > 0").collect()
     if not broken:
         return
     lines = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken]
     for rule, offenders in (samples or {}).items():
         if any(r.rule == rule for r in broken):
-            column = offenders.columns[0]
-            shown = [r[0] for r in offenders.orderBy(F.col(column).asc_nulls_last()).limit(_SAMPLES).collect()]
-            lines.append(f"{rule}, for example {shown}")
+            column, path = offenders.columns[0], scratch_path(report.sparkSession, "offenders")
+            offenders.write.parquet(path)
+            kept = report.sparkSession.read.schema(offenders.schema).parquet(path)
+            shown = [r[0] for r in kept.orderBy(F.col(column).asc_nulls_last()).limit(_SHOWN).collect()]
+            lines.append(f"{rule}: {kept.count()} different keys, all in {path}, the first {shown}")
     raise TransformationError("; ".join(lines))
 
 

@@ -55,7 +55,7 @@ def employees_report(typed: DataFrame, departments: DataFrame) -> DataFrame:
     return quality.union_reports(
         quality.table_report(typed, "employees", {
             "hire_date must be a valid timestamp": F.col("hire_date").isNull(),
-            "hourly_rate must be numeric and positive": not_positive(F.col("hourly_rate")),
+            "hourly_rate must be a number above zero": not_positive(F.col("hourly_rate")),
         }, key="employee_id"),
         quality.reference_report(typed, "employees", "department_id", departments, "departments"),
     )

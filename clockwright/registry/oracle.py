@@ -472,7 +472,7 @@ _DQ_SUMMARY = "\nunion all\n".join([
 _DQ_TRANSFORM = "\nunion all\n".join([
     _key_rule("departments", "w_departments", "department_id"),
     _rule("employees", "hire_date must be a valid timestamp", _broken("w_employees", "hire_date is null")),
-    _rule("employees", "hourly_rate must be numeric and positive", _broken("w_employees", "not (hourly_rate > 0)")),
+    _rule("employees", "hourly_rate must be a number above zero", _broken("w_employees", "not (hourly_rate > 0)")),
     _key_rule("employees", "w_employees", "employee_id"),
     _reference_rule("employees", "w_employees", "department_id", "departments", "w_departments"),
     _rule("shifts", "scheduled_start must be a valid timestamp", _broken("w_shifts", "scheduled_start is null")),

@@ -13,6 +13,7 @@ from clockwright.sources import csv_blocks
 from clockwright.sources.tables import files_of
 
 
+# --- fixed values: where the raw files are unless told otherwise ---
 @dataclass(frozen=True)
 class RawPaths:
     departments: str = "data/raw/departments.csv"

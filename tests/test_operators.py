@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -265,8 +266,10 @@ def test_enforce_names_rule_count_and_samples(spark):
     child = spark.createDataFrame([("q",), ("r",)], "k string")
     parent = spark.createDataFrame([("a",)], "k string")
     report = quality.reference_report(child, "c", "k", parent, "parents")
-    with pytest.raises(TransformationError, match=r"c: k must exist in parents \(2\).*\['q', 'r'\]"):
+    with pytest.raises(TransformationError, match=r"c: k must exist in parents \(2\).*\['q', 'r'\]") as error:
         quality.enforce(report, {"k must exist in parents": quality.unknown_references(child, "k", parent)})
+    path = re.search(r"2 different keys, all in (\S+),", str(error.value)).group(1)
+    assert {r.k for r in spark.read.parquet(path).collect()} == {"q", "r"}
     quality.enforce(quality.reference_report(parent, "c", "k", parent, "parents"))
 
 

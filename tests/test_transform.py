@@ -97,8 +97,8 @@ def test_extra_columns_pass_through(spark, tables):
 @pytest.mark.parametrize(("change", "message"), [
     ({"departments": [("D1", "a", "24/7"), ("D1", "b", "24/7")]}, "department_id must be non-null and unique"),
     ({"employees": [employee(hired="soon")]}, r"hire_date must be a valid timestamp \(1\)"),
-    ({"employees": [employee(rate="5d")]}, "hourly_rate must be numeric and positive"),
-    ({"employees": [employee(rate="0")]}, "hourly_rate must be numeric and positive"),
+    ({"employees": [employee(rate="5d")]}, "hourly_rate must be a number above zero"),
+    ({"employees": [employee(rate="0")]}, "hourly_rate must be a number above zero"),
     ({"employees": [employee(), employee()]}, "employee_id must be non-null and unique"),
     ({"employees": [employee(department="D9")]}, r"department_id must exist in departments.*\['D9'\]"),
     ({"shifts": [shift(start="x")]}, "scheduled_start must be a valid timestamp"),
