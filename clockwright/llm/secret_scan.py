@@ -2,12 +2,13 @@
 
 Known shapes come from regular expressions.  Beyond them, every long token is
 scored by two first-order Markov models of characters, one of random strings
-and one of ordinary identifiers: the mean logarithm of the ratio of their
-transition probabilities.  Tokens that look random enough are added.
+and one of ordinary identifiers and numbers: the logarithm of the ratio of their
+transition probabilities, in all and per transition.  Tokens that look random
+enough are added.
 
 The models are trained on samples that the corpus labels itself: values inside
-the known shapes are random strings, long tokens of letters outside them are
-ordinary identifiers.  Transitions are counted over all documents, combined
+the known shapes are random strings, long tokens of letters and runs of digits
+outside them are ordinary identifiers and numbers.  Transitions are counted over all documents, combined
 map-side; only the counts, at most twice the square of the alphabet, reach the
 driver, and come back as one constant array that is indexed by character codes.
 
@@ -31,13 +32,13 @@ HEX = r"[0-9a-f]+"
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 # --------------------------------------------------------------------------------------
 
-#: tokens that the models score, and tokens of letters that stand for ordinary identifiers
+#: tokens that the models score, and what stands for ordinary identifiers and numbers
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
-ORDINARY = r"[A-Za-z_]{12,}"
+ORDINARY = r"[A-Za-z_]{12,}|(?<![A-Za-z0-9+/_-])[0-9]{4,}(?![A-Za-z0-9+/_-])"
 #: symbols a token can have
 ALPHABET = 66
-#: mean log-likelihood ratio per transition, in nats, from which a token counts as random
-MIN_RATIO = 0.7
+#: log-likelihood ratio, in nats, from which a token counts as random: in all, and per transition on the mean
+MIN_TOTAL, MIN_RATIO = 6.0, 0.2
 
 _BLOCK = 256
 _SPAN = "array<struct<start:int,kind:int,stop:int>>"
@@ -137,17 +138,16 @@ def ratios(counts: dict[tuple[str, bool], int], smoothing: float = 1.0) -> list[
             for a in range(128) for b in range(128)]
 
 
-def mean_ratio(token: Column, table: Column) -> Column:
-    """Mean ratio over the token's transitions; its characters are ASCII."""
+def total_ratio(token: Column, table: Column) -> Column:
+    """Sum of the ratios of the token's transitions; its characters are ASCII."""
     codes = F.transform(F.split(token, ""), F.ascii)
-    total = F.aggregate(
+    return F.aggregate(
         codes, F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")),
         lambda acc, c: F.struct(c.alias("last"), F.when(acc["last"] < 0, acc["sum"]).otherwise(
             acc["sum"] + F.get(table, acc["last"] * 128 + c)).alias("sum")))["sum"]
-    return total / (F.char_length(token) - 1)
 
 
-def scan(documents: DataFrame, *, text: str = "text", min_ratio: float = MIN_RATIO) -> DataFrame:
+def scan(documents: DataFrame, *, text: str = "text", min_total: float = MIN_TOTAL, min_ratio: float = MIN_RATIO) -> DataFrame:
     """Secrets of every row; its other columns are kept, those named below replaced.
 
     n_assign, n_access, n_hex, n_markov: spans per kind; base: the spans of the
@@ -174,7 +174,9 @@ def scan(documents: DataFrame, *, text: str = "text", min_ratio: float = MIN_RAT
     free = F.filter(_placed(F.col("__steps")), lambda s: ~F.exists(
         F.col("__base"), lambda b: (s["start"] < b["stop"]) & (b["start"] < s["stop"])))
     rows = rows.withColumn("__free", free)
-    scored = F.filter(F.col("__free"), lambda s: mean_ratio(s["hit"], table) >= min_ratio)
+    # a short token needs more per transition than a long one to say as much in all
+    scored = F.filter(F.col("__free"), lambda s: total_ratio(s["hit"], table) >= F.greatest(
+        F.lit(min_total), min_ratio * (F.char_length(s["hit"]) - 1)))
     rows = rows.withColumn("__markov", scored)
     result = {f"n_{k}": F.size(f"__{k}").cast("bigint") for k in KINDS}
     result |= {"base": F.col("__base"), "spans": F.array_sort(F.concat(F.col("__base"), of_kind("__markov", 3)))}

@@ -232,6 +232,33 @@ def test_secrets_positions_and_added_tokens(docs_of, odd, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_scored_tokens_on_held_out_samples(docs_of):
+    """Trained on some labelled samples, precision and recall on others: secrets of several alphabets, names and numbers."""
+    rng = random.Random(6)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = "user order total index cache table value count buffer stream record handler manager config parser token list item node".split()
+
+    def secret():
+        kind = rng.randrange(3)
+        return "".join(rng.choice([alnum, alnum + "+/", "0123456789abcdef"][kind]) for _ in range(rng.randint(20, 31 if kind == 2 else 44)))
+
+    def ordinary():
+        kind = rng.randrange(4)
+        if kind == 0:
+            return "".join(str(rng.randrange(10)) for _ in range(rng.randint(16, 24)))
+        chosen = [rng.choice(parts) for _ in range(rng.randint(4, 6))]
+        return "_".join(chosen) if kind == 1 else chosen[0] + "".join(w.title() for w in chosen[1:]) if kind == 2 else "-".join(chosen)
+
+    trained = [f"token='{secret()}' and {ordinary()}; see {rng.randrange(10 ** 9)} {ordinary()}" for _ in range(600)]
+    held_out = [(True, secret()) if rng.random() < 0.5 else (False, ordinary()) for _ in range(400)]
+    found = {r.doc_id: r.n_markov > 0 for r in secret_scan.scan(
+        docs_of(trained + [f"it is {t} here" for _, t in held_out])).collect()}
+    hits = [(label, found[600 + i]) for i, (label, _) in enumerate(held_out)]
+    right = sum(a and b for a, b in hits)
+    assert right >= 0.9 * sum(a for a, _ in hits) and right >= 0.9 * sum(b for _, b in hits)
+    assert not any(found[600 + i] for i, (_, t) in enumerate(held_out) if t.isdigit())
+
+
 def test_many_secrets_in_one_text(docs_of):
     text = " ".join(f"AKIA{i:016d}" for i in range(3000))
     row = secret_scan.scan(docs_of([text])).first()
