@@ -15,7 +15,8 @@ import __spark_entry__ as entry_points
 
 QUERIES = entry_points.queries()
 NAMES = {1: "exact_dedup", 2: "toxicity", 3: "line_dedup", 4: "source_mixing", 5: "secret_scan",
-         6: "ngram_jaccard_join", 7: "byte_bpe", 8: "sharding", 9: "document_fingerprints", 10: "license_scan"}
+         6: "ngram_jaccard_join", 7: "byte_bpe", 8: "sharding", 9: "document_fingerprints", 10: "license_scan",
+         11: "periodic_runs", 12: "lexical_search", 13: "substring_dedup"}
 
 
 @pytest.fixture(scope="module")
