@@ -20,11 +20,11 @@ set into segments, one per fragment.
 
 A large group of near copies would yield all its pairs.  For components
 they are not needed, so candidates come in rounds: first each class is compared
-with one class per prefix n-gram, then with several others, by random orders,
-where an n-gram still joins different components; last, every remaining pair of
-different components that shares a prefix n-gram is compared, whatever their
-number, which can be large where the rounds leave many components.  No link
-between components is lost, and pairs inside a component are not made.
+with the class of each prefix n-gram that has the fewest n-grams of its own, then
+with others like it where an n-gram still joins different components; last, every
+remaining pair of different components that shares a prefix n-gram and can share
+enough from it on is compared, whatever their number.  No link between components
+is lost, and pairs inside a component are not made.
 
 Where links are asked for, ``class_links`` verifies every pair of classes that
 shares a prefix n-gram, and ``link_counts`` counts them per document.
@@ -52,8 +52,8 @@ MIN_FRAGMENTS = 64
 #: n-grams that a task gathers before it sends segments on
 _GATHERED = 1_000_000
 _KNOWN_WORDS = 100_000
-#: classes each class is compared with per round, before the last round compares all that are left
-_ROUNDS = (1, 8)
+#: per round, different draws of centres and how far they reach; the last round after them compares all that are left
+_ROUNDS = ((1, 1), (8, 4))
 #: groups of fragments in which the overlap of a pair is counted
 _PARTS = 8
 
@@ -219,23 +219,25 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spread = parts.field("spread").flatten().to_numpy()
             take = len(gram) - -(-LEAST * n // 100) + 1
             order = np.lexsort((gram, fragment, spread))[:take]
-            found.append((fragment[order], gram[order], len(gram) - np.arange(len(order))))
+            found.append((fragment[order], gram[order], len(gram) - np.arange(len(order)), n - len(gram)))
             sizes.append(len(order))
         yield pa.RecordBatch.from_arrays([
             batch.column("node").take(pa.array(np.repeat(np.arange(len(sizes)), sizes))),
-            pa.array(np.concatenate([f for f, _, _ in found]).astype(np.int32)),
-            pa.array(np.concatenate([g for _, g, _ in found]).astype(np.int64)),
+            pa.array(np.concatenate([f[0] for f in found]).astype(np.int32)),
+            pa.array(np.concatenate([f[1] for f in found]).astype(np.int64)),
             pa.array(np.repeat(np.array(numbers, np.int64), sizes)),
-            pa.array(np.concatenate([r for _, _, r in found]).astype(np.int32)),
-        ], ["node", "fragment", "gram", "n", "rest"])
+            pa.array(np.concatenate([f[2] for f in found]).astype(np.int32)),
+            pa.array(np.repeat(np.array([f[3] for f in found], np.int32), sizes)),
+        ], ["node", "fragment", "gram", "n", "rest", "own"])
 
 
 def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Prefix n-grams and segments of the classes that may be linked.
 
-    The first is (node, fragment, gram, n, rest), where rest is how many shared
-    n-grams the class has from this one on; the second (node, n, parts), the
-    shared n-grams by groups of fragments, the same groups for every class.
+    The first is (node, fragment, gram, n, rest, own), where rest is how many
+    shared n-grams the class has from this one on, and own how many no other
+    class has; the second (node, n, parts), the shared n-grams by groups of
+    fragments, the same groups for every class.
     """
     total = of.agg(F.sum("n")).first()[0] or 0
     fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
@@ -248,7 +250,7 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     segments = materialize(shared.join(likely, "node"), "segments")
     prefixes = materialize(
         segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams", "spread")).alias("parts"))
-        .mapInArrow(_prefixes, "node binary, fragment int, gram long, n long, rest int"), "prefixes")
+        .mapInArrow(_prefixes, "node binary, fragment int, gram long, n long, rest int, own int"), "prefixes")
     return prefixes, materialize(_by_part(segments), "sets")
 
 
@@ -296,12 +298,12 @@ def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame,
     of = materialize(classes(documents), "classes") if of is None else of
     prefixes, sets = _prepared(documents, of)
     found = None        # verified links so far
-    for number, orders in enumerate((*_ROUNDS, None)):
+    for number, centres in enumerate((*_ROUNDS, None)):
         labelled = (prefixes.withColumn("label", F.col("node")) if found is None
                     else _across(prefixes, components(found)))
         if labelled is None:
             break
-        candidates = _stars(labelled, orders, number) if orders else _all_pairs(labelled)
+        candidates = _stars(labelled, *centres, number) if centres else _all_pairs(labelled)
         verified = materialize(verify(candidates, sets), "verified")
         found = verified if found is None else found.unionByName(verified)
     return of, components(found)
@@ -323,16 +325,21 @@ def _across(prefixes: DataFrame, labels: DataFrame) -> DataFrame | None:
     smallest = prefixes.groupBy(*_GRAM).agg(F.min("n").alias("least_n"))
     able = prefixes.join(smallest, _GRAM).where(_may_link(F.col("n"), F.col("rest"), F.col("least_n"), F.col("rest")))
     rows = able.join(labels, "node", "left").select(
-        "node", *_GRAM, "n", "rest", F.coalesce("label", "node").alias("label"))
+        "node", *_GRAM, "n", "rest", "own", F.coalesce("label", "node").alias("label"))
     mixed = rows.groupBy(*_GRAM).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     left = materialize(rows.join(mixed.select(*_GRAM), _GRAM), "across")
     return None if left.isEmpty() else left
 
 
-def _stars(rows: DataFrame, orders: int, seed: int) -> DataFrame:
-    """Each class with the first class of its n-grams, by ``orders`` different orders; pairs of one component left out."""
-    order = F.xxhash64("node", F.pmod(F.col("gram"), F.lit(orders)), F.lit(seed))
-    rows = rows.withColumn("order", order)
+def _stars(rows: DataFrame, orders: int, spread: int, seed: int) -> DataFrame:
+    """Each class with one class of each of its n-grams, the centre; pairs of one component left out.
+
+    In a group of near copies the text they were made from has the fewest n-grams
+    of its own and is like most of them, so centres are those with the fewest, give
+    or take ``spread``, by ``orders`` different draws.
+    """
+    draw = F.xxhash64("node", F.pmod(F.col("gram"), F.lit(orders)), F.lit(seed))
+    rows = rows.withColumn("order", F.struct(F.col("own") + F.pmod(draw, F.lit(spread)), draw))
     centres = rows.groupBy(*_GRAM).agg(F.min_by(F.struct("node", "label", "n", "rest"), "order").alias("c"))
     return (rows.join(centres, _GRAM)
             .where((F.col("label") != F.col("c.label"))

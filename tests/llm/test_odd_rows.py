@@ -305,7 +305,7 @@ def brute(texts):
     return label, [len(s) for s in sets]
 
 
-@pytest.mark.parametrize("rounds", [(1, 8), ()])
+@pytest.mark.parametrize("rounds", [((1, 1), (8, 4)), ((3, 100),), ()])
 def test_join_against_all_pairs(docs_of, monkeypatch, rounds):
     monkeypatch.setattr(ngram_join, "_ROUNDS", rounds)
     texts = near_copies()
