@@ -34,7 +34,7 @@ from clockwright.scratch import materialize
 #: words of a window
 WIDTH = 13
 #: words of a block, about
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 #: words per fragment, about, and the fewest fragments
 FRAGMENT_WORDS = 1_000_000
 MIN_FRAGMENTS = 256
