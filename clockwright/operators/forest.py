@@ -80,8 +80,11 @@ def tree_samples(features: DataFrame, key: str, columns: tuple[str, ...], config
     drawn = features.select(name.alias("key"), values.alias("values"), draw(name, config.seed, "forest").alias("a"),
                             draw(name, config.seed, "forest-step").alias("b"))
     a, b = F.col("a"), F.col("b")
-    trees = F.filter(F.sequence(F.lit(0), F.lit(config.trees - 1)),
-                     lambda t: F.pmod(a + t.cast("bigint") * b, F.lit(_DRAWS)) < F.lit(ceiling))
+    # bound as an element: as columns the digests would be copied into the function over
+    # trees, and made again per tree, when the filter on its size is moved down
+    trees = F.get(F.transform(F.array(F.struct(a, b)), lambda row: F.filter(
+        F.sequence(F.lit(0), F.lit(config.trees - 1)),
+        lambda t: F.pmod(row["a"] + t.cast("bigint") * row["b"], F.lit(_DRAWS)) < F.lit(ceiling))), F.lit(0))
     candidates = drawn.select("key", "values", "a", "b", F.explode(trees).alias("tree"))
     own = Window.partitionBy("tree").orderBy(
         F.pmod(a + F.col("tree").cast("bigint") * b, F.lit(_DRAWS)), "key", "values")
