@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -494,6 +495,19 @@ def test_short_texts_are_told_alike(spark, docs_of):
     assert merged == [h for i, h in enumerate(whole) if h < fingerprints.THRESHOLD or i < 64]
 
 
+def test_long_texts_are_fingerprinted_in_linear_time(docs_of):
+    def seconds(words):
+        docs = docs_of([(i, prose(50 + i, words)) for i in range(2)])
+        started = time.monotonic()
+        rows = fingerprints.fingerprint_documents(docs, blocks=1, least=64).collect()
+        assert all(r.sketch == sorted(r.sketch) and len(r.sketch) > words // 10 for r in rows)
+        return time.monotonic() - started
+
+    seconds(1_000)
+    # 25 times the words; about 600 times the steps if every hash looks at the whole list again
+    assert seconds(100_000) < 40 * max(seconds(4_000), 0.5)
+
+
 # --- licences ----------------------------------------------------------------------------------
 
 def test_licences(docs_of, odd, empty):
