@@ -7,7 +7,8 @@
    equal words of all blocks meet and a word that is everywhere takes one entry
    per block.  Each distinct word is encoded once, by merging byte pairs in the
    order of their ranks, and its ids go back to the blocks that sent it.
-3. Each text is put together from its ranks and its block's ids.
+3. Each text is put together from its ranks and its block's ids.  Blocks are
+   stored in buckets of their number, so only the ids move.
 
 The number of fragments follows the number of words sent, so that a fragment's
 size does not.  Decoding looks up every id in the table of token bytes.  The
@@ -35,7 +36,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clockwright.scratch import materialize
+from clockwright.scratch import materialize_in_buckets
 
 #: characters of a block, about; longer texts are blocks of their own
 BLOCK_CHARS = 12_000_000
@@ -353,8 +354,9 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = B
     and fragments.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    blocks = materialize(rows.mapInArrow(_blocks(vocabulary.pattern, block_chars), _BLOCK)
-                         .withColumn("block", F.monotonically_increasing_id()), "blocks")
+    # bucketed, so that the ranks, the larger part, stay where they are when the ids come back
+    blocks = materialize_in_buckets(rows.mapInArrow(_blocks(vocabulary.pattern, block_chars), _BLOCK)
+                                    .withColumn("block", F.monotonically_increasing_id()), "blocks", "block")
     total = blocks.agg(F.sum("distinct_words")).first()[0] or 0
     fragments = max(min_fragments, -(-total // fragment_words))
     sent = blocks.select("block", "words", "lengths").mapInArrow(
@@ -362,7 +364,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = B
     found = (sent.groupBy("fragment").applyInArrow(
                  _encode_fragment(vocabulary.ranks, vocabulary.kind), "block long, ranks binary, sizes binary, ids binary")
              .groupBy("block").agg(F.collect_list(F.struct("ranks", "sizes", "ids")).alias("found")))
-    return (blocks.join(found, "block", "left").select("docs", "sizes", "ranks", "more_ranks", "distinct_words", "found")
+    return (blocks.join(found.hint("merge"), "block", "left").select("docs", "sizes", "ranks", "more_ranks", "distinct_words", "found")
             .mapInArrow(_assemble(vocabulary.kind), "doc_id long, ids array<int>"))
 
 

@@ -14,7 +14,7 @@ from clockwright.llm import (
     bpe, components, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, secret_scan, sharding,
     toxicity,
 )
-from clockwright.scratch import scratch_path
+from clockwright.scratch import materialize, scratch_path
 
 #: names that the operators use themselves
 CLASH = (
@@ -200,6 +200,17 @@ def test_a_rare_cell_does_not_set_the_sample(spark):
         mixing.sample(docs, targets, share=0)
 
 
+def test_blocks_stay_where_they_are(spark, docs_of):
+    vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [prose(i, 50) for i in range(40)]
+    found = bpe.encode(docs_of(texts).repartition(4), vocabulary, block_chars=1000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the words of fragments, and ids by block; no exchange of the blocks themselves
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary.ranks.value, special_tokens={})
+    assert {r.doc_id: list(r.ids) for r in found.collect()} == {i: plain.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_sampling_alike_beyond_the_broadcast(docs_of, monkeypatch):
     docs = docs_of([prose(i, 5 + i % 7) for i in range(200)])
     few = {r.doc_id for r in mixing.sample(docs).collect()}
