@@ -103,32 +103,39 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], *, sweeps: int, tolera
     Stops when no share is off by more than ``tolerance`` after a sweep, or
     after ``sweeps``.  Cells without tokens, or of a category without target,
     get weight 0; if targets contradict each other, the last dimension holds.
+    Targets are joined once, before the first sweep, so that a sweep joins the
+    shares alone: every small table joined is held by the driver for a while.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     fitted = cells.withColumn("weight", F.col("tokens") / F.lit(float(total or 1)))
+    for dimension in DIMENSIONS:
+        wanted = targets[dimension].select(F.col("category").alias("__of"), F.col("target").alias(_target(dimension)))
+        fitted = fitted.join(wanted, F.col(dimension) == F.col("__of"), "left").drop("__of")
+    fitted = materialize(fitted, "targeted")
     for _ in range(sweeps):
         for dimension in DIMENSIONS:
-            shares = fitted.groupBy(dimension).agg(F.sum("weight").alias("share"))
-            factor = (shares.join(targets[dimension], F.col(dimension) == F.col("category"), "left")
-                      .select(F.col(dimension).alias("__of"), F.when(F.col("share") > 0, F.coalesce("target", F.lit(0.0))
-                              / F.col("share")).otherwise(F.lit(0.0)).alias("factor")))
-            fitted = (fitted.join(factor, F.col(dimension) == F.col("__of"))
-                      .withColumn("weight", F.col("weight") * F.col("factor")).drop("__of", "factor"))
+            shares = fitted.groupBy(F.col(dimension).alias("__of")).agg(F.sum("weight").alias("__share"))
+            factor = (F.when(F.col("__share") > 0, F.coalesce(_target(dimension), F.lit(0.0)) / F.col("__share"))
+                      .otherwise(F.lit(0.0)))
+            fitted = (fitted.join(shares, F.col(dimension) == F.col("__of"))
+                      .withColumn("weight", F.col("weight") * factor).drop("__of", "__share"))
         fitted = materialize(fitted, "raked")
-        if worst_gap(fitted, targets) <= tolerance:
+        if _worst_gap(fitted) <= tolerance:
             break
-    return fitted
+    return fitted.drop(*map(_target, DIMENSIONS))
 
 
-def worst_gap(fitted: DataFrame, targets: dict[str, DataFrame]) -> float:
-    """The largest difference between a raked share and its target."""
-    gaps = None
-    for dimension in DIMENSIONS:
-        shares = fitted.groupBy(F.col(dimension).alias("category")).agg(F.sum("weight").alias("share"))
-        gap = shares.join(targets[dimension], "category", "left").select(
-            F.abs(F.col("share") - F.coalesce("target", F.lit(0.0))).alias("gap"))
-        gaps = gap if gaps is None else gaps.unionByName(gap)
-    return gaps.agg(F.max("gap")).first()[0] or 0.0
+def _target(dimension: str) -> str:
+    return f"__target_{dimension}"
+
+
+def _worst_gap(fitted: DataFrame) -> float:
+    """The largest difference between a raked share and its target, which cells carry."""
+    categories = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("category"),
+                                    F.coalesce(_target(d), F.lit(0.0)).alias("target")) for d in DIMENSIONS])
+    shares = (fitted.select("weight", F.inline(categories)).groupBy("dimension", "category")
+              .agg(F.sum("weight").alias("share"), F.max("target").alias("target")))
+    return shares.agg(F.max(F.abs(F.col("share") - F.col("target")))).first()[0] or 0.0
 
 
 def draw_of(key: Column, seed: int) -> Column:

@@ -211,6 +211,21 @@ def test_blocks_stay_where_they_are(spark, docs_of):
     assert {r.doc_id: list(r.ids) for r in found.collect()} == {i: plain.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_a_sweep_joins_shares_alone(docs_of, monkeypatch):
+    plans = []
+
+    def noted(df, label):
+        if label == "raked":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(mixing, "materialize", noted)
+    got = mixing.probabilities(docs_of([prose(i, 20 + i) for i in range(30)]), sweeps=2, tolerance=0.0)
+    assert got.count() == 30 and plans
+    # the shares of a dimension are summed over the joins of those before it, so joins stand in the plan 1, 3 and 7 times
+    assert all(plan.count("Join ") <= 7 for plan in plans)
+
+
 def test_sampling_alike_beyond_the_broadcast(docs_of, monkeypatch):
     docs = docs_of([prose(i, 5 + i % 7) for i in range(200)])
     few = {r.doc_id for r in mixing.sample(docs).collect()}
