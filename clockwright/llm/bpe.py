@@ -45,6 +45,8 @@ FRAGMENT_WORDS = 400_000
 MIN_FRAGMENTS = 64
 #: words whose ids are put together at a time
 _TOGETHER = 500_000
+#: ranks that are packed or unpacked at a time
+_RANKS_TOGETHER = 1 << 18
 #: a character that no version of Unicode assigns
 _UNASSIGNED = "\uffff"
 #: pieces up to this length are merged by looking through all pairs
@@ -202,28 +204,40 @@ _FROM_FIVE = _FROM_THREE + (_FIVE - _THREE) * 65536
 
 def _pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Small numbers in one byte, others in more; first bytes and further bytes are compressed apart."""
-    kind = np.searchsorted([_FROM_TWO, _FROM_THREE, _FROM_FIVE], ranks, "right")
-    two, three, five = ranks[kind == 1] - _FROM_TWO, ranks[kind == 2] - _FROM_THREE, ranks[kind == 3]
-    first = ranks.copy()
-    first[kind == 1] = _TWO + (two >> 8)
-    first[kind == 2] = _THREE + (three >> 16)
-    first[kind == 3] = _FIVE
-    more = [(two & 255).astype(np.uint8), (three >> 8 & 255).astype(np.uint8), (three & 255).astype(np.uint8),
-            five.astype("<u4").view(np.uint8)]
+    first = np.empty(len(ranks), np.uint8)
+    more: tuple[list[np.ndarray], ...] = ([], [], [], [])
+    for at in range(0, len(ranks), _RANKS_TOGETHER):
+        some = ranks[at:at + _RANKS_TOGETHER].astype(np.int64)
+        kind = np.searchsorted([_FROM_TWO, _FROM_THREE, _FROM_FIVE], some, "right")
+        two, three, five = some[kind == 1] - _FROM_TWO, some[kind == 2] - _FROM_THREE, some[kind == 3]
+        some[kind == 1] = _TWO + (two >> 8)
+        some[kind == 2] = _THREE + (three >> 16)
+        some[kind == 3] = _FIVE
+        first[at:at + _RANKS_TOGETHER] = some
+        for own, part in zip(more, (two & 255, three >> 8 & 255, three & 255, five.astype("<u4").view(np.uint8))):
+            own.append(part.astype(np.uint8))
     compress = zstandard.ZstdCompressor(3).compress
-    return compress(first.astype(np.uint8).tobytes()), compress(np.concatenate(more).tobytes())
+    return compress(first.tobytes()), compress(b"".join(part.tobytes() for own in more for part in own))
 
 
 def _unpack_ranks(first: bytes, more: bytes) -> np.ndarray:
+    """The numbers, in four bytes each."""
     expand = zstandard.ZstdDecompressor().decompress
-    ranks = np.frombuffer(expand(first), np.uint8).astype(np.int64)
-    kind = np.searchsorted([_TWO, _THREE, _FIVE], ranks, "right")
-    two, three, five = (np.flatnonzero(kind == k) for k in (1, 2, 3))
-    parts = np.split(np.frombuffer(expand(more), np.uint8), np.cumsum([len(two), len(three), len(three)]))
-    low, middle, least = (p.astype(np.int64) for p in parts[:3])
-    ranks[two] = _FROM_TWO + (ranks[two] - _TWO << 8) + low
-    ranks[three] = _FROM_THREE + (ranks[three] - _THREE << 16) + (middle << 8) + least
-    ranks[five] = np.ascontiguousarray(parts[3]).view("<u4")
+    heads = np.frombuffer(expand(first), np.uint8)
+    twos, threes = (int(np.count_nonzero((heads >= low) & (heads < high))) for low, high in ((_TWO, _THREE), (_THREE, _FIVE)))
+    low, middle, least, whole = np.split(np.frombuffer(expand(more), np.uint8), np.cumsum([twos, threes, threes]))
+    whole = np.ascontiguousarray(whole).view("<u4")
+    ranks, seen = np.empty(len(heads), np.uint32), np.zeros(3, np.int64)
+    for at in range(0, len(heads), _RANKS_TOGETHER):
+        some = heads[at:at + _RANKS_TOGETHER].astype(np.int64)
+        kind = np.searchsorted([_TWO, _THREE, _FIVE], some, "right")
+        two, three, five = (np.flatnonzero(kind == k) for k in (1, 2, 3))
+        (i, j, k), seen = seen, seen + (len(two), len(three), len(five))
+        some[two] = _FROM_TWO + (some[two] - _TWO << 8) + low[i:seen[0]]
+        some[three] = (_FROM_THREE + (some[three] - _THREE << 16) + (middle[j:seen[1]].astype(np.int64) << 8)
+                       + least[j:seen[1]])
+        some[five] = whole[k:seen[2]]
+        ranks[at:at + _RANKS_TOGETHER] = some
     return ranks
 
 
@@ -241,18 +255,27 @@ def _blocks(pattern: str, block_chars: int):
         gathered = 0
 
         def block() -> pa.RecordBatch:
+            """The block of what was gathered, which is given up piece by piece: a task never holds it twice."""
+            ids = np.array([[0 if d is None else d, d is None] for d in docs], np.int64)
+            sizes = _pack(np.array([len(t) for t in texts], np.int64), "<u4")
             numbers = np.concatenate(texts)
-            frequent = np.argsort(-np.bincount(numbers, minlength=len(known)), kind="stable")
-            rank = np.empty(len(known), np.int64)
-            rank[frequent] = np.arange(len(known))
+            texts.clear()
+            docs.clear()
+            counts = np.zeros(len(known), np.int64)
+            for at in range(0, len(numbers), _RANKS_TOGETHER):
+                counts += np.bincount(numbers[at:at + _RANKS_TOGETHER], minlength=len(known))
+            frequent = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(known), np.uint32)
+            rank[frequent] = np.arange(len(known), dtype=np.uint32)
+            for at in range(0, len(numbers), _RANKS_TOGETHER):
+                numbers[at:at + _RANKS_TOGETHER] = rank[numbers[at:at + _RANKS_TOGETHER]]
             words = list(known)
+            known.clear()
             words = [words[i].encode() for i in frequent.tolist()]
-            ids = np.array([[0 if d is None else d, d is None] for d in docs], np.int64)
-            packed = (_pack(ids.ravel(), "<i8"), _pack(np.array([len(t) for t in texts], np.int64), "<u4"),
-                      *_pack_ranks(rank[numbers]), compress(b"".join(words)),
+            packed = (_pack(ids.ravel(), "<i8"), sizes, *_pack_ranks(numbers), compress(b"".join(words)),
                       _pack(np.array([len(w) for w in words], np.int64), "<u4"))
             return pa.RecordBatch.from_arrays(
-                [*[pa.array([x], pa.binary()) for x in packed], pa.array([len(known)], pa.int64())],
+                [*[pa.array([x], pa.binary()) for x in packed], pa.array([len(words)], pa.int64())],
                 ["docs", "sizes", "ranks", "more_ranks", "words", "lengths", "distinct_words"])
 
         for batch in batches:
@@ -260,9 +283,10 @@ def _blocks(pattern: str, block_chars: int):
                 content = text.as_py()
                 if docs and gathered + len(content) > block_chars:
                     yield block()
-                    docs, texts, known, gathered = [], [], {}, 0
+                    gathered = 0
                 docs.append(doc_id)
-                texts.append(np.array([known.setdefault(w, len(known)) for w in split(content)], np.int64))
+                # four bytes a word: a text has fewer words than bytes, and a string ends at 2 GB
+                texts.append(np.array([known.setdefault(w, len(known)) for w in split(content)], np.uint32))
                 gathered += len(content)
         if docs:
             yield block()
