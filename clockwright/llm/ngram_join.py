@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clockwright.llm.components import components
-from clockwright.scratch import materialize
+from clockwright.scratch import materialize, materialize_in_buckets
 
 WIDTH = 5
 #: similarity in hundredths
@@ -122,31 +122,40 @@ def _segments(documents: DataFrame, fragments: int) -> DataFrame:
     """Packed segments: for a fragment, nodes (16 bytes each), their numbers of n-grams and the n-grams (6 bytes)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        parts: dict[int, list[tuple[bytes, np.ndarray]]] = {}
+        nodes: list[bytes] = []
+        sets: list[np.ndarray] = []
         gathered = 0
 
         def sent() -> pa.RecordBatch:
-            full = sorted(parts)
-            batch = pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int32()),
-                pa.array([b"".join(node for node, _ in parts[f]) for f in full], pa.binary()),
-                pa.array([np.array([len(s) for _, s in parts[f]], "<u4").tobytes() for f in full], pa.binary()),
-                pa.array([_pack(np.concatenate([s for _, s in parts[f]])) for f in full], pa.binary()),
+            """Segments of all gathered sets, by fragment; arrays of all of them, not one per segment."""
+            hashes, sizes = np.concatenate(sets), [len(s) for s in sets]
+            own = np.frombuffer(b"".join(nodes), np.uint8).reshape(-1, 16)
+            sets.clear()
+            nodes.clear()
+            # the upper 32 bits number the fragments
+            fragment = (((hashes >> _32) * np.uint64(fragments)) >> _32).astype(np.min_scalar_type(fragments))
+            order = np.argsort(fragment, kind="stable")
+            fragment, grams = fragment[order], hashes[order]
+            owner = np.repeat(np.arange(len(own), dtype=np.int32), sizes)[order]
+            starts = np.flatnonzero(np.concatenate([[True], (fragment[1:] != fragment[:-1]) | (owner[1:] != owner[:-1])]))
+            stops = np.append(starts[1:], len(grams))
+            numbers, whose, where = (stops - starts).astype("<u4"), owner[starts], fragment[starts]
+            full, first = np.unique(where, return_index=True)
+            spans = list(zip(first.tolist(), [*first[1:].tolist(), len(starts)]))
+            return pa.RecordBatch.from_arrays([
+                pa.array(full.astype(np.int32)),
+                pa.array([own[whose[i:j]].tobytes() for i, j in spans], pa.binary()),
+                pa.array([numbers[i:j].tobytes() for i, j in spans], pa.binary()),
+                pa.array([_pack(grams[starts[i]:stops[j - 1]] & _48) for i, j in spans], pa.binary()),
             ], ["fragment", "nodes", "sizes", "grams"])
-            parts.clear()
-            return batch
 
         for batch in batches:
             for text in batch.column(1):
                 hashes = shingle_hashes(text.as_py(), known)
                 if not len(hashes):
                     continue
-                # hashes are sorted and so are the fragments, which the upper 32 bits number
-                fragment = ((hashes >> _32) * np.uint64(fragments)) >> _32
-                borders = np.flatnonzero(fragment[1:] != fragment[:-1]) + 1
-                node, starts = _class_of(hashes), np.concatenate([[0], borders])
-                for f, segment in zip(fragment[starts].tolist(), np.split(hashes & _48, borders)):
-                    parts.setdefault(f, []).append((node, segment))
+                nodes.append(_class_of(hashes))
+                sets.append(hashes)
                 gathered += len(hashes)
                 if gathered >= _GATHERED:
                     yield sent()
@@ -170,21 +179,22 @@ def _unpack(packed: bytes) -> np.ndarray:
 def _shared_of_fragment(table: pa.Table) -> pa.Table:
     """Of one fragment, per class: the n-grams that other classes have too, and in how many classes they are."""
     fragment = table.column("fragment")[0].as_py()
-    place: dict[bytes, int] = {}
-    nodes, sizes, grams = [], [], []
-    for packed, numbers, values in zip(table.column("nodes"), table.column("sizes"), table.column("grams")):
-        packed, numbers, values = packed.as_py(), np.frombuffer(numbers.as_py(), "<u4"), _unpack(values.as_py())
-        keep = np.zeros(len(numbers), bool)
-        for i in range(len(numbers)):
-            node = packed[16 * i:16 * i + 16]
-            if node not in place:       # a class counts once, however many texts it has
-                place[node] = len(nodes)
-                nodes.append(node)
-                keep[i] = True
-        grams.append(values[np.repeat(keep, numbers)])
-        sizes.append(numbers[keep])
-    all_grams, all_sizes = np.concatenate(grams), np.concatenate(sizes)
-    del grams
+    packed = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.uint8).reshape(-1, 16)
+    numbers = np.frombuffer(b"".join(table.column("sizes").to_pylist()), "<u4")
+    # a class counts once, however many texts it has
+    halves = packed.view("<u8")
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    ordered = halves[order]
+    keep = np.zeros(len(numbers), bool)
+    keep[order[np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(axis=1)])]] = True
+    nodes, all_sizes = packed[keep], numbers[keep]
+    grams, upto = [], 0
+    for sizes, values in zip(table.column("sizes"), table.column("grams")):
+        count = len(sizes.as_py()) // 4
+        grams.append(_unpack(values.as_py())[np.repeat(keep[upto:upto + count], numbers[upto:upto + count])])
+        upto += count
+    all_grams = np.concatenate(grams)
+    del grams, order, ordered
     order = np.argsort(all_grams)
     ordered = all_grams[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
@@ -198,8 +208,9 @@ def _shared_of_fragment(table: pa.Table) -> pa.Table:
     per_node = upto[ends] - upto[ends - all_sizes]
     has = np.flatnonzero(per_node)
     offsets = pa.array(np.concatenate([[0], np.cumsum(per_node[has])]).astype(np.int32))
+    named = pa.Array.from_buffers(pa.binary(16), len(has), [None, pa.py_buffer(nodes[has].tobytes())]).cast(pa.binary())
     return pa.table([
-        pa.array([nodes[i] for i in has], pa.binary()), pa.array(np.full(len(has), fragment, np.int32)),
+        named, pa.array(np.full(len(has), fragment, np.int32)),
         pa.ListArray.from_arrays(offsets, pa.array(all_grams[shared].astype(np.int64))),
         pa.ListArray.from_arrays(offsets, pa.array(spread[shared])),
     ], names=["node", "fragment", "grams", "spread"])
@@ -236,7 +247,7 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
 
     The first is (node, fragment, gram, n, rest, own), where rest is how many
     shared n-grams the class has from this one on, and own how many no other
-    class has; the second (node, n, parts), the shared n-grams by groups of
+    class has, without rows that no link can come from; the second (node, n, parts), the shared n-grams by groups of
     fragments, the same groups for every class.
     """
     total = of.agg(F.sum("n")).first()[0] or 0
@@ -244,25 +255,32 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     shared = materialize(
         _segments(documents, fragments).groupBy("fragment").applyInArrow(_shared_of_fragment, _SHARED), "shared")
     sizes = of.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n").alias("n"))
-    likely = materialize(
-        shared.groupBy("node").agg(F.sum(F.size("grams")).alias("shared")).join(sizes, "node")
-        .where(F.col("shared") * 100 >= F.col("n") * LEAST).select("node", "n"), "likely")
-    segments = materialize(shared.join(likely, "node"), "segments")
-    prefixes = materialize(
-        segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams", "spread")).alias("parts"))
-        .mapInArrow(_prefixes, "node binary, fragment int, gram long, n long, rest int, own int"), "prefixes")
-    return prefixes, materialize(_by_part(segments), "sets")
-
-
-def _by_part(segments: DataFrame) -> DataFrame:
-    """(node, n, parts): one row per class; n-grams of different fragments stay apart."""
+    # shared n-grams move once, to their class, and in buckets they stay there when pairs are verified
+    gathered = (shared.groupBy("node").agg(F.sum(F.size("grams")).alias("shared"),
+                                           F.collect_list(F.struct("fragment", "grams", "spread")).alias("own"))
+                .join(sizes, "node").where(F.col("shared") * 100 >= F.col("n") * LEAST))
+    sets = materialize_in_buckets(gathered.select("node", "n", "own", _by_part(F.col("own")).alias("parts")), "sets", "node")
+    prefixes = materialize(sets.select("node", "n", F.col("own").alias("parts")).mapInArrow(
+        _prefixes, "node binary, fragment int, gram long, n long, rest int, own int"), "prefixes")
+    return _able(prefixes), sets.select("node", "n", "parts")
+
+
+def _able(prefixes: DataFrame) -> DataFrame:
+    """The rows of prefix n-grams from which a link can come: others have the n-gram, and its smallest class is not too unlike."""
+    others = (prefixes.groupBy(*_GRAM).agg(F.min("n").alias("least_n"), F.count(F.lit(1)).alias("holders"))
+              .where("holders > 1"))
+    return materialize(
+        prefixes.join(others, _GRAM).where(_may_link(F.col("n"), F.col("rest"), F.col("least_n"), F.col("rest")))
+        .select(*prefixes.columns), "able")
+
+
+def _by_part(own: Column) -> Column:
+    """The n-grams of a class's segments by groups of fragments; those of different fragments stay apart."""
     def whole(segment: Column) -> Column:
         return F.transform(segment["grams"], lambda g: g.bitwiseXOR(F.shiftleft(segment["fragment"].cast("bigint"), 48)))
 
-    parts = F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda p: F.flatten(F.transform(
-        F.filter(F.col("own"), lambda segment: segment["fragment"] % _PARTS == p), whole)))
-    return (segments.groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("fragment", "grams")).alias("own"))
-            .select("node", "n", parts.alias("parts")))
+    return F.transform(F.sequence(F.lit(0), F.lit(_PARTS - 1)), lambda p: F.flatten(F.transform(
+        F.filter(own, lambda segment: segment["fragment"] % _PARTS == p), whole)))
 
 
 def class_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -318,13 +336,8 @@ def _may_link(n: Column, rest: Column, other_n: Column, other_rest: Column) -> C
 
 
 def _across(prefixes: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """The rows of prefix n-grams that still stand in more than one component, with their components.
-
-    Rows that could not be linked with the smallest class of their n-gram are left out first.
-    """
-    smallest = prefixes.groupBy(*_GRAM).agg(F.min("n").alias("least_n"))
-    able = prefixes.join(smallest, _GRAM).where(_may_link(F.col("n"), F.col("rest"), F.col("least_n"), F.col("rest")))
-    rows = able.join(labels, "node", "left").select(
+    """The rows of prefix n-grams that still stand in more than one component, with their components."""
+    rows = prefixes.join(labels, "node", "left").select(
         "node", *_GRAM, "n", "rest", "own", F.coalesce("label", "node").alias("label"))
     mixed = rows.groupBy(*_GRAM).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     left = materialize(rows.join(mixed.select(*_GRAM), _GRAM), "across")
