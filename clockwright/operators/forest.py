@@ -5,7 +5,7 @@ tree once; per level every node gets the bounds of its rows, its split is drawn,
 and each row steps to a child.  Draws come from MD5 of seed, tree and node, so
 the same forest grows in any engine.  Score: the trees are a bounded table of
 nodes that is broadcast, and every row is scored where it lies, so the data is
-never shuffled.  Walking is the step that runs on Arrow batches.
+never shuffled.  Draws and walking are the steps that run on Arrow batches.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ _PARTS = float(2 ** 30)
 #: draws are whole numbers below this
 _DRAWS = 2 ** 52
 _MOST_TREES = 2_000
+#: draws that are made at a time
+_DRAWS_TOGETHER = 300_000
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,29 @@ def _leaf_length(depth: Column, rows: Column) -> Column:
     return depth + F.when(rows <= 1, 0.0).when(rows == 2, 1.0).otherwise(F.rint(rest * _PARTS) / _PARTS)
 
 
+def _drawing_trees(trees: int, ceiling: int):
+    """The trees that draw a row with the numbers a, b below the ceiling."""
+    numbers = np.arange(trees, dtype=np.int64)
+    step = max(1, _DRAWS_TOGETHER // trees)
+
+    @F.pandas_udf("array<int>")
+    def drawing(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            a, b = a.to_numpy(np.int64), b.to_numpy(np.int64)
+            found: list[list[int] | None] = [None] * len(a)
+            for at in range(0, len(a), step):
+                # below 2 ** 63, as both numbers are below 2 ** 52 and there are few trees
+                drawn = (a[at:at + step, None] + numbers * b[at:at + step, None]) & (_DRAWS - 1)
+                rows, trees_of_row = np.nonzero(drawn < ceiling)
+                borders = np.flatnonzero(rows[1:] != rows[:-1]) + 1
+                if len(rows):
+                    for row, own in zip(rows[np.append(0, borders)].tolist(), np.split(trees_of_row, borders)):
+                        found[at + row] = own.tolist()
+            yield pd.Series(found, dtype=object)
+
+    return drawing
+
+
 def tree_samples(features: DataFrame, key: str, columns: tuple[str, ...], config: ForestConfig, rows: int) -> DataFrame:
     """(tree, values): the rows of each tree, those with its smallest draws.
 
@@ -75,17 +100,13 @@ def tree_samples(features: DataFrame, key: str, columns: tuple[str, ...], config
     # enough candidates that a tree short of its sample is out of the question
     ceiling = min(_DRAWS, math.ceil((_OVERSAMPLE * size + _SPARE) / max(rows, 1) * _DRAWS))
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    values = F.array(*[F.round(F.col(c).cast("double"), DECIMALS) for c in columns])
-    # the two numbers are made once per row, below the trees
-    drawn = features.select(name.alias("key"), values.alias("values"), draw(name, config.seed, "forest").alias("a"),
-                            draw(name, config.seed, "forest-step").alias("b"))
+    # only rows that a tree draws have their values rounded
+    values = F.array(*[F.round(F.col(f"v{i}").cast("double"), DECIMALS) for i in range(len(columns))])
+    drawn = features.select(name.alias("key"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(columns)],
+                            draw(name, config.seed, "forest").alias("a"), draw(name, config.seed, "forest-step").alias("b"))
     a, b = F.col("a"), F.col("b")
-    # bound as an element: as columns the digests would be copied into the function over
-    # trees, and made again per tree, when the filter on its size is moved down
-    trees = F.get(F.transform(F.array(F.struct(a, b)), lambda row: F.filter(
-        F.sequence(F.lit(0), F.lit(config.trees - 1)),
-        lambda t: F.pmod(row["a"] + t.cast("bigint") * row["b"], F.lit(_DRAWS)) < F.lit(ceiling))), F.lit(0))
-    candidates = drawn.select("key", "values", "a", "b", F.explode(trees).alias("tree"))
+    candidates = (drawn.withColumn("trees", _drawing_trees(config.trees, ceiling)(a, b)).where(F.col("trees").isNotNull())
+                  .withColumn("tree", F.explode("trees")).select("key", values.alias("values"), "a", "b", "tree"))
     own = Window.partitionBy("tree").orderBy(
         F.pmod(a + F.col("tree").cast("bigint") * b, F.lit(_DRAWS)), "key", "values")
     return (candidates.withColumn("place", F.row_number().over(own)).where(F.col("place") <= size)
