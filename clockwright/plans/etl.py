@@ -39,12 +39,14 @@ def run_etl(spark: SparkSession, raw_paths: RawPaths = RawPaths(),
 
     Every check is made before a table is written.  Checks, joins and sinks read
     the smaller tables several times, so their text is parsed once and staged as
-    columns.  The punches are read once and classified once; the classification
-    is stored, and one pass over it writes clean punches and quarantine.  Labels
+    typed columns.  The punches are read once and classified once; the classification
+    is stored, and one pass over it writes clean punches and quarantine, whose
+    measures are made where they are written.  Labels
     are matched with the punches as stored.
     """
     LOGGER.info("reading raw tables")
-    raw = {name: df if name == "punches" else materialize(df, f"raw-{name}")
+    # employees and shifts are staged when they have their types
+    raw = {name: df if name in ("punches", "employees", "shifts") else materialize(df, f"raw-{name}")
            for name, df in extract_all(spark, raw_paths, multiline=multiline).items()}
     transform.require_labels(raw["labels"])
     departments = transform.transform_departments(raw["departments"])
@@ -53,10 +55,11 @@ def run_etl(spark: SparkSession, raw_paths: RawPaths = RawPaths(),
     classified = materialize(
         transform.classified_punches(raw["punches"], shifts, employees, order=order, pattern=pattern), "classified")
     written = load_all({"departments": departments, "employees": employees, "shifts": shifts}, output_dir, STORED_ORDER)
-    routed = transform.routed_punches(classified)
+    routed = transform.with_outcome(classified)
     outputs = {name: Output(table_path(output_dir, name), columns, STORED_ORDER[name])
-               for name, columns in transform.punch_columns(routed, raw["punches"].columns).items()}
-    counts = write_routed(routed, transform.OUTCOME, outputs, output_dir, LOOK_UPS["punches"])
+               for name, columns in transform.punch_columns(transform.punch_measures(routed), raw["punches"].columns).items()}
+    counts = write_routed(routed, transform.OUTCOME, outputs, output_dir, LOOK_UPS["punches"],
+                          derive=transform.punch_measures)
     written |= {name: (output.path, counts[name]) for name, output in outputs.items()}
     labels = transform.label_columns(raw["labels"], read_table(spark, outputs[transform.CLEAN].path))
     written |= load_all({"labels": labels}, output_dir, STORED_ORDER, LOOK_UPS)

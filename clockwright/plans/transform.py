@@ -63,7 +63,8 @@ def employees_report(typed: DataFrame, departments: DataFrame) -> DataFrame:
 
 def transform_employees(raw: DataFrame, departments: DataFrame, *, date_pattern: str = DATE_PATTERN) -> DataFrame:
     quality.require_columns(raw, "employees")
-    typed = employee_columns(raw, date_pattern=date_pattern)
+    # rules and joins read the typed table several times
+    typed = materialize(employee_columns(raw, date_pattern=date_pattern), "employees")
     quality.enforce(employees_report(typed, departments), {
         "department_id must exist in departments":
             quality.unknown_references(typed, "department_id", departments),
@@ -93,7 +94,7 @@ def shifts_report(typed: DataFrame, employees: DataFrame) -> DataFrame:
 
 def transform_shifts(raw: DataFrame, employees: DataFrame, *, pattern: str = TIMESTAMP_PATTERN) -> DataFrame:
     quality.require_columns(raw, "shifts")
-    typed = shift_columns(raw, pattern=pattern)
+    typed = materialize(shift_columns(raw, pattern=pattern), "shifts")
     quality.enforce(shifts_report(typed, employees), {
         "employee_id must exist in employees": quality.unknown_references(typed, "employee_id", employees),
     })
@@ -185,13 +186,18 @@ def transform_punches(raw: DataFrame, shifts: DataFrame, employees: DataFrame, *
 OUTCOME, CLEAN, QUARANTINE = "outcome", "punches", "quarantine"
 
 
+def with_outcome(classified: DataFrame) -> DataFrame:
+    """Every classified punch with the table it belongs to."""
+    outcome = F.when(F.col(REASON).isNull(), F.lit(CLEAN)).otherwise(F.lit(QUARANTINE))
+    return classified.withColumn(OUTCOME, outcome)
+
+
 def routed_punches(classified: DataFrame) -> DataFrame:
     """Every classified punch with the columns of clean ones, its reason, and the table it belongs to.
 
     Measures of quarantined punches are what their columns yield and are not stored.
     """
-    outcome = F.when(F.col(REASON).isNull(), F.lit(CLEAN)).otherwise(F.lit(QUARANTINE))
-    return punch_measures(classified).withColumn(OUTCOME, outcome)
+    return punch_measures(with_outcome(classified))
 
 
 def punch_columns(routed: DataFrame, raw_columns: list[str]) -> dict[str, tuple[str, ...]]:

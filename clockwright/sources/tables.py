@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -90,15 +91,17 @@ class Output:
     sort_by: tuple[str, ...] = ()
 
 
-def write_routed(df: DataFrame, route: str, outputs: dict[str, Output], root: str,
-                 look_up: tuple[str, ...] = ()) -> dict[str, int]:
+def write_routed(df: DataFrame, route: str, outputs: dict[str, Output], root: str, look_up: tuple[str, ...] = (), *,
+                 derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> dict[str, int]:
     """Write several tables in one pass: each row goes to the output that column ``route`` names.
 
     The rows are written once, partitioned by ``route``, under ``root``; each
     output's new version is its partition, with its own columns.  Ranges and
     order follow the columns of the output a row goes to.  All data is complete
     before the first version is registered.  A row that names no output is an
-    error.  Returns the rows per output.
+    error.  ``derive`` adds columns to rows as they are written, so that neither
+    the search for ranges makes them nor the shuffle carries them; no order can
+    name them.  Returns the rows per output.
     """
     drafts = {name: Draft(df.sparkSession, output.path) for name, output in outputs.items()}
     data = f"{root.rstrip('/')}/routed-{uuid.uuid4().hex}"
@@ -110,13 +113,14 @@ def write_routed(df: DataFrame, route: str, outputs: dict[str, Output], root: st
     known = F.col(route).isin(*outputs)
     checked = df.where(F.when(F.coalesce(known, F.lit(False)), F.lit(True)).otherwise(
         F.raise_error(F.lit(f"{route} names no output")).cast("boolean")))
-    rows = _sorted(checked, order).observe(
+    rows = derive(_sorted(checked, order)).observe(
         counted, *[F.count_if(F.col(route) == name).alias(name) for name in outputs])
     try:
         _with_filters(rows.write.partitionBy(route), look_up).parquet(data)
         found = {name: counted.get.get(name, 0) for name in outputs}
+        whole = derive(df)
         for name, output in outputs.items():
-            schema = json.loads(df.select(*[f"`{c}`" for c in output.columns]).schema.json())
+            schema = json.loads(whole.select(*[f"`{c}`" for c in output.columns]).schema.json())
             # an output without rows has no partition folder, but has to have a folder to read
             part = f"{data}/{route}={name}" if found[name] else drafts[name].data
             if not found[name]:
