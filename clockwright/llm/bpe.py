@@ -36,7 +36,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clockwright.scratch import materialize_in_buckets
+from clockwright.scratch import materialize_in_buckets, text_batches
 
 #: characters of a block, about; longer texts are blocks of their own
 BLOCK_CHARS = 12_000_000
@@ -335,9 +335,10 @@ def _encode_fragment(ranks: Broadcast, kind: str):
     return encode_words
 
 
-def _assemble(kind: str):
-    """(doc_id, ids) of the texts of blocks, from their ranks and the ids of their words."""
+def _assemble(kind: str, ranks: Broadcast | None = None):
+    """(doc_id, ids) of the texts of blocks, from their ranks and the ids of their words; with ranks, their digests, too."""
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = None if ranks is None else _digester(ranks.value)
         for batch in batches:
             for docs, sizes, first_bytes, more, distinct, found in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 docs = _unpack(docs, "<i8").reshape(-1, 2)
@@ -360,27 +361,36 @@ def _assemble(kind: str):
                     total = int(ends[-1]) if len(ends) else 0
                     values = ids[np.repeat(starts[own] - (ends - size), size) + np.arange(total)]
                     offsets = np.concatenate([[0], ends])[stops[first:last + 1] - stops[first]]
-                    yield pa.RecordBatch.from_arrays([
+                    columns = [
                         pa.array(docs[first:last, 0], pa.int64(), mask=docs[first:last, 1].astype(bool)),
                         pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)),
-                    ], ["doc_id", "ids"])
+                    ]
+                    if digest is not None:
+                        spans = zip(offsets.tolist(), offsets[1:].tolist())
+                        columns += [pa.array(x, pa.string()) for x in zip(*(digest(values[i:j].tolist()) for i, j in spans))]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "ids_sha256", "decoded_sha256"][:len(columns)])
                     first = last
     return assemble
 
 
 def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = BLOCK_CHARS,
-           fragment_words: int = FRAGMENT_WORDS, min_fragments: int = MIN_FRAGMENTS) -> DataFrame:
+           fragment_words: int = FRAGMENT_WORDS, min_fragments: int = MIN_FRAGMENTS, digest: bool = False) -> DataFrame:
     """(doc_id, ids): the ids of every text, one row per row of ``documents``.
 
     Null and empty texts have no ids.  Special tokens are ordinary text.
     Repeated rows each have their ids; doc_id may be null or repeat.  Only
     doc_id and text are read.  The ids depend on the text alone, not on blocks
     and fragments.
+
+    With ``digest``, ids_sha256 and decoded_sha256 follow, as ``digests`` has
+    them.  They are made where texts are put together, so a task keeps one
+    Python worker and not two, and the ids do not go to a second one.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # bucketed, so that the ranks, the larger part, stay where they are when the ids come back
-    blocks = materialize_in_buckets(rows.mapInArrow(_blocks(vocabulary.pattern, block_chars), _BLOCK)
-                                    .withColumn("block", F.monotonically_increasing_id()), "blocks", "block")
+    with text_batches(documents.sparkSession):
+        blocks = materialize_in_buckets(rows.mapInArrow(_blocks(vocabulary.pattern, block_chars), _BLOCK)
+                                        .withColumn("block", F.monotonically_increasing_id()), "blocks", "block")
     total = blocks.agg(F.sum("distinct_words")).first()[0] or 0
     fragments = max(min_fragments, -(-total // fragment_words))
     sent = blocks.select("block", "words", "lengths").mapInArrow(
@@ -389,7 +399,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, *, block_chars: int = B
                  _encode_fragment(vocabulary.ranks, vocabulary.kind), "block long, ranks binary, sizes binary, ids binary")
              .groupBy("block").agg(F.collect_list(F.struct("ranks", "sizes", "ids")).alias("found")))
     return (blocks.join(found.hint("merge"), "block", "left").select("docs", "sizes", "ranks", "more_ranks", "distinct_words", "found")
-            .mapInArrow(_assemble(vocabulary.kind), "doc_id long, ids array<int>"))
+            .mapInArrow(_assemble(vocabulary.kind, vocabulary.ranks if digest else None),
+                        "doc_id long, ids array<int>" + ", ids_sha256 string, decoded_sha256 string" * digest))
 
 
 def decode(vocabulary: Vocabulary, ids: Column) -> Column:
@@ -406,20 +417,28 @@ def decode(vocabulary: Vocabulary, ids: Column) -> Column:
     return decoded(ids)
 
 
+def _digester(ranks: dict[bytes, int]) -> Callable[[list[int]], tuple[str, str]]:
+    """Of a text's ids, the digests of their decimal list and of the bytes that they decode to."""
+    table = {rank: token for token, rank in ranks.items()}
+    decimal = {rank: str(rank) for rank in table}
+
+    def digest(ids: list[int]) -> tuple[str, str]:
+        return (hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
+                hashlib.sha256(b"".join(map(table.__getitem__, ids))).hexdigest())
+
+    return digest
+
+
 def digests(vocabulary: Vocabulary, ids: Column) -> Column:
     """ids_sha256 and decoded_sha256: of the decimal ids joined by commas, and of the decoded bytes, in hexadecimal."""
     ranks = vocabulary.ranks
 
     @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        table = {rank: token for token, rank in ranks.value.items()}
-        decimal = {rank: str(rank) for rank in table}
+        digest = _digester(ranks.value)
         for column in batches:
-            found = []
-            for x in column:        # text by text: numbers as objects take many times their size
-                known = [] if x is None else x.tolist()
-                found.append((hashlib.sha256(",".join(map(decimal.__getitem__, known)).encode()).hexdigest(),
-                              hashlib.sha256(b"".join(map(table.__getitem__, known))).hexdigest()))
+            # text by text: numbers as objects take many times their size
+            found = [digest([] if x is None else x.tolist()) for x in column]
             yield pd.DataFrame(found, columns=["ids_sha256", "decoded_sha256"], dtype=object)
 
     return both(ids)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clockwright.llm.components import components
-from clockwright.scratch import materialize, materialize_in_buckets
+from clockwright.scratch import materialize, materialize_in_buckets, text_batches
 
 WIDTH = 5
 #: similarity in hundredths
@@ -114,6 +114,11 @@ def classes(documents: DataFrame, *, digest: bool = False) -> DataFrame:
     return texts.mapInArrow(classify, schema)
 
 
+def _stored_classes(documents: DataFrame, *, digest: bool = False) -> DataFrame:
+    with text_batches(documents.sparkSession):
+        return materialize(classes(documents, digest=digest), "classes")
+
+
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -129,14 +134,20 @@ def _segments(documents: DataFrame, fragments: int) -> DataFrame:
         def sent() -> pa.RecordBatch:
             """Segments of all gathered sets, by fragment; arrays of all of them, not one per segment."""
             hashes, sizes = np.concatenate(sets), [len(s) for s in sets]
-            own = np.frombuffer(b"".join(nodes), np.uint8).reshape(-1, 16)
             sets.clear()
+            own = np.frombuffer(b"".join(nodes), np.uint8).reshape(-1, 16)
             nodes.clear()
-            # the upper 32 bits number the fragments
-            fragment = (((hashes >> _32) * np.uint64(fragments)) >> _32).astype(np.min_scalar_type(fragments))
+            # the upper 32 bits number the fragments; arrays of all n-grams are few at a time, as every worker holds them
+            wide = hashes >> _32
+            wide *= np.uint64(fragments)
+            wide >>= _32
+            fragment = wide.astype(np.min_scalar_type(fragments))
+            del wide
             order = np.argsort(fragment, kind="stable")
             fragment, grams = fragment[order], hashes[order]
+            del hashes
             owner = np.repeat(np.arange(len(own), dtype=np.int32), sizes)[order]
+            del order
             starts = np.flatnonzero(np.concatenate([[True], (fragment[1:] != fragment[:-1]) | (owner[1:] != owner[:-1])]))
             stops = np.append(starts[1:], len(grams))
             numbers, whose, where = (stops - starts).astype("<u4"), owner[starts], fragment[starts]
@@ -187,32 +198,34 @@ def _shared_of_fragment(table: pa.Table) -> pa.Table:
     ordered = halves[order]
     keep = np.zeros(len(numbers), bool)
     keep[order[np.concatenate([[True], (ordered[1:] != ordered[:-1]).any(axis=1)])]] = True
-    nodes, all_sizes = packed[keep], numbers[keep]
-    grams, upto = [], 0
+    nodes, ends = packed[keep], np.cumsum(numbers[keep], dtype=np.int64)
+    del packed, halves, order, ordered
+    # arrays of all n-grams are few at a time: these, their order and, for a moment, the ordered ones
+    all_grams, upto, at = np.empty(ends[-1], np.uint64), 0, 0
     for sizes, values in zip(table.column("sizes"), table.column("grams")):
         count = len(sizes.as_py()) // 4
-        grams.append(_unpack(values.as_py())[np.repeat(keep[upto:upto + count], numbers[upto:upto + count])])
-        upto += count
-    all_grams = np.concatenate(grams)
-    del grams, order, ordered
+        kept = _unpack(values.as_py())[np.repeat(keep[upto:upto + count], numbers[upto:upto + count])]
+        all_grams[at:at + len(kept)] = kept
+        upto, at = upto + count, at + len(kept)
     order = np.argsort(all_grams)
     ordered = all_grams[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    new = np.ones(len(order) + 1, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:-1])
     del ordered
-    count = np.diff(np.append(first, len(order)))
-    spread = np.empty(len(order), np.int32)
-    spread[order] = np.repeat(np.minimum(count, 2 ** 31 - 1), count)
-    shared = spread > 1
-    ends = np.cumsum(all_sizes)
-    upto = np.concatenate([[0], np.cumsum(shared)])
-    per_node = upto[ends] - upto[ends - all_sizes]
+    several = ~(new[:-1] & new[1:])
+    places, new = order[several], new[:-1][several]
+    del order, several
+    count = np.diff(np.flatnonzero(new), append=len(places))
+    back = np.argsort(places)
+    places, spread = places[back], np.repeat(np.minimum(count, 2 ** 31 - 1).astype(np.int32), count)[back]
+    per_node = np.bincount(np.searchsorted(ends, places, "right"), minlength=len(nodes))
     has = np.flatnonzero(per_node)
     offsets = pa.array(np.concatenate([[0], np.cumsum(per_node[has])]).astype(np.int32))
     named = pa.Array.from_buffers(pa.binary(16), len(has), [None, pa.py_buffer(nodes[has].tobytes())]).cast(pa.binary())
     return pa.table([
         named, pa.array(np.full(len(has), fragment, np.int32)),
-        pa.ListArray.from_arrays(offsets, pa.array(all_grams[shared].astype(np.int64))),
-        pa.ListArray.from_arrays(offsets, pa.array(spread[shared])),
+        pa.ListArray.from_arrays(offsets, pa.array(all_grams[places].astype(np.int64))),
+        pa.ListArray.from_arrays(offsets, pa.array(spread)),
     ], names=["node", "fragment", "grams", "spread"])
 
 
@@ -252,8 +265,9 @@ def _prepared(documents: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame
     """
     total = of.agg(F.sum("n")).first()[0] or 0
     fragments = max(MIN_FRAGMENTS, -(-total // FRAGMENT_SIZE))
-    shared = materialize(
-        _segments(documents, fragments).groupBy("fragment").applyInArrow(_shared_of_fragment, _SHARED), "shared")
+    with text_batches(documents.sparkSession):
+        shared = materialize(
+            _segments(documents, fragments).groupBy("fragment").applyInArrow(_shared_of_fragment, _SHARED), "shared")
     sizes = of.where(F.col("node").isNotNull()).groupBy("node").agg(F.max("n").alias("n"))
     # shared n-grams move once, to their class, and in buckets they stay there when pairs are verified
     gathered = (shared.groupBy("node").agg(F.sum(F.size("grams")).alias("shared"),
@@ -290,7 +304,7 @@ def class_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     link between two documents is lost.  All pairs of classes that share a prefix
     n-gram are verified, which can be the square of a group of near copies.
     """
-    of = materialize(classes(documents), "classes")
+    of = _stored_classes(documents)
     prefixes, sets = _prepared(documents, of)
     candidates = _all_pairs(prefixes.withColumn("label", F.col("node")))
     return of, materialize(verify(candidates, sets), "class-links")
@@ -313,7 +327,7 @@ def link_counts(documents: DataFrame) -> DataFrame:
 
 def links(documents: DataFrame, of: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Classes and their components: (doc_id, n, node) of every row, (node, label) of every linked class."""
-    of = materialize(classes(documents), "classes") if of is None else of
+    of = _stored_classes(documents) if of is None else of
     prefixes, sets = _prepared(documents, of)
     found = None        # verified links so far
     for number, centres in enumerate((*_ROUNDS, None)):
@@ -422,7 +436,7 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     follows its own text, whatever others have its id.  Rows without an id go
     only when they are linked with one that has an id.
     """
-    of, by_node = _named(documents, materialize(classes(documents, digest=True), "classes"))
+    of, by_node = _named(documents, _stored_classes(documents, digest=True))
     own = (of.groupBy("doc_id", "digest").agg(F.first("node").alias("node"), F.count(F.lit(1)).alias("rows"))
            .join(by_node, "node", "left"))
     free = own.where(F.col("node").isNull() | F.col("component_id").isNull()).select(

@@ -46,8 +46,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens, and the SHA-256 of the bytes that the ids decode to."""
     vocabulary = bpe.Vocabulary.load(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    ids = bpe.encode(docs, vocabulary).withColumn("digests", bpe.digests(vocabulary, F.col("ids")))
-    return ids.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "digests.decoded_sha256")
+    ids = bpe.encode(docs, vocabulary, digest=True)
+    return ids.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "decoded_sha256")
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_exact), ("near_dedup", drop_near),
