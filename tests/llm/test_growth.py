@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from clockwright.llm import bpe, ngram_join
+from clockwright.llm import bpe, line_dedup, ngram_join
 from clockwright.scratch import materialize
 
 
@@ -73,3 +73,15 @@ def test_prefix_rows_without_a_partner_are_left_out(prepared):
 def test_near_copies_are_found_as_before(docs_of):
     found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(near_copies(docs_of)).collect()}
     assert found == {i: i - i % 3 if i < 60 else i for i in range(80)}
+
+
+def test_line_hashes_move_as_bytes(docs_of):
+    line = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of([f"a\nb\nc\n{line}", f"x\na\nb\nc\n{line}\nd"])
+    picked = line_dedup.selected(docs)
+    around = F.aggregate(F.transform("around", F.octet_length), F.lit(0), lambda total, n: total + n)
+    found = picked.select(F.octet_length("digest"), F.octet_length("hash"), around / F.size("around")).distinct().collect()
+    assert [tuple(r) for r in found] == [(32, 16, 16)]
+    runs = line_dedup.passages(docs, line_dedup.PASSAGE_WORDS)
+    found = runs.select(F.octet_length("digest"), F.octet_length("run")).distinct().collect()
+    assert [tuple(r) for r in found] == [(32, 16)]
